@@ -24,14 +24,14 @@ def search_customers(
 ) -> DataFrame:
     """Customers whose name or email contains ``text`` in any case, or whose id contains it as is.
 
-    ``%`` and ``_`` in the text are wildcards. The first ``limit`` by id, which
+    ``%`` and ``_`` in the text are wildcards, a backslash is itself. The first ``limit`` by id, which
     are picked before the joins.
     """
-    pattern = F.lit(f"%{text}%")
+    pattern, plain_backslash = F.lit(f"%{text}%"), F.lit("\x01")
     hit = (
-        F.like(F.lower("name"), F.lower(pattern))
-        | F.like(F.lower("email"), F.lower(pattern))
-        | F.like(F.col("unified_id"), pattern)
+        F.like(F.lower("name"), F.lower(pattern), plain_backslash)
+        | F.like(F.lower("email"), F.lower(pattern), plain_backslash)
+        | F.like(F.col("unified_id"), pattern, plain_backslash)
     )
     found = golden.where(hit).orderBy("unified_id").limit(limit)
     return _joined(found, scores, predictions, "left", []).orderBy("unified_id")
@@ -54,16 +54,18 @@ def recent_activity(
 ) -> DataFrame:
     """The newest ``limit`` rows of every unified customer, ties by id.
 
-    The rank limit is applied before the shuffle as well as after it, so a
-    customer with most of the rows sends ``limit`` of them per task.
+    Cut to ``limit`` per customer id first, then per unified customer. Spark
+    applies a rank limit in the map tasks too, so an id with most of the rows
+    sends ``limit`` of them per task and meets the crosswalk with that many.
     """
-    owned = rows.join(walk.select("customer_id", "unified_id"), "customer_id")
-    order = Window.partitionBy("unified_id").orderBy(newest.desc(), F.col(tie))
-    return (
-        owned.withColumn("recent_rank", F.row_number().over(order))
-        .where(F.col("recent_rank") <= limit)
-        .select("unified_id", "recent_rank", *columns)
-    )
+
+    def cut(df: DataFrame, key: str) -> DataFrame:
+        order = Window.partitionBy(key).orderBy(newest.desc(), F.col(tie))
+        return df.withColumn("recent_rank", F.row_number().over(order)).where(F.col("recent_rank") <= limit)
+
+    kept = cut(rows.where("customer_id IS NOT NULL"), "customer_id").drop("recent_rank")
+    owned = kept.join(walk.select("customer_id", "unified_id"), "customer_id")
+    return cut(owned, "unified_id").select("unified_id", "recent_rank", *columns)
 
 
 def recent_transactions(transactions: DataFrame, walk: DataFrame, limit: int = 20) -> DataFrame:
