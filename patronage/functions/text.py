@@ -109,4 +109,6 @@ def _in_order(chars: np.ndarray, hit: np.ndarray) -> np.ndarray:
     return packed
 
 
-jaro_winkler = F.pandas_udf(_jaro_winkler, T.DoubleType())
+# Declared non-deterministic, so that a filter on the score is not pushed below the
+# projection: the similarity would be computed once for the filter and once more after it.
+jaro_winkler = F.pandas_udf(_jaro_winkler, T.DoubleType()).asNondeterministic()

@@ -20,7 +20,8 @@ def connected_components(edges: DataFrame, left: str = "left_id", right: str = "
     folder, and the same job sums them up; equal sums end the loop.
     """
     u, v = F.greatest(left, right).alias("u"), F.least(left, right).alias("v")
-    current = edges.where(F.col(left) != F.col(right)).select(u, v).distinct()
+    # Every round reads its edges several times, and the first ones may be costly to make.
+    current = written(edges.where(F.col(left) != F.col(right)).select(u, v).distinct(), "edges")
     before = None
     while True:
         seen = Observation()

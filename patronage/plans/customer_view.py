@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
-from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -20,18 +20,6 @@ from patronage.operators.value.tiers import value_tiers
 from patronage.session import written
 
 
-@dataclass(frozen=True)
-class CustomerView:
-    """The written result tables, all keyed by the unified id."""
-
-    clusters: DataFrame
-    golden_records: DataFrame
-    crosswalk: DataFrame
-    rfm_scores: DataFrame
-    clv_predictions: DataFrame
-    cohort_retention: DataFrame
-
-
 def unified_days(transactions: DataFrame, walk: DataFrame) -> DataFrame:
     """Purchases and money per unified customer and day.
 
@@ -68,24 +56,64 @@ def predictions(summary: DataFrame, model: str = "bgnbd", months: int = 12, disc
     raise ValueError(f"unknown model {model!r}")
 
 
-def customer_view(
-    tables: Mapping[str, DataFrame],
-    as_of: str,
-    rules: MatchRules = MatchRules(),
-    value_model: str = "bgnbd",
-    months: int = 12,
-    discount_rate: float = 0.01,
-) -> CustomerView:
-    """Resolve the customers, rekey their purchases, score and value them."""
-    customers, transactions = tables["crm_customers"], tables["transactions"]
-    clusters = written(match_clusters(customers, rules), "clusters")
-    golden = written(golden_records(customers, clusters), "golden")
-    walk = written(crosswalk(customers, clusters), "crosswalk")
-    days = written(unified_days(transactions, walk), "days")
-    rfm = written(rfm_of_days(days, as_of), "rfm")
-    scores = written(rfm_segments(rfm_scores(rfm)), "scores")
-    summary = written(summary_of_days(days, days.agg(F.max("day").alias("d"))), "summary")
-    valued = written(predictions(summary, value_model, months, discount_rate), "valued")
-    tiers = written(value_tiers(valued), "tiers")
-    rates = written(retention(active_customers(customers, transactions)), "retention")
-    return CustomerView(clusters, golden, walk, scores, tiers, rates)
+class CustomerView:
+    """The result tables of the unified customers, each written when first asked for.
+
+    Customers are resolved, their purchases rekeyed to the unified id, scored
+    and valued. ``golden_records``, ``crosswalk``, ``rfm_scores``,
+    ``clv_predictions`` and ``cohort_retention`` are what the look-ups read.
+    """
+
+    def __init__(
+        self,
+        tables: Mapping[str, DataFrame],
+        as_of: str,
+        rules: MatchRules = MatchRules(),
+        value_model: str = "bgnbd",
+        months: int = 12,
+        discount_rate: float = 0.01,
+    ):
+        self.customers = tables["crm_customers"]
+        self.transactions = tables["transactions"]
+        self.as_of = as_of
+        self.rules = rules
+        self.value_model = value_model
+        self.months = months
+        self.discount_rate = discount_rate
+
+    @cached_property
+    def clusters(self) -> DataFrame:
+        return written(match_clusters(self.customers, self.rules), "clusters")
+
+    @cached_property
+    def golden_records(self) -> DataFrame:
+        return written(golden_records(self.customers, self.clusters), "golden")
+
+    @cached_property
+    def crosswalk(self) -> DataFrame:
+        return written(crosswalk(self.customers, self.clusters), "crosswalk")
+
+    @cached_property
+    def days(self) -> DataFrame:
+        return written(unified_days(self.transactions, self.crosswalk), "days")
+
+    @cached_property
+    def rfm_scores(self) -> DataFrame:
+        metrics = written(rfm_of_days(self.days, self.as_of), "rfm")
+        return written(rfm_segments(rfm_scores(metrics)), "scores")
+
+    @cached_property
+    def clv_predictions(self) -> DataFrame:
+        last_day = self.days.agg(F.max("day").alias("d"))
+        summary = written(summary_of_days(self.days, last_day), "summary")
+        valued = predictions(summary, self.value_model, self.months, self.discount_rate)
+        return written(value_tiers(written(valued, "valued")), "tiers")
+
+    @cached_property
+    def cohort_retention(self) -> DataFrame:
+        return written(retention(active_customers(self.customers, self.transactions)), "retention")
+
+    def tables(self) -> dict[str, DataFrame]:
+        """All the tables the look-ups read, by name."""
+        names = ("golden_records", "crosswalk", "rfm_scores", "clv_predictions", "cohort_retention")
+        return {name: getattr(self, name) for name in names}

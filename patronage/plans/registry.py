@@ -96,7 +96,7 @@ class Workspace:
 
     def view(self) -> customer_view.CustomerView:
         return self._once(
-            "view", lambda: customer_view.customer_view(self.tables(), AS_OF, value_model="heuristic")
+            "view", lambda: customer_view.CustomerView(self.tables(), AS_OF, value_model="heuristic")
         )
 
     def chosen_k(self) -> clustering.KChoice:
