@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from patronage.operators.linkage.normalise import forms_of, members, profiles
 from patronage.operators.linkage.pairs import copy_scores, profile_pairs
 from patronage.operators.linkage.rules import MatchRules
-from patronage.session import written
+from patronage.session import remove, written, written_at
 
 
 def connected_components(edges: DataFrame, left: str = "left_id", right: str = "right_id") -> DataFrame:
@@ -17,22 +17,21 @@ def connected_components(edges: DataFrame, left: str = "left_id", right: str = "
     Alternating large-star and small-star steps (Kiveris et al., "Connected
     Components in MapReduce and Beyond", SoCC 2014), O(log² n) rounds of one
     aggregation and one join each. Each round's edges are written to the shared
-    folder, and the same job sums them up; equal sums end the loop.
+    folder, and the same job counts and hashes them; no change ends the loop.
     """
+    spark = edges.sparkSession
     u, v = F.greatest(left, right).alias("u"), F.least(left, right).alias("v")
     # Every round reads its edges several times, and the first ones may be costly to make.
-    current = written(edges.where(F.col(left) != F.col(right)).select(u, v).distinct(), "edges")
+    current, path = written_at(edges.where(F.col(left) != F.col(right)).select(u, v).distinct(), "edges")
     before = None
     while True:
         seen = Observation()
-        current = written(
-            _small_star(_large_star(current)),
-            "star",
-            seen,
-            F.count(F.lit(1)).alias("edges"),
-            # Modulo keeps the sum of the hashes within a long.
-            F.sum(F.pmod(F.xxhash64("u", "v"), F.lit(1 << 31))).alias("digest"),
+        stepped = _small_star(_large_star(current)).observe(
+            seen, F.count(F.lit(1)).alias("edges"), F.bit_xor(F.xxhash64("u", "v")).alias("digest")
         )
+        following, following_path = written_at(stepped, "star")
+        remove(spark, path)
+        current, path = following, following_path
         after = (seen.get["edges"], seen.get["digest"])
         if after == before or after[0] == 0:
             break
@@ -64,7 +63,7 @@ def match_clusters(records: DataFrame, rules: MatchRules = MatchRules()) -> Data
     Works on profiles: the copies of a profile never enter the graph, they take
     the component of their profile. Record pairs are not formed.
     """
-    forms = forms_of(records)
+    forms = written(forms_of(records), "forms")
     distinct = written(profiles(forms), "profiles")
     matches = profile_pairs(distinct, rules, rules.match_threshold)
     linked = connected_components(matches).withColumnRenamed("rec_id", "profile_id")

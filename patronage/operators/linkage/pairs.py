@@ -63,7 +63,11 @@ def tiled_self_join(
     met = (F.col("_i") < F.col("_j")) | (F.col(f"x_{id_col}") > F.col(f"y_{id_col}"))
     if condition is not None:
         met = met & condition
-    both = lower.join(upper, [*keys, "_i", "_j"]).where(met)
+    # The work of a cell grows with the square of its rows, so the cells are dealt out by
+    # number: merged by size in bytes, as is done at run time otherwise, few tasks would get all.
+    cell = [*keys, "_i", "_j"]
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    both = lower.repartition(parts, *cell).join(upper.repartition(parts, *cell), cell).where(met)
     x_first = F.col(f"x_{id_col}") > F.col(f"y_{id_col}")
     return both.select(
         *keys,
@@ -164,9 +168,9 @@ def record_pairs(
     is the number of record pairs that score ``min_score`` or more.
     """
     floor = rules.uncertain_threshold if min_score is None else min_score
-    forms = forms_of(records)
+    forms = written(forms_of(records), "forms")
     distinct = written(profiles(forms), "profiles")
-    owner = members(forms, distinct)
+    owner = written(members(forms, distinct), "members")
     left = owner.select(F.col("profile_id").alias("left_id"), F.col("rec_id").alias("a"))
     right = owner.select(F.col("profile_id").alias("right_id"), F.col("rec_id").alias("b"))
     apart = (

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 RUNTIME_SETTINGS = {
     # Timestamps in the inputs carry no zone; one fixed zone keeps day arithmetic stable.
@@ -69,18 +69,27 @@ def _local_fallback() -> str:
     return _fallback
 
 
-def written(df: DataFrame, label: str, observation: Observation | None = None, *metrics) -> DataFrame:
+def written(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` to the shared folder and return a scan of what was written.
 
     Cuts the lineage in a way that outlives executors, and keeps later reads
-    columnar. ``metrics`` are gathered into ``observation`` by the same job.
+    columnar. The files stay until the folder is cleared.
     """
+    return written_at(df, label)[0]
+
+
+def written_at(df: DataFrame, label: str) -> tuple[DataFrame, str]:
+    """As :func:`written`, with the path, for tables to be removed again."""
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/patronage/{label}-{uuid.uuid4().hex}"
-    if observation is not None:
-        df = df.observe(observation, *metrics)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return spark.read.schema(df.schema).parquet(path), path
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a table made by :func:`written_at` that nothing reads any more."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
 def partitions_for(rows: int, rows_each: int = 100_000) -> int:

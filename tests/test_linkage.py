@@ -1,11 +1,9 @@
-import itertools
 import random
 
-import pandas as pd
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
-from patronage.functions.text import _jaro_winkler
 from patronage.operators.linkage import components, normalise, pairs, report, survive
 from patronage.operators.linkage.rules import MatchRules
 from patronage.sources import exports
@@ -32,27 +30,28 @@ def messy(spark):
 
 
 def brute(records, rules=MatchRules()):
-    forms = normalise.normalise(records).toPandas().sort_values("rec_id")
+    """All pairs of all blocks, with the similarities from DuckDB."""
+    forms = normalise.normalise(records).toPandas()  # noqa: F841 - read by the statement
+    found = duckdb.sql(
+        """
+        SELECT l.rec_id AS l, r.rec_id AS r, l.email_normalized AS email,
+          l.email_normalized = r.email_normalized AS same,
+          CASE WHEN l.name_lower = '' OR r.name_lower = '' THEN 0.0
+               ELSE jaro_winkler_similarity(l.name_lower, r.name_lower) END AS name,
+          CASE WHEN l.phone_normalized = '' OR r.phone_normalized = '' THEN 0.0
+               ELSE jaro_winkler_similarity(l.phone_normalized, r.phone_normalized) END AS phone
+        FROM forms l JOIN forms r ON l.first_letter = r.first_letter AND l.rec_id > r.rec_id"""
+    ).fetchall()
     out = []
-    for a, b in itertools.combinations(forms.to_dict("records"), 2):
-        if a["first_letter"] is None or a["first_letter"] != b["first_letter"]:
-            continue
-        both = [a, b]
-        name, phone = (
-            float(_jaro_winkler(pd.Series([both[1][c]]), pd.Series([both[0][c]]))[0])
-            for c in ("name_lower", "phone_normalized")
-        )
-        same = a["email_normalized"] == b["email_normalized"]
-        if not rules.blank_emails_agree and a["email_normalized"] == "":
-            same = False
-        email = float(same)
-        score = name * rules.name_weight + email * rules.email_weight + phone * rules.phone_weight
+    for left, right, mail, same, name, phone in found:
+        same = same and (rules.blank_emails_agree or mail != "")
+        score = name * rules.name_weight + float(same) * rules.email_weight + phone * rules.phone_weight
         label = (
             "match"
             if score >= rules.match_threshold
             else "uncertain" if score >= rules.uncertain_threshold else "non_match"
         )
-        out.append((b["rec_id"], a["rec_id"], label, round(score, 9)))
+        out.append((left, right, label, round(score, 9)))
     return out
 
 
