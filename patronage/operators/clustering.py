@@ -89,6 +89,7 @@ class KChoice:
     k: int
     inertias: dict[int, float]
     silhouettes: dict[int, float]
+    model: KMeansModel | None = None
 
     def frame(self, spark: SparkSession) -> DataFrame:
         rows = [(k, self.inertias[k], self.silhouettes[k], k == self.k) for k in sorted(self.inertias)]
@@ -133,14 +134,15 @@ def find_optimal_k(
         with ThreadPool(jobs) as pool:
             silhouettes = dict(zip(models, pool.map(silhouette, models, chunksize=1)))
         inertias = {k: model.summary.trainingCost for k, model in models.items()}
-        return KChoice(choose_k(inertias, silhouettes), inertias, silhouettes)
+        k = choose_k(inertias, silhouettes)
+        return KChoice(k, inertias, silhouettes, models[k])
     finally:
         points.unpersist()
 
 
 def fit_clusters(
     features: DataFrame,
-    k: int | None = None,
+    k: int | KChoice | None = None,
     max_clusters: int = 10,
     seed: int = 42,
     starts: int = 10,
@@ -149,17 +151,22 @@ def fit_clusters(
 ) -> DataFrame:
     """Add ``cluster``; numbered by ascending centre, so labels do not depend on the start.
 
+    ``k`` may be the outcome of :func:`find_optimal_k` on the same features, whose
+    model is then used; left out, that search is run.
     ``features`` is scanned several times; pass a written table.
     """
     scaling = Scaling.of(features)
     scaled = scaling.apply(features)
     if k is None:
-        k = find_optimal_k(scaled, max_clusters, seed, starts, max_iter, jobs).k
-    points = vectors(scaled).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        model = _fit_all(points, [k], seed, starts, max_iter, jobs)[k]
-    finally:
-        points.unpersist()
+        k = find_optimal_k(scaled, max_clusters, seed, starts, max_iter, jobs)
+    model = k.model if isinstance(k, KChoice) else None
+    if model is None:
+        wanted = k.k if isinstance(k, KChoice) else k
+        points = vectors(scaled).persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            model = _fit_all(points, [wanted], seed, starts, max_iter, jobs)[wanted]
+        finally:
+            points.unpersist()
     centres = [tuple(c) for c in model.clusterCenters()]
     order = sorted(range(len(centres)), key=centres.__getitem__)
     number = F.create_map(*[F.lit(x) for new, old in enumerate(order) for x in (old, new)])

@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from functools import reduce
 from collections.abc import Mapping
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -30,7 +30,7 @@ def orphan_transaction_rate(transactions: DataFrame, customers: DataFrame) -> Da
     holds most of the table meets the customers as one row.
     """
     per_id = transactions.groupBy("customer_id").agg(F.count(F.lit(1)).alias("n"))
-    known = customers.select("customer_id", F.lit(True).alias("known")).where("customer_id IS NOT NULL").distinct()
+    known = customers.where("customer_id IS NOT NULL").select("customer_id").distinct().withColumn("known", F.lit(True))
     joined = per_id.join(known, "customer_id", "left")
     lost = F.sum(F.when(F.col("known").isNull(), F.col("n")).otherwise(0))
     return joined.agg(

@@ -47,7 +47,13 @@ class Workspace:
         return self._kept[name]
 
     def table(self, name: str) -> DataFrame:
-        return self._once(name, lambda: derived.derived_table(self.spark, self.sf_dir, name))
+        def make() -> DataFrame:
+            df = derived.derived_table(self.spark, self.sf_dir, name)
+            # The customers come out of joins, which would be run again at every use; the
+            # others are projections of one table and read only the columns asked for.
+            return written(df, name) if name == "crm_customers" else df
+
+        return self._once(name, make)
 
     def tables(self) -> dict[str, DataFrame]:
         return {name: self.table(name) for name in derived.DERIVED}
@@ -105,7 +111,7 @@ class Workspace:
     def clustered(self) -> DataFrame:
         return self._once(
             "clustered",
-            lambda: written(clustering.fit_clusters(self.features(), self.chosen_k().k), "clustered"),
+            lambda: written(clustering.fit_clusters(self.features(), self.chosen_k()), "clustered"),
         )
 
     def buying(self) -> probabilistic.BuyingModel:
