@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
@@ -10,6 +12,9 @@ from patronage.operators.linkage.pairs import copy_scores, profile_pairs
 from patronage.operators.linkage.rules import MatchRules
 from patronage.session import remove, written, written_at
 
+# Graphs below this many edges are joined without writing the aggregates first.
+SMALL_GRAPH = 1_000_000
+
 
 def connected_components(edges: DataFrame, left: str = "left_id", right: str = "right_id") -> DataFrame:
     """``(rec_id, component_id)`` for every id in an edge; the smallest id names the component.
@@ -21,38 +26,49 @@ def connected_components(edges: DataFrame, left: str = "left_id", right: str = "
     """
     spark = edges.sparkSession
     u, v = F.greatest(left, right).alias("u"), F.least(left, right).alias("v")
-    # Every round reads its edges several times, and the first ones may be costly to make.
-    current, path = written_at(edges.where(F.col(left) != F.col(right)).select(u, v).distinct(), "edges")
-    before = None
+    step = edges.where(F.col(left) != F.col(right)).select(u, v).distinct()
+    current, before, temporary = None, None, []
     while True:
+        # Every round reads its edges several times: they are written, and counted on the way.
         seen = Observation()
-        stepped = _small_star(_large_star(current)).observe(
+        step = step.observe(
             seen, F.count(F.lit(1)).alias("edges"), F.bit_xor(F.xxhash64("u", "v")).alias("digest")
         )
-        following, following_path = written_at(stepped, "star")
-        remove(spark, path)
-        current, path = following, following_path
+        current, path = written_at(step, "edges")
+        for old in temporary:
+            remove(spark, old)
+        temporary = [path]
         after = (seen.get["edges"], seen.get["digest"])
         if after == before or after[0] == 0:
             break
         before = after
+
+        def hold(least: DataFrame, edge_count: int = after[0]) -> DataFrame:
+            # A join with an aggregate is not split at run time when a node is hot; with a
+            # table it is. Small graphs have no node hot enough to be worth the write.
+            if edge_count < SMALL_GRAPH:
+                return least
+            table, where = written_at(least, "least")
+            temporary.append(where)
+            return table
+
+        step = _small_star(_large_star(current, hold), hold)
     roots = current.select(F.col("v").alias("rec_id"), F.col("v").alias("component_id")).distinct()
     return current.select(F.col("u").alias("rec_id"), F.col("v").alias("component_id")).unionByName(roots)
 
 
-def _large_star(edges: DataFrame) -> DataFrame:
+def _large_star(edges: DataFrame, hold: Callable[[DataFrame], DataFrame]) -> DataFrame:
     """Link each node's larger neighbours to the smallest node around it."""
     both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-    # Rows of one busy node meet a single row here; a hot partition is split at run time.
+    least = hold(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")))
     return (
         both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
     )
 
 
-def _small_star(edges: DataFrame) -> DataFrame:
+def _small_star(edges: DataFrame, hold: Callable[[DataFrame], DataFrame]) -> DataFrame:
     """Link each node and its smaller neighbours to the smallest of them."""
-    least = edges.groupBy("u").agg(F.min("v").alias("m"))
+    least = hold(edges.groupBy("u").agg(F.min("v").alias("m")))
     moved = edges.join(least, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
     return moved.unionByName(least.select("u", F.col("m").alias("v"))).distinct()
 
@@ -72,7 +88,10 @@ def match_clusters(records: DataFrame, rules: MatchRules = MatchRules()) -> Data
         .where(F.col("score") >= rules.match_threshold)
         .select("profile_id", F.lit(True).alias("self"))
     )
-    labels = linked.join(selves, "profile_id", "full").select(
-        "profile_id", F.coalesce("component_id", "profile_id").alias("component_id")
+    labels = written(
+        linked.join(selves, "profile_id", "full").select(
+            "profile_id", F.coalesce("component_id", "profile_id").alias("component_id")
+        ),
+        "labels",
     )
     return members(forms, distinct).join(labels, "profile_id").select("rec_id", "component_id")

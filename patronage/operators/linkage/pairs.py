@@ -43,7 +43,8 @@ def tiled_self_join(
     large group spreads over t (t + 1) / 2 cells of bounded size.
     ``condition`` is part of the join: pairs failing it are never emitted.
     """
-    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1")
+    # A join with an aggregate is not split at run time when a key is hot; with a table it is.
+    sizes = written(df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1"), "sizes")
     tiled = df.join(sizes, keys).select(
         *df.columns, F.ceil(F.col("_n") / F.lit(float(tile_rows))).cast("int").alias("_t")
     )

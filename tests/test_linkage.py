@@ -147,6 +147,11 @@ def test_components_equal_union_find(spark, seed):
     assert got == union_find([e for e in edges if e[0] != e[1]])
 
 
+def test_components_of_graphs_that_count_as_large(spark, monkeypatch):
+    monkeypatch.setattr(components, "SMALL_GRAPH", 0)
+    test_components_equal_union_find(spark, 3)
+
+
 def test_no_edges_no_components(spark):
     assert components.connected_components(spark.createDataFrame([], "left_id long, right_id long")).count() == 0
 
