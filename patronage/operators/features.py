@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from patronage.functions.numeric import MONEY, money_mean, money_sum, whole_days
+from patronage.functions.numeric import money_mean, money_sum, whole_days
 
 
 def web_features(sessions: DataFrame) -> DataFrame:

@@ -43,16 +43,16 @@ def connected_components(edges: DataFrame, left: str = "left_id", right: str = "
             break
         before = after
 
-        def hold(least: DataFrame, edge_count: int = after[0]) -> DataFrame:
+        def hold(part: DataFrame, edge_count: int = after[0]) -> DataFrame:
             # A join with an aggregate is not split at run time when a node is hot; with a
             # table it is. Small graphs have no node hot enough to be worth the write.
             if edge_count < SMALL_GRAPH:
-                return least
-            table, where = written_at(least, "least")
+                return part
+            table, where = written_at(part, "star")
             temporary.append(where)
             return table
 
-        step = _small_star(_large_star(current, hold), hold)
+        step = _small_star(hold(_large_star(current, hold)), hold)
     roots = current.select(F.col("v").alias("rec_id"), F.col("v").alias("component_id")).distinct()
     return current.select(F.col("u").alias("rec_id"), F.col("v").alias("component_id")).unionByName(roots)
 
