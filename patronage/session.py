@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -46,29 +45,17 @@ def local_session(cpus: int = 8, shuffle_partitions: int | None = None) -> Spark
 def shared_folder(spark: SparkSession) -> str:
     """The folder for checkpoints and intermediate tables.
 
-    The cluster names it in ``spark.checkpoint.dir``. Only a local master, where
-    the one machine is the cluster, may fall back to a temporary folder.
+    The cluster names it in ``spark.checkpoint.dir``. Where that is unset, as in
+    tests, it is a folder of the warehouse, which all executors share as well.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder is None:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder all executors reach")
-        folder = _local_fallback()
+    if not folder:
+        folder = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_intermediate"
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(folder)
     return folder
 
 
-_fallback: str | None = None
-
-
-def _local_fallback() -> str:
-    global _fallback
-    if _fallback is None:
-        _fallback = tempfile.mkdtemp(prefix="patronage-")
-    return _fallback
-
-
 def written(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` to the shared folder and return a scan of what was written.
 
