@@ -1,0 +1,21 @@
+"""DuckDB statements for the queries of this subpackage that SQL can express over whole tables."""
+
+from __future__ import annotations
+
+OP3 = r"""
+WITH d AS (
+  SELECT doc_id, length(coalesce(text, '')) AS chars,
+         sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g')) AS text_sha256
+  FROM documents)
+SELECT doc_id,
+       first_value(doc_id) OVER best AS keep_id,
+       count(*) OVER (PARTITION BY text_sha256) AS group_size,
+       row_number() OVER best = 1 AS kept,
+       text_sha256
+FROM d
+WINDOW best AS (PARTITION BY text_sha256 ORDER BY chars DESC, doc_id)
+"""
+
+
+def oracle_sql() -> dict[str, str]:
+    return {"op3_exact_dedup": OP3}
