@@ -14,18 +14,32 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from patronage.llm import exact_dedup, mixing, sentencepieces
-from patronage.llm.registry import PIECE_MODEL, TARGET_WEIGHTS
+from patronage.llm import exact_dedup, mixing, near_join, sentencepieces, toxicity
+from patronage.llm.registry import PIECE_MODEL, TARGET_WEIGHTS, table
 from patronage.session import written
 
 ORACLE_SQL = None
 
 
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
+    scored = toxicity.score(docs, model, into="toxicity_score_tx")
+    return scored.where("toxicity_score_tx < 0.5").select(*docs.columns)
+
+
 def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     found = exact_dedup.exact_duplicates(docs, keep=tuple(docs.columns))
     return found.where("kept").select(*docs.columns)
 
 
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each component of links the row of the smallest ``doc_id`` stays; one row of it, should it repeat.
+
+    Rows without an id or without words are in no group and stay.
+    """
+    return near_join.one_of_each(docs).select(*docs.columns)
+
+
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return mixing.in_order(mixing.mix(docs, TARGET_WEIGHTS)).select(*docs.columns)
 
@@ -35,7 +49,9 @@ def encode_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 STAGES = [
+    ("toxicity", drop_toxic),
     ("exact_dedup", drop_exact_copies),
+    ("ngram_jaccard_join", drop_near_copies),
     ("mixing", mix_sources),
     ("sentencepiece", encode_pieces),
 ]

@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from patronage.llm import exact_dedup, fingerprints, mixing, sentencepieces
+from patronage.llm import exact_dedup, fingerprints, mixing, near_join, sentencepieces, toxicity, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -22,10 +22,18 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op1_warc(spark: SparkSession, folder: str) -> DataFrame:
+    return warc.write_and_read(table(spark, folder, "pages")).drop("url")
+
+
 def op3_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_dedup.exact_duplicates(table(spark, folder, "documents"))
 
 
+def op4_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    return toxicity.predict(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
 def op7_mixing(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "source", "n_chars")
     return mixing.mix(docs, TARGET_WEIGHTS)
@@ -35,14 +43,21 @@ def op8_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
     return sentencepieces.round_trip(table(spark, folder, "documents"), PIECE_MODEL)
 
 
+def op9_near_join(spark: SparkSession, folder: str) -> DataFrame:
+    return near_join.components(table(spark, folder, "documents"))
+
+
 def op10_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
     return fingerprints.compare_neighbours(table(spark, folder, "documents"))
 
 
 def queries() -> dict[str, Query]:
     return {
+        "op1_warc": op1_warc,
         "op3_exact_dedup": op3_exact_dedup,
+        "op4_toxicity": op4_toxicity,
         "op7_mixing": op7_mixing,
         "op8_sentencepiece": op8_sentencepiece,
+        "op9_near_join": op9_near_join,
         "op10_fingerprints": op10_fingerprints,
     }
