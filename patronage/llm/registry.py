@@ -6,8 +6,11 @@ import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from patronage.llm import exact_dedup, fingerprints, mixing, near_join, sentencepieces, toxicity, warc
+from patronage.llm import (
+    exact_dedup, fingerprints, language, lattice_lm, mixing, near_join, quality, sentencepieces, toxicity, warc,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -26,6 +29,10 @@ def op1_warc(spark: SparkSession, folder: str) -> DataFrame:
     return warc.write_and_read(table(spark, folder, "pages")).drop("url")
 
 
+def op2_language(spark: SparkSession, folder: str) -> DataFrame:
+    return language.predict(table(spark, folder, "documents"))
+
+
 def op3_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_dedup.exact_duplicates(table(spark, folder, "documents"))
 
@@ -34,6 +41,16 @@ def op4_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity.predict(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
 
+def op5_lattice_lm(spark: SparkSession, folder: str) -> DataFrame:
+    return lattice_lm.score(table(spark, folder, "documents"), PIECE_MODEL)
+
+
+def op6_quality(spark: SparkSession, folder: str) -> DataFrame:
+    """The documents name no address: their source is the host, and a path of it is one of its languages."""
+    docs, labels = table(spark, folder, "documents"), table(spark, folder, "labels")
+    return quality.score(docs, labels, F.col("source"), F.concat_ws("/", "source", "lang"))
+
+
 def op7_mixing(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "source", "n_chars")
     return mixing.mix(docs, TARGET_WEIGHTS)
@@ -54,8 +71,11 @@ def op10_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
 def queries() -> dict[str, Query]:
     return {
         "op1_warc": op1_warc,
+        "op2_language": op2_language,
         "op3_exact_dedup": op3_exact_dedup,
         "op4_toxicity": op4_toxicity,
+        "op5_lattice_lm": op5_lattice_lm,
+        "op6_quality": op6_quality,
         "op7_mixing": op7_mixing,
         "op8_sentencepiece": op8_sentencepiece,
         "op9_near_join": op9_near_join,
