@@ -215,6 +215,9 @@ SPANS = T.ArrayType(
 def label(docs: DataFrame, model: LanguageModel, text: str = "text") -> DataFrame:
     """``docs`` with ``spans`` (byte offsets in UTF-8, and the language), ``lang_pred`` and ``score``."""
     kept = docs.drop("spans", "lang_pred", "score")
+    if not model.names:
+        none = {"spans": F.array().cast(SPANS), "lang_pred": F.lit(UNKNOWN), "score": F.lit(0.0)}
+        return kept.withColumns(none)
     letter = F.coalesce(F.col(text).rlike(r"\p{L}"), F.lit(False))
     rows = kept.withColumn("letter_lg", letter)
     schema = T.StructType(
@@ -253,29 +256,25 @@ def label(docs: DataFrame, model: LanguageModel, text: str = "text") -> DataFram
         counts = np.bincount(owner, minlength=rows)
         part = batch.slice(row, rows)
         told = part.column(width).to_numpy(zero_copy_only=False)
-        if not len(model.names):
-            none = pa.ListArray.from_arrays(pa.array(np.zeros(rows + 1, np.int32)), _spans([], [], []))
-            made = [none, pa.array([UNKNOWN] * rows), pa.array(np.zeros(rows))]
-        else:
-            state = viterbi(np.concatenate([g[7] for g in group]), counts)
-            weight = np.where(letter, end - begin, 0)
-            mass = np.zeros((rows, len(model.names)))
-            np.add.at(mass, (owner, state), weight)
-            total = mass.sum(axis=1)
-            top = mass.argmax(axis=1)
-            known = told & (total > 0)
-            lang = np.where(known, np.array(model.names, object)[top], UNKNOWN)
-            score = np.where(known, mass[np.arange(rows), top] / np.maximum(total, 1), 0.0)
-            new = np.ones(len(owner), bool)
-            new[1:] = (owner[1:] != owner[:-1]) | (state[1:] != state[:-1])
-            at = np.flatnonzero(new)
-            until = np.append(at[1:], len(owner)) - 1
-            keep = told[owner[at]] if len(at) else np.zeros(0, bool)
-            at, until = at[keep], until[keep]
-            offset = starts[owner[at]]
-            spans = _spans(begin[at] - offset, end[until] - offset, np.array(model.names, object)[state[at]])
-            ends = np.concatenate([[0], np.cumsum(np.bincount(owner[at], minlength=rows))]).astype(np.int32)
-            made = [pa.ListArray.from_arrays(pa.array(ends), spans), pa.array(lang, pa.string()), pa.array(score)]
+        state = viterbi(np.concatenate([g[7] for g in group]), counts)
+        weight = np.where(letter, end - begin, 0)
+        mass = np.zeros((rows, len(model.names)))
+        np.add.at(mass, (owner, state), weight)
+        total = mass.sum(axis=1)
+        top = mass.argmax(axis=1)
+        known = told & (total > 0)
+        lang = np.where(known, np.array(model.names, object)[top], UNKNOWN)
+        score = np.where(known, mass[np.arange(rows), top] / np.maximum(total, 1), 0.0)
+        new = np.ones(len(owner), bool)
+        new[1:] = (owner[1:] != owner[:-1]) | (state[1:] != state[:-1])
+        at = np.flatnonzero(new)
+        until = np.append(at[1:], len(owner)) - 1
+        keep = told[owner[at]] if len(at) else np.zeros(0, bool)
+        at, until = at[keep], until[keep]
+        offset = starts[owner[at]]
+        spans = _spans(begin[at] - offset, end[until] - offset, np.array(model.names, object)[state[at]])
+        ends = np.concatenate([[0], np.cumsum(np.bincount(owner[at], minlength=rows))]).astype(np.int32)
+        made = [pa.ListArray.from_arrays(pa.array(ends), spans), pa.array(lang, pa.string()), pa.array(score)]
         yield pa.RecordBatch.from_arrays([*part.columns[:width], *made], names=names)
 
     def _spans(start, end, lang) -> pa.StructArray:
