@@ -14,10 +14,10 @@ import itertools
 import math
 from collections.abc import Iterable, Sequence
 
-from pyspark.sql import DataFrame, Row
+from pyspark.sql import DataFrame, Row, Window
 from pyspark.sql import functions as F
 
-from patronage.session import shared_folder
+from patronage.session import shared_folder, written
 
 # monotonically_increasing_id keeps the partition above bit 33, the position below.
 _POSITION_BITS = 33
@@ -58,6 +58,35 @@ def order_statistics(df: DataFrame, order: Sequence[str], ranks: Iterable[int])
     return {places[row["_place"]]: row for row in found}
 
 
+def numbered(df: DataFrame, group: str, order: str, into: str = "position") -> DataFrame:
+    """``df`` with the 1-based place of every row within its group; ``order`` is unique.
+
+    Range partitions by (group, order), a count per partition and group, and the
+    place within the partition: a group of any size spreads over many tasks.
+    """
+    spark = df.sparkSession
+    shared_folder(spark)
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    placed = (
+        df.repartitionByRange(parts, group, order)
+        .sortWithinPartitions(group, order)
+        .withColumn("_at", F.monotonically_increasing_id())
+        .checkpoint()
+    )
+    part = F.shiftright("_at", _POSITION_BITS)
+    firsts = placed.groupBy(group, part.alias("_part")).agg(F.min("_at").alias("_first"), F.count(F.lit(1)).alias("_n"))
+    before = Window.partitionBy(group).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = written(
+        firsts.withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0))).drop("_n"), "group-starts"
+    )
+    return (
+        placed.withColumn("_part", part)
+        .join(starts, [group, "_part"])
+        .withColumn(into, F.col("_before") + F.col("_at") - F.col("_first") + 1)
+        .drop("_part", "_before", "_at", "_first")
+    )
+
+
 def quantile_ranks(n: int, q: float) -> tuple[int, int, float]:
     """Lower rank, upper rank and weight of the linearly interpolated quantile."""
     at = q * (n - 1)

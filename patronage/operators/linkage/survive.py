@@ -5,10 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from patronage.functions.order import numbered
 from patronage.functions.text import digits
 
-# Longest list of source ids put into one golden row.
-MAX_LISTED = 100_000
+# Source ids in one row of the comma lists.
+IDS_PER_LIST = 1000
 
 
 def unified_id(rec_id: Column) -> Column:
@@ -53,49 +54,48 @@ def with_components(records: DataFrame, clusters: DataFrame) -> DataFrame:
     )
 
 
-def golden_records(records: DataFrame, clusters: DataFrame, max_listed: int = MAX_LISTED) -> DataFrame:
-    """One row per cluster and per unmatched record.
-
-    ``source_ids`` lists the customer ids by ascending ``rec_id``. A list of
-    unbounded length does not fit a row: for clusters beyond ``max_listed`` it
-    is null and :func:`crosswalk` holds the members; ``record_count`` is always
-    there.
-    """
-    oversized = (
-        clusters.groupBy("component_id")
-        .agg(F.count(F.lit(1)).alias("size"))
-        .where(F.col("size") > max_listed)
-        .select("component_id", F.lit(True).alias("oversized"))
+def lineage(records: DataFrame, clusters: DataFrame) -> DataFrame:
+    """``(unified_id, position, rec_id, customer_id)``: the members of every cluster of any size, by ``rec_id``."""
+    rows = with_components(records, clusters).select("component_id", "rec_id", "customer_id")
+    return numbered(rows, "component_id", "rec_id").select(
+        unified_id(F.col("component_id")).alias("unified_id"), "position", "rec_id", "customer_id"
     )
-    rows = with_components(records, clusters).join(oversized, "component_id", "left")
-    listed = F.collect_list(F.when(F.col("oversized").isNull(), F.struct("rec_id", "customer_id")))
+
+
+def golden_records(records: DataFrame, clusters: DataFrame) -> DataFrame:
+    """One row per cluster and per unmatched record; its members are in :func:`lineage`."""
     return (
-        rows.groupBy("component_id")
+        with_components(records, clusters)
+        .groupBy("component_id")
         .agg(
-            listed.alias("listed"),
             F.count(F.lit(1)).alias("record_count"),
             best_name().alias("name"),
             best_email().alias("email"),
             best_phone().alias("phone"),
         )
+        .select(unified_id(F.col("component_id")).alias("unified_id"), "name", "email", "phone", "record_count")
+    )
+
+
+def source_id_lists(members: DataFrame, per_list: int = IDS_PER_LIST) -> DataFrame:
+    """``(unified_id, part, source_ids)``: all members in comma lists of ``per_list`` ids, in order.
+
+    A small cluster has one list; a large one as many as it takes.
+    """
+    part = F.floor((F.col("position") - 1) / per_list).cast("int")
+    return (
+        members.groupBy("unified_id", part.alias("part"))
+        .agg(F.array_sort(F.collect_list(F.struct("position", "customer_id"))).alias("listed"))
         .select(
-            unified_id(F.col("component_id")).alias("unified_id"),
-            F.when(
-                F.size("listed") > 0,
-                F.array_join(F.transform(F.array_sort("listed"), lambda x: x["customer_id"]), ","),
-            ).alias("source_ids"),
-            "name",
-            "email",
-            "phone",
-            "record_count",
+            "unified_id", "part", F.array_join(F.transform("listed", lambda x: x["customer_id"]), ",").alias("source_ids")
         )
     )
 
 
-def split_source_ids(golden: DataFrame) -> DataFrame:
-    """``(customer_id, unified_id)`` read back from the comma lists, blanks dropped."""
+def split_source_ids(lists: DataFrame) -> DataFrame:
+    """``(customer_id, unified_id)`` read back from comma lists, blanks dropped."""
     return (
-        golden.select("unified_id", F.explode(F.split("source_ids", ",")).alias("part"))
+        lists.select("unified_id", F.explode(F.split("source_ids", ",")).alias("part"))
         .select(F.trim("part").alias("customer_id"), "unified_id")
         .where("customer_id <> ''")
     )

@@ -12,7 +12,7 @@ from patronage.functions.numeric import MONEY, whole_days
 from patronage.operators.cohort import active_customers, retention
 from patronage.operators.linkage.components import match_clusters
 from patronage.operators.linkage.rules import MatchRules
-from patronage.operators.linkage.survive import crosswalk, golden_records
+from patronage.operators.linkage.survive import golden_records, lineage
 from patronage.operators.rfm import rfm_scores, rfm_segments
 from patronage.operators.value.probabilistic import fit_buying, fit_spend, predict_value
 from patronage.operators.value.summary import heuristic_value, summary_of_days
@@ -90,8 +90,12 @@ class CustomerView:
         return written(golden_records(self.customers, self.clusters), "golden")
 
     @cached_property
+    def lineage(self) -> DataFrame:
+        return written(lineage(self.customers, self.clusters), "lineage")
+
+    @property
     def crosswalk(self) -> DataFrame:
-        return written(crosswalk(self.customers, self.clusters), "crosswalk")
+        return self.lineage.select("rec_id", "customer_id", "unified_id")
 
     @cached_property
     def days(self) -> DataFrame:

@@ -37,9 +37,20 @@ def search_customers(
     return _joined(found, scores, predictions, "left", []).orderBy("unified_id")
 
 
-def customer_profile(golden: DataFrame, scores: DataFrame, predictions: DataFrame, unified_id: str) -> DataFrame:
-    """The golden row of one customer with its scores and value; the id filters every side."""
+def customer_profile(
+    golden: DataFrame, scores: DataFrame, predictions: DataFrame, unified_id: str, members: DataFrame | None = None
+) -> DataFrame:
+    """The golden row of one customer with its scores and value; the id filters every side.
+
+    With ``members``, the lineage, the row lists the customer's own ``source_ids``.
+    """
     wanted = F.lit(unified_id)
+    if members is not None:
+        own = members.where(F.col("unified_id") == wanted).groupBy("unified_id").agg(
+            F.array_sort(F.collect_list(F.struct("position", "customer_id"))).alias("listed")
+        )
+        ids = F.array_join(F.transform("listed", lambda x: x["customer_id"]), ",")
+        golden = golden.join(own.select("unified_id", ids.alias("source_ids")), "unified_id", "left")
     r = scores.where(F.col("customer_id") == wanted).withColumnRenamed("customer_id", "unified_id")
     c = predictions.where(F.col("customer_id") == wanted).select(
         F.col("customer_id").alias("unified_id"), "predicted_purchases", "predicted_clv", "clv_tier"
