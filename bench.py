@@ -17,7 +17,7 @@ from patronage.session import local_session
 
 HEADLINE = (
     "q5_quality_report",
-    "e12_match_run",
+    "e12_match_run_at_floor",
     "e12_pair_counts",
     "e13_match_clusters",
     "e18_merge_all",
@@ -26,6 +26,7 @@ HEADLINE = (
     "r8_segment_summary",
     "g3_segmentation_features",
     "g8_fit_clusters",
+    "c12_boosted_predictions",
     "c1_purchase_summary",
     "c6_predicted_clv",
     "c11_value_features",

@@ -6,8 +6,7 @@ the named steps below, from the raw tables on.
 
 from __future__ import annotations
 
-from patronage.operators.rfm import SEGMENT_OF_SCORES
-from patronage.plans.registry import AS_OF, MATRIX_AGES, MEMBER_SEGMENT, PROFILE_ID, SEARCH_TEXT
+from patronage.plans.registry import AS_OF, MEMBER_SEGMENT, PROFILE_ID, SEARCH_TEXT
 from patronage.sources.derived import DERIVED
 
 
@@ -17,9 +16,26 @@ def even(value: str, digits: int) -> str:
     return f"(round_even(({value}) * {scale}, 0) / {scale})"
 
 
+# Fixed values, written here on their own: the score triples with a label.
+_LABELS = """
+  Champions: 555 554 545
+  Loyal Customers: 455 544 445 444
+  Potential Loyalists: 533 433 333
+  New Customers: 511 411
+  Promising: 311 322
+  Need Attention: 222 233
+  About to Sleep: 133 223
+  At Risk: 122 123 211
+  Can't Lose Them: 113 114 115
+  Hibernating: 112
+  Lost: 111
+"""
 _TRIPLES = ", ".join(
-    "('{}', '{}')".format(t, label.replace("'", "''")) for label, triples in SEGMENT_OF_SCORES.items() for t in triples
+    "('{}', '{}')".format(triple, line.split(":")[0].strip().replace("'", "''"))
+    for line in _LABELS.strip().splitlines()
+    for triple in line.split(":")[1].split()
 )
+_AGES = range(-40, 90)
 _MONEY = "CAST(sum(CAST({} AS DECIMAL(18,2))) AS DOUBLE)"
 _FEATURES = ("name_similarity", "email_match", "phone_similarity")
 
@@ -87,7 +103,7 @@ _STEPS: dict[str, tuple[str, tuple[str, ...]]] = {
     SELECT l.rec_id AS left_id, r.rec_id AS right_id,
       CASE WHEN l.name_lower = '' OR r.name_lower = '' THEN 0.0
            ELSE jaro_winkler_similarity(l.name_lower, r.name_lower) END AS name_similarity,
-      CASE WHEN l.email_normalized = r.email_normalized THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS email_match,
+      CASE WHEN l.email_normalized = r.email_normalized AND l.email_normalized <> '' THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS email_match,
       CASE WHEN l.phone_normalized = '' OR r.phone_normalized = '' THEN 0.0
            ELSE jaro_winkler_similarity(l.phone_normalized, r.phone_normalized) END AS phone_similarity
     FROM forms l JOIN forms r ON l.first_letter = r.first_letter AND l.rec_id > r.rec_id)""",
@@ -119,7 +135,7 @@ _STEPS: dict[str, tuple[str, tuple[str, ...]]] = {
     ),
     "golden": (
         """
-  SELECT printf('GOLD_%06d', component_id) AS unified_id, string_agg(customer_id, ',' ORDER BY rec_id) AS source_ids,
+  SELECT printf('GOLD_%06d', component_id) AS unified_id,
     (array_agg(name ORDER BY length(name) DESC, rec_id) FILTER (WHERE name IS NOT NULL))[1] AS name,
     coalesce((array_agg(email ORDER BY rec_id) FILTER (WHERE email LIKE '%@%'))[1],
              (array_agg(email ORDER BY rec_id) FILTER (WHERE email IS NOT NULL))[1]) AS email,
@@ -129,6 +145,12 @@ _STEPS: dict[str, tuple[str, tuple[str, ...]]] = {
   FROM owned GROUP BY component_id""",
         ("owned",),
     ),
+    "listed": (
+        """
+  SELECT printf('GOLD_%06d', component_id) AS unified_id, rec_id, customer_id,
+    row_number() OVER (PARTITION BY component_id ORDER BY rec_id) AS position FROM owned""",
+        ("owned",),
+    ),
     "walk": (
         "SELECT rec_id, customer_id, printf('GOLD_%06d', component_id) AS unified_id FROM owned",
         ("owned",),
@@ -151,7 +173,7 @@ _STEPS: dict[str, tuple[str, tuple[str, ...]]] = {
     "support": (
         f"""
   SELECT customer_id, count(ticket_id) AS ticket_count, avg(satisfaction_score) AS avg_satisfaction,
-    {_MONEY.format("resolution_time_hours")} / count(resolution_time_hours) AS avg_resolution_time
+    avg(resolution_time_hours) AS avg_resolution_time
   FROM support_tickets WHERE customer_id IS NOT NULL GROUP BY 1""",
         ("support_tickets",),
     ),
@@ -284,18 +306,18 @@ def _recent(table: str, newest: str, tie: str, columns: str, limit: int) -> str:
 
 
 def _bins(edges: list[tuple[str, str]]) -> str:
-    return " UNION ALL ".join(f"SELECT '{label}' AS bin, count(*) AS pairs FROM kept WHERE {cond}" for label, cond in edges)
+    return " UNION ALL ".join(f"SELECT '{label}' AS bin, count(*) AS pairs FROM labelled WHERE {cond}" for label, cond in edges)
 
 
 def oracle_sql() -> dict[str, str]:
     t = {
         "s1_load_tables": _with(_COUNTS, *DERIVED),
         "s2_get_table": _with("SELECT * FROM transactions", "transactions"),
-        "s3_table_exists": "SELECT unnest(['crm_customers', 'transactions', 'web_sessions', 'support_tickets']) AS table_name, true AS found",
+        "s3_table_exists": "SELECT unnest(['crm_customers', 'transactions', 'web_sessions', 'support_tickets', 'invoices']) AS table_name, unnest([true, true, true, true, false]) AS found",
         "s4_review_export": _with(_REVIEW, "kept", "crm_customers"),
         "s5_segment_export": _with(_MEMBERS, "golden", "u_segmented", "u_tiered"),
         "s6_profile_json": _with(
-            """SELECT unified_id, CAST(json_object('unified_id', unified_id, 'source_ids', source_ids, 'name', name,
+            """SELECT unified_id, CAST(json_object('unified_id', unified_id, 'name', name,
                  'email', email, 'phone', phone) AS VARCHAR) AS profile FROM golden""",
             "golden",
         ),
@@ -330,14 +352,14 @@ def oracle_sql() -> dict[str, str]:
                FROM forms WHERE first_letter IS NOT NULL GROUP BY 1""",
             "forms",
         ),
-        "e5_candidate_pairs": _with("SELECT left_id, right_id FROM kept", "kept"),
-        "e10_labels": _with("SELECT left_id, right_id, label FROM kept", "kept"),
+        "e5_pairs_at_floor": _with("SELECT left_id, right_id FROM kept", "kept"),
+        "e10_labels_at_floor": _with("SELECT left_id, right_id, label FROM kept", "kept"),
         "e11_review_queue": _with(
             f"""SELECT left_id AS record_id_1, right_id AS record_id_2, {even("score", 6)} AS confidence_score,
                 {_rounded(*_FEATURES)} FROM kept WHERE label = 'uncertain'""",
             "kept",
         ),
-        "e12_match_run": _with(
+        "e12_match_run_at_floor": _with(
             f"SELECT left_id, right_id, {_rounded(*_FEATURES, 'score')}, label FROM kept", "kept"
         ),
         "e12_pair_counts": _with(
@@ -347,10 +369,10 @@ def oracle_sql() -> dict[str, str]:
         ),
         "e13_components": _with("SELECT * FROM clusters", "clusters"),
         "e13_match_clusters": _with("SELECT * FROM clusters", "clusters"),
-        "e14_golden_lineage": _with("SELECT unified_id, source_ids FROM golden WHERE record_count > 1", "golden"),
-        "e15_best_name": _with("SELECT unified_id, name FROM golden WHERE record_count > 1", "golden"),
-        "e16_best_email": _with("SELECT unified_id, email FROM golden WHERE record_count > 1", "golden"),
-        "e17_best_phone": _with("SELECT unified_id, phone FROM golden WHERE record_count > 1", "golden"),
+        "e14_golden_lineage": _with("SELECT * FROM listed", "listed"),
+        "e15_best_name": _with("SELECT unified_id, name FROM golden", "golden"),
+        "e16_best_email": _with("SELECT unified_id, email FROM golden", "golden"),
+        "e17_best_phone": _with("SELECT unified_id, phone FROM golden", "golden"),
         "e18_merge_all": _with("SELECT * FROM golden", "golden"),
         "e19_match_report": _with(
             """
@@ -365,14 +387,12 @@ def oracle_sql() -> dict[str, str]:
         "e20_score_histogram": _with(
             _bins(
                 [
-                    ("(-0.001, 0.2]", "score <= 0.2::DOUBLE"),
-                    ("(0.2, 0.4]", "score > 0.2::DOUBLE AND score <= 0.4::DOUBLE"),
-                    ("(0.4, 0.6]", "score > 0.4::DOUBLE AND score <= 0.6::DOUBLE"),
+                    ("[0, 0.6]", "score <= 0.6::DOUBLE"),
                     ("(0.6, 0.8]", "score > 0.6::DOUBLE AND score <= 0.8::DOUBLE"),
-                    ("(0.8, 1.0]", "score > 0.8::DOUBLE AND score <= 1.0::DOUBLE"),
+                    ("(0.8, 1.0]", "score > 0.8::DOUBLE"),
                 ]
             ),
-            "kept",
+            "labelled",
         ),
         "e21_review_rows": _with(_REVIEW, "kept", "crm_customers"),
         "e22_crosswalk": _with("SELECT * FROM walk", "walk"),
@@ -392,8 +412,8 @@ def oracle_sql() -> dict[str, str]:
         ),
         "r9_segment_overview": _with(_OVERVIEW.format(money=_MONEY.format("monetary"), table="segmented"), "segmented"),
         "g1_web_features": _with("SELECT * FROM web", "web"),
-        "g2_support_features": _with("SELECT * FROM support", "support"),
-        "g3_segmentation_features": _with("SELECT * FROM features", "features"),
+        "g2_support_features": _with(f"SELECT * REPLACE ({even('avg_resolution_time', 6)} AS avg_resolution_time) FROM support", "support"),
+        "g3_segmentation_features": _with(f"SELECT * REPLACE ({even('avg_resolution_time', 6)} AS avg_resolution_time) FROM features", "features"),
         "g4_scaled_features": _with(
             "SELECT customer_id, "
             + ", ".join(
@@ -446,7 +466,7 @@ def oracle_sql() -> dict[str, str]:
             "SELECT cohort_month, "
             + ", ".join(
                 f"max(CASE WHEN cohort_age = {a} THEN retention_rate END) AS {'m' if a >= 0 else 'm_'}{abs(a)}"
-                for a in MATRIX_AGES
+                for a in _AGES
             )
             + " FROM rates GROUP BY 1",
             "rates",
@@ -486,11 +506,12 @@ def oracle_sql() -> dict[str, str]:
         ),
         "d2_customer_profile": _with(
             f"""
-  SELECT g.*, r.recency, r.frequency, r.monetary, r.r_score, r.f_score, r.m_score, r.rfm_score, r.segment,
+  SELECT g.*, (SELECT string_agg(customer_id, ',' ORDER BY rec_id) FROM listed WHERE unified_id = '{PROFILE_ID}') AS source_ids, r.recency, r.frequency, r.monetary, r.r_score, r.f_score, r.m_score, r.rfm_score, r.segment,
     c.predicted_purchases, c.predicted_clv, c.clv_tier
   FROM golden g LEFT JOIN u_segmented r ON r.customer_id = g.unified_id LEFT JOIN u_tiered c ON c.customer_id = g.unified_id
   WHERE g.unified_id = '{PROFILE_ID}'""",
             "golden",
+            "listed",
             "u_segmented",
             "u_tiered",
         ),
@@ -544,10 +565,10 @@ def oracle_sql() -> dict[str, str]:
     ):
         t[key] = _with(f"SELECT rec_id, {column} FROM forms", "forms")
     for key, column in (
-        ("e6_name_similarity", "name_similarity"),
-        ("e7_email_match", "email_match"),
-        ("e8_phone_similarity", "phone_similarity"),
-        ("e9_score", "score"),
+        ("e6_name_similarity_at_floor", "name_similarity"),
+        ("e7_email_match_at_floor", "email_match"),
+        ("e8_phone_similarity_at_floor", "phone_similarity"),
+        ("e9_score_at_floor", "score"),
     ):
         t[key] = _with(f"SELECT left_id, right_id, {_rounded(column)} FROM kept", "kept")
     for key, column in (("r2_r_score", "r_score"), ("r3_f_score", "f_score"), ("r4_m_score", "m_score")):

@@ -113,7 +113,7 @@ def choose_k(inertias: dict[int, float], silhouettes: dict[int, float]) -> int:
 
 
 def find_optimal_k(
-    scaled: DataFrame, max_clusters: int = 10, seed: int = 42, starts: int = 10, max_iter: int = 20, jobs: int = 8
+    scaled: DataFrame, max_clusters: int = 10, seed: int = 42, starts: int = 10, max_iter: int = 300, jobs: int = 8
 ) -> KChoice:
     """Fit every k from 2 on, measure inertia and silhouette, and choose."""
     points = vectors(scaled).persist(StorageLevel.MEMORY_AND_DISK)
@@ -146,7 +146,7 @@ def fit_clusters(
     max_clusters: int = 10,
     seed: int = 42,
     starts: int = 10,
-    max_iter: int = 20,
+    max_iter: int = 300,
     jobs: int = 8,
 ) -> DataFrame:
     """Add ``cluster``; numbered by ascending centre, so labels do not depend on the start.

@@ -70,10 +70,14 @@ def retention_matrix(rates: DataFrame, ages: list[int] | None = None) -> DataFra
     """One row per cohort, one column per age (``m0``, ``m1``, ``m_1`` for -1); empty cells null.
 
     ``ages`` fixes the columns; left out, the ages present are looked up, of
-    which there are as many as months in the data.
+    which there are as many as months in the data. A rate of an age that has no
+    column is an error.
     """
+    present = sorted(r[0] for r in rates.select("cohort_age").distinct().collect())
     if ages is None:
-        ages = sorted(r[0] for r in rates.select("cohort_age").distinct().collect())
+        ages = present
+    if missing := sorted(set(present) - set(ages)):
+        raise ValueError(f"no column for the ages {missing}")
     wide = rates.groupBy("cohort_month").pivot("cohort_age", ages).agg(F.first("retention_rate"))
     return wide.select(
         "cohort_month", *[F.col(f"`{a}`").alias(f"m{a}" if a >= 0 else f"m_{-a}") for a in ages]

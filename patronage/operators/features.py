@@ -29,7 +29,7 @@ def support_features(tickets: DataFrame) -> DataFrame:
         .agg(
             F.count("ticket_id").alias("ticket_count"),
             F.avg("satisfaction_score").alias("avg_satisfaction"),
-            money_mean(F.col("resolution_time_hours")).alias("avg_resolution_time"),
+            F.avg("resolution_time_hours").alias("avg_resolution_time"),
         )
     )
 

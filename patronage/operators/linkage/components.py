@@ -12,9 +12,6 @@ from patronage.operators.linkage.pairs import copy_scores, profile_pairs
 from patronage.operators.linkage.rules import MatchRules
 from patronage.session import remove, written, written_at
 
-# Graphs below this many edges are joined without writing the aggregates first.
-SMALL_GRAPH = 1_000_000
-
 
 def connected_components(edges: DataFrame, left: str = "left_id", right: str = "right_id") -> DataFrame:
     """``(rec_id, component_id)`` for every id in an edge; the smallest id names the component.
@@ -43,11 +40,8 @@ def connected_components(edges: DataFrame, left: str = "left_id", right: str = "
             break
         before = after
 
-        def hold(part: DataFrame, edge_count: int = after[0]) -> DataFrame:
-            # A join with an aggregate is not split at run time when a node is hot; with a
-            # table it is. Small graphs have no node hot enough to be worth the write.
-            if edge_count < SMALL_GRAPH:
-                return part
+        def hold(part: DataFrame) -> DataFrame:
+            # A join with an aggregate is not split at run time when a node is hot; with a table it is.
             table, where = written_at(part, "star")
             temporary.append(where)
             return table

@@ -5,9 +5,9 @@ comparing everybody within it is out of the question at scale. What can reach a
 wanted score is narrower, and follows from the weights:
 
 * above ``best_without_email`` the emails must agree;
-* from ``best_without_email`` on, either the emails agree or names and phones
-  are both identical (the similarity is 1 only for identical, non-empty text);
-* below it anything in the block may qualify.
+* at ``best_without_email``, either the emails agree or names and phones are
+  both identical (the similarity is 1 only for identical, non-empty text);
+* below it anything in the block could qualify: such pairs are counted, never listed.
 
 Each case is a set of equality keys, so candidates come from equi-joins. How
 many other pairs a block has is known from its size alone (:func:`pair_counts`).
@@ -27,6 +27,7 @@ from patronage.session import written
 
 # A key group is cut into tiles of about this many rows before it meets itself.
 TILE_ROWS = 4096
+MOST_TASKS = 50_000
 
 FEATURES = ["name_similarity", "email_match", "phone_similarity"]
 
@@ -66,8 +67,12 @@ def tiled_self_join(
         met = met & condition
     # The work of a cell grows with the square of its rows, so the cells are dealt out by
     # number: merged by size in bytes, as is done at run time otherwise, few tasks would get all.
+    # Each further cell of a large group is a task's worth of work.
     cell = [*keys, "_i", "_j"]
+    tiles = F.ceil(F.col("_n") / F.lit(float(tile_rows)))
+    more = sizes.where(F.col("_n") > tile_rows).agg(F.sum(tiles * (tiles + 1) / 2 - 1).alias("n")).first()["n"]
     parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parts = min(parts + int(more or 0), MOST_TASKS)
     both = lower.repartition(parts, *cell).join(upper.repartition(parts, *cell), cell).where(met)
     x_first = F.col(f"x_{id_col}") > F.col(f"y_{id_col}")
     return both.select(
@@ -85,60 +90,48 @@ def _within_reach(rules: MatchRules, min_score: float, same_name: bool, email: f
 
 
 def profile_pairs(
-    distinct: DataFrame, rules: MatchRules = MatchRules(), min_score: float | None = None
+    distinct: DataFrame, rules: MatchRules = MatchRules(), floor: float | None = None
 ) -> DataFrame:
-    """Scored pairs of different profiles scoring ``min_score`` or more.
+    """Scored pairs of different profiles scoring ``floor`` or more.
 
     ``(left_id, right_id, features, score, weight)`` with ``left_id`` the larger
-    profile id and ``weight`` the number of record pairs it stands for.
-    ``min_score`` defaults to the uncertain threshold. 0 asks for every pair of
-    every block, whose number grows with the square of the block.
+    profile id and ``weight`` the number of record pairs it stands for. The
+    floor defaults to the uncertain threshold; one below ``best_without_email``
+    would list whole blocks and is an error.
     """
-    floor = rules.uncertain_threshold if min_score is None else min_score
-    block = distinct
-    parts = []
+    floor = rules.uncertain_threshold if floor is None else floor
     if floor < rules.best_without_email - 1e-9:
-        reach = _within_reach(rules, floor, False, None)
-        wide = tiled_self_join(block, ["first_letter"], "profile_id", reach)
-        agree = rules.emails_agree(F.col("l_email_normalized"), F.col("r_email_normalized"))
-        parts.append(
-            wide.select(
-                F.col("l_profile_id").alias("left_id"),
-                F.col("r_profile_id").alias("right_id"),
-                jaro_winkler("l_name_lower", "r_name_lower").alias("name_similarity"),
-                agree.cast("double").alias("email_match"),
-                jaro_winkler("l_phone_normalized", "r_phone_normalized").alias("phone_similarity"),
-                (F.col("l_copies") * F.col("r_copies")).alias("weight"),
-            )
+        raise ValueError(f"pairs below {rules.best_without_email} are counted, not listed")
+    mailed = distinct if rules.blank_emails_agree else distinct.where("email_normalized <> ''")
+    # A row without a name or phone can't score above what is left.
+    name, phone = ((F.col(c) != "").cast("double") for c in ("name_lower", "phone_normalized"))
+    mailed = mailed.where(rules.score(name, F.lit(1.0), phone) >= floor - 1e-9)
+    reach = _within_reach(rules, floor, False, 1.0)
+    agreeing = tiled_self_join(mailed, ["first_letter", "email_normalized"], "profile_id", reach)
+    parts = [
+        agreeing.select(
+            F.col("l_profile_id").alias("left_id"),
+            F.col("r_profile_id").alias("right_id"),
+            jaro_winkler("l_name_lower", "r_name_lower").alias("name_similarity"),
+            F.lit(1.0).alias("email_match"),
+            jaro_winkler("l_phone_normalized", "r_phone_normalized").alias("phone_similarity"),
+            (F.col("l_copies") * F.col("r_copies")).alias("weight"),
         )
-    else:
-        mailed = block if rules.blank_emails_agree else block.where("email_normalized <> ''")
-        reach = _within_reach(rules, floor, False, 1.0)
-        agreeing = tiled_self_join(mailed, ["first_letter", "email_normalized"], "profile_id", reach)
+    ]
+    if floor <= rules.best_without_email:
+        # Different profiles with one name and phone have different emails.
+        named = distinct.where("phone_normalized <> ''").drop("email_normalized")
+        alike = tiled_self_join(named, ["first_letter", "name_lower", "phone_normalized"], "profile_id")
         parts.append(
-            agreeing.select(
+            alike.select(
                 F.col("l_profile_id").alias("left_id"),
                 F.col("r_profile_id").alias("right_id"),
-                jaro_winkler("l_name_lower", "r_name_lower").alias("name_similarity"),
-                F.lit(1.0).alias("email_match"),
-                jaro_winkler("l_phone_normalized", "r_phone_normalized").alias("phone_similarity"),
+                F.lit(1.0).alias("name_similarity"),
+                F.lit(0.0).alias("email_match"),
+                F.lit(1.0).alias("phone_similarity"),
                 (F.col("l_copies") * F.col("r_copies")).alias("weight"),
             )
         )
-        if floor <= rules.best_without_email:
-            # Different profiles with one name and phone have different emails.
-            named = block.where("phone_normalized <> ''").drop("email_normalized")
-            alike = tiled_self_join(named, ["first_letter", "name_lower", "phone_normalized"], "profile_id")
-            parts.append(
-                alike.select(
-                    F.col("l_profile_id").alias("left_id"),
-                    F.col("r_profile_id").alias("right_id"),
-                    F.lit(1.0).alias("name_similarity"),
-                    F.lit(0.0).alias("email_match"),
-                    F.lit(1.0).alias("phone_similarity"),
-                    (F.col("l_copies") * F.col("r_copies")).alias("weight"),
-                )
-            )
     return _scored(reduce(DataFrame.unionByName, parts), rules).where(F.col("score") >= floor)
 
 
@@ -151,7 +144,7 @@ def copy_scores(distinct: DataFrame, rules: MatchRules = MatchRules()) -> DataFr
         F.lit(1.0).alias("name_similarity"),
         blank_email.cast("double").alias("email_match"),
         (F.col("phone_normalized") != "").cast("double").alias("phone_similarity"),
-        (F.col("copies") * (F.col("copies") - 1) / 2).cast("long").alias("weight"),
+        F.expr("copies * (copies - 1) DIV 2").alias("weight"),
     )
     return _scored(rows, rules)
 
@@ -161,14 +154,14 @@ def _scored(pairs: DataFrame, rules: MatchRules) -> DataFrame:
 
 
 def record_pairs(
-    records: DataFrame, rules: MatchRules = MatchRules(), min_score: float | None = None
+    records: DataFrame, rules: MatchRules = MatchRules(), floor: float | None = None
 ) -> DataFrame:
-    """Scored and labelled record pairs, ``left_id`` the larger ``rec_id``.
+    """Scored and labelled record pairs at or above ``floor``, ``left_id`` the larger ``rec_id``.
 
     The listing form of :func:`profile_pairs` and :func:`copy_scores`; its size
-    is the number of record pairs that score ``min_score`` or more.
+    is the number of record pairs that score ``floor`` or more.
     """
-    floor = rules.uncertain_threshold if min_score is None else min_score
+    floor = rules.uncertain_threshold if floor is None else floor
     forms = written(forms_of(records), "forms")
     distinct = written(profiles(forms), "profiles")
     owner = written(members(forms, distinct), "members")
@@ -196,15 +189,31 @@ def record_pairs(
 
 def block_sizes(records: DataFrame) -> DataFrame:
     """Records and pairs per block; the pairs are counted, not formed."""
-    n = F.col("records")
     return (
         forms_of(records)
         .groupBy("first_letter")
         .agg(F.count(F.lit(1)).alias("records"))
-        .withColumn("candidate_pairs", (n * (n - 1) / 2).cast("long"))
+        .withColumn("candidate_pairs", F.expr("records * (records - 1) DIV 2"))
     )
 
 
+def _weighed(distinct: DataFrame, rules: MatchRules) -> DataFrame:
+    """``score, weight`` of the pairs from the uncertain threshold on."""
+    return (
+        profile_pairs(distinct, rules)
+        .select("score", "weight")
+        .unionByName(copy_scores(distinct, rules).select("score", "weight"))
+        .where(F.col("score") >= rules.uncertain_threshold)
+    )
+
+
+def _all_pairs(distinct: DataFrame) -> DataFrame:
+    """One row ``all_pairs``: pairs of all blocks, from their sizes, in integers."""
+    per_block = distinct.groupBy("first_letter").agg(F.sum("copies").alias("n"))
+    pairs = F.expr("CAST(CAST(n AS DECIMAL(19,0)) * (n - 1) / 2 AS DECIMAL(38,0))")
+    return per_block.agg(F.coalesce(F.sum(pairs), F.lit(0)).cast("long").alias("all_pairs"))
+
+
 def pair_counts(records: DataFrame, rules: MatchRules = MatchRules()) -> DataFrame:
     """``(label, pairs)`` over all pairs of all blocks.
 
@@ -212,35 +221,29 @@ def pair_counts(records: DataFrame, rules: MatchRules = MatchRules()) -> DataFra
     others are what is left of the block sizes.
     """
     distinct = written(profiles(forms_of(records)), "profiles")
-    kept = (
-        profile_pairs(distinct, rules)
-        .select("score", "weight")
-        .unionByName(copy_scores(distinct, rules).select("score", "weight"))
-        .groupBy(rules.label(F.col("score")).alias("label"))
-        .agg(F.sum("weight").alias("pairs"))
-        .where("label <> 'non_match'")
-    )
-    per_block = distinct.groupBy("first_letter").agg(F.sum("copies").alias("n"))
-    total = per_block.agg(
-        F.coalesce(F.sum((F.col("n") * (F.col("n") - 1) / 2).cast("long")), F.lit(0)).alias("all_pairs")
-    )
-    by_label = kept.groupBy().pivot("label", ["match", "uncertain"]).agg(F.sum("pairs"))
-    counts = by_label.select(
-        F.coalesce("match", F.lit(0)).alias("m"),
-        F.coalesce("uncertain", F.lit(0)).alias("u"),
-        total.scalar().alias("t"),
-    )
-    return counts.select(
-        F.inline(
-            F.array(
-                F.struct(F.lit("match").alias("label"), F.col("m").alias("pairs")),
-                F.struct(F.lit("uncertain").alias("label"), F.col("u").alias("pairs")),
-                F.struct(
-                    F.lit("non_match").alias("label"), (F.col("t") - F.col("m") - F.col("u")).alias("pairs")
-                ),
-            )
-        )
+    label = rules.label(F.col("score"))
+    sums = [F.coalesce(F.sum(F.when(label == x, F.col("weight"))), F.lit(0)) for x in ("match", "uncertain")]
+    row = _weighed(distinct, rules).agg(sums[0].alias("m"), sums[1].alias("u"))
+    counts = row.select("m", "u", _all_pairs(distinct).scalar().alias("t"))
+    rows = [("match", F.col("m")), ("uncertain", F.col("u")), ("non_match", F.col("t") - F.col("m") - F.col("u"))]
+    return counts.select(F.inline(F.array(*[F.struct(F.lit(x).alias("label"), n.alias("pairs")) for x, n in rows])))
+
+
+def score_histogram(records: DataFrame, rules: MatchRules = MatchRules()) -> DataFrame:
+    """``(bin, pairs)`` over all pairs of all blocks: the two upper fifths of the scores, and the rest.
+
+    Pairs of at most ``best_without_email`` are never formed, so what lies
+    below the upper bins is one bin: all pairs of the blocks but those above it.
+    """
+    distinct = written(profiles(forms_of(records)), "profiles")
+    score, weight = F.col("score"), F.col("weight")
+    upper = _weighed(distinct, rules).agg(
+        F.coalesce(F.sum(F.when((score > 0.6) & (score <= 0.8), weight)), F.lit(0)).alias("b"),
+        F.coalesce(F.sum(F.when(score > 0.8, weight)), F.lit(0)).alias("c"),
     )
+    counts = upper.select("b", "c", _all_pairs(distinct).scalar().alias("t"))
+    rows = [("[0, 0.6]", F.col("t") - F.col("b") - F.col("c")), ("(0.6, 0.8]", F.col("b")), ("(0.8, 1.0]", F.col("c"))]
+    return counts.select(F.inline(F.array(*[F.struct(F.lit(x).alias("bin"), n.alias("pairs")) for x, n in rows])))
 
 
 def review_candidates(pairs: DataFrame) -> DataFrame:

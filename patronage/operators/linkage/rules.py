@@ -13,8 +13,9 @@ class MatchRules:
     """How a pair is scored and judged.
 
     ``blank_emails_agree``: two records without an email count as having the
-    same one. It makes every such pair within a block a candidate; turn it off
-    where many emails are missing.
+    same one. It makes every such pair within a block a candidate, n * (n - 1) / 2
+    of them for n records without email, so a missing email agrees with nothing
+    unless this is asked for.
     """
 
     name_weight: float = 0.4
@@ -22,7 +23,7 @@ class MatchRules:
     phone_weight: float = 0.2
     match_threshold: float = 0.85
     uncertain_threshold: float = 0.6
-    blank_emails_agree: bool = True
+    blank_emails_agree: bool = False
 
     def score(self, name: Column, email: Column, phone: Column) -> Column:
         """Weighted sum, added in this order: some sums lie right on a threshold."""

@@ -60,7 +60,8 @@ def minimise(
     """Damped Newton steps on central differences; returns the parameters.
 
     The differences of a step come from one job, the step lengths tried along
-    the direction from another.
+    the direction from another. A search that ends elsewhere than where the
+    gradient or its gains vanish is an error.
     """
     x = np.log(np.asarray(start, dtype=float))
     d, h = len(x), 1e-3
@@ -92,8 +93,12 @@ def minimise(
         best = int(np.argmin(tried))
         gain = f[0] - tried[best]
         if not gain > 0:
-            break
+            if np.max(np.abs(gradient)) < 100 * tolerance:
+                break
+            raise ArithmeticError(f"no step gains, but the gradient is {np.max(np.abs(gradient)):.2g}")
         x = x + lengths[best] * step
         if gain < 1e-6:
             break
+    else:
+        raise ArithmeticError(f"no convergence within {max_steps} steps")
     return np.exp(x)

@@ -121,8 +121,8 @@ def _hyp2f1(a: float, b: float, c: np.ndarray, z: np.ndarray) -> np.ndarray:
         term = term * ((a + n) * (b + n) / ((c + n) * (n + 1)) * z)
         total += term
         if np.all(np.abs(term) <= 1e-15 * np.abs(total)):
-            break
-    return total
+            return total
+    raise ArithmeticError("the hypergeometric series does not settle")
 
 
 def _expected_purchases(model: BuyingModel, x, t_x, age, horizons: np.ndarray) -> np.ndarray:

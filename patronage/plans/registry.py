@@ -168,11 +168,12 @@ def s2_get_table(ws: Workspace) -> DataFrame:
 
 
 def s3_table_exists(ws: Workspace) -> DataFrame:
+    """Which of the loaded tables, and of a name that was never loaded, the catalog has."""
     names = _load(ws)
-    return quality.row_counts(ws.tables()).select(
-        "table_name",
-        F.col("table_name").isin([n for n, t in names.items() if tables.table_exists(ws.spark, t)]).alias("found"),
-    )
+    asked = ws.spark.createDataFrame([(n,) for n in [*names, "invoices"]], "table_name string")
+    found = [n for n in [*names, "invoices"] if tables.table_exists(ws.spark, names.get(n, f"patronage_{n}"))]
+    counted = quality.row_counts(ws.tables())
+    return asked.join(counted, "table_name", "left").select("table_name", F.col("table_name").isin(found).alias("found"))
 
 
 def s4_review_export(ws: Workspace) -> DataFrame:
@@ -227,7 +228,7 @@ def e5_block_sizes(ws: Workspace) -> DataFrame:
     return pairs.block_sizes(ws.customers)
 
 
-def e5_candidate_pairs(ws: Workspace) -> DataFrame:
+def e5_pairs_at_floor(ws: Workspace) -> DataFrame:
     return ws.pairs().select("left_id", "right_id")
 
 
@@ -235,7 +236,7 @@ def _feature(*columns: str) -> Callable[[Workspace], DataFrame]:
     return lambda ws: ws.pairs().select("left_id", "right_id", *_r(*columns))
 
 
-def e10_labels(ws: Workspace) -> DataFrame:
+def e10_labels_at_floor(ws: Workspace) -> DataFrame:
     return ws.pairs().select("left_id", "right_id", "label")
 
 
@@ -247,7 +248,7 @@ def e11_review_queue(ws: Workspace) -> DataFrame:
     return queue.select("record_id_1", "record_id_2", *_r("confidence_score"), *details)
 
 
-def e12_match_run(ws: Workspace) -> DataFrame:
+def e12_match_run_at_floor(ws: Workspace) -> DataFrame:
     rows = pairs.record_pairs(ws.customers)
     return rows.select("left_id", "right_id", *_r(*pairs.FEATURES, "score"), "label")
 
@@ -265,7 +266,7 @@ def e13_match_clusters(ws: Workspace) -> DataFrame:
 
 
 def _golden(column: str) -> Callable[[Workspace], DataFrame]:
-    return lambda ws: ws.view().golden_records.where("record_count > 1").select("unified_id", column)
+    return lambda ws: ws.view().golden_records.select("unified_id", column)
 
 
 def e18_merge_all(ws: Workspace) -> DataFrame:
@@ -277,7 +278,7 @@ def e19_match_report(ws: Workspace) -> DataFrame:
 
 
 def e20_score_histogram(ws: Workspace) -> DataFrame:
-    return report.score_histogram(ws.pairs())
+    return pairs.score_histogram(ws.customers)
 
 
 def e21_review_rows(ws: Workspace) -> DataFrame:
@@ -290,7 +291,7 @@ def e22_crosswalk(ws: Workspace) -> DataFrame:
 
 
 def e22_split_source_ids(ws: Workspace) -> DataFrame:
-    return survive.split_source_ids(ws.view().golden_records)
+    return survive.split_source_ids(survive.source_id_lists(ws.view().lineage))
 
 
 # --- recency, frequency, monetary -------------------------------------------
@@ -330,11 +331,13 @@ def g1_web_features(ws: Workspace) -> DataFrame:
 
 
 def g2_support_features(ws: Workspace) -> DataFrame:
-    return features.support_features(ws.table("support_tickets"))
+    rows = features.support_features(ws.table("support_tickets"))
+    return rows.withColumn("avg_resolution_time", *_r("avg_resolution_time"))
 
 
 def g3_segmentation_features(ws: Workspace) -> DataFrame:
-    return features.segmentation_features(ws.scores(), ws.table("web_sessions"), ws.table("support_tickets"))
+    rows = features.segmentation_features(ws.scores(), ws.table("web_sessions"), ws.table("support_tickets"))
+    return rows.withColumn("avg_resolution_time", *_r("avg_resolution_time"))
 
 
 def g4_scaled_features(ws: Workspace) -> DataFrame:
@@ -500,7 +503,7 @@ def d1_customer_search(ws: Workspace) -> DataFrame:
 
 def d2_customer_profile(ws: Workspace) -> DataFrame:
     v = ws.view()
-    return serving.customer_profile(v.golden_records, v.rfm_scores, v.clv_predictions, PROFILE_ID)
+    return serving.customer_profile(v.golden_records, v.rfm_scores, v.clv_predictions, PROFILE_ID, v.lineage)
 
 
 def d3_recent_transactions(ws: Workspace) -> DataFrame:
@@ -549,7 +552,7 @@ _QUERIES: dict[str, Callable[[Workspace], DataFrame]] = {
     for f in (
         s1_load_tables, s2_get_table, s3_table_exists, s4_review_export, s5_segment_export, s6_profile_json,
         q1_row_counts, q2_orphan_rate, q3_missing_email_rate, q4_duplicate_rate, q5_quality_report,
-        e5_block_sizes, e5_candidate_pairs, e10_labels, e11_review_queue, e12_match_run, e12_pair_counts,
+        e5_block_sizes, e5_pairs_at_floor, e10_labels_at_floor, e11_review_queue, e12_match_run_at_floor, e12_pair_counts,
         e13_components, e13_match_clusters, e18_merge_all, e19_match_report, e20_score_histogram,
         e21_review_rows, e22_crosswalk, e22_split_source_ids,
         r1_rfm_metrics, r6_segments, r7_rule_segments, r8_segment_summary, r9_segment_overview,
@@ -572,11 +575,11 @@ _QUERIES |= {
     "e2_phone_normalized": _form("phone_normalized"),
     "e3_name_lower": _form("name_lower"),
     "e4_first_letter": _form("first_letter"),
-    "e6_name_similarity": _feature("name_similarity"),
-    "e7_email_match": _feature("email_match"),
-    "e8_phone_similarity": _feature("phone_similarity"),
-    "e9_score": _feature("score"),
-    "e14_golden_lineage": _golden("source_ids"),
+    "e6_name_similarity_at_floor": _feature("name_similarity"),
+    "e7_email_match_at_floor": _feature("email_match"),
+    "e8_phone_similarity_at_floor": _feature("phone_similarity"),
+    "e9_score_at_floor": _feature("score"),
+    "e14_golden_lineage": lambda ws: ws.view().lineage,
     "e15_best_name": _golden("name"),
     "e16_best_email": _golden("email"),
     "e17_best_phone": _golden("phone"),

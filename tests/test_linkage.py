@@ -63,8 +63,8 @@ def listed(frame):
     "rules",
     [
         MatchRules(),
-        MatchRules(blank_emails_agree=False),
-        MatchRules(uncertain_threshold=0.45),
+        MatchRules(blank_emails_agree=True),
+        MatchRules(uncertain_threshold=0.65),
         MatchRules(match_threshold=0.9, uncertain_threshold=0.7),
     ],
 )
@@ -76,13 +76,28 @@ def test_pairs_equal_brute_force(messy, rules):
     assert counts == {label: sum(p[2] == label for p in want) for label in ("match", "uncertain", "non_match")}
 
 
-def test_every_pair_of_every_block_on_request(messy):
-    want = sorted(brute(messy))
-    found = pairs.record_pairs(messy, min_score=0.0)
-    assert listed(found) == want
-    histogram = {r.bin: r.pairs for r in report.score_histogram(found).collect()}
-    assert sum(histogram.values()) == len(want)
-    assert list(histogram) == [label for _, label in report.SCORE_BINS]
+@pytest.mark.parametrize("rules", [MatchRules(), MatchRules(blank_emails_agree=True)])
+def test_histogram_covers_every_pair_of_every_block(messy, rules):
+    want = [p[3] for p in brute(messy, rules)]
+    found = {r.bin: r.pairs for r in pairs.score_histogram(messy, rules).collect()}
+    edge = 0.6 - 1e-9  # 0.4 + 0.2 is above 0.6 in doubles
+    assert found == {
+        "[0, 0.6]": sum(x <= edge for x in want),
+        "(0.6, 0.8]": sum(edge < x <= 0.8 + 1e-9 for x in want),
+        "(0.8, 1.0]": sum(x > 0.8 + 1e-9 for x in want),
+    }
+
+
+def test_a_floor_that_would_list_whole_blocks_is_an_error(messy):
+    with pytest.raises(ValueError, match="counted"):
+        pairs.record_pairs(messy, floor=0.3)
+
+
+def test_pairs_of_large_blocks_are_counted_in_integers(spark):
+    n = 150_000_003
+    profile = spark.createDataFrame([(0, "a", "ann", "", "1", n)], "profile_id long, first_letter string, name_lower string, email_normalized string, phone_normalized string, copies long")
+    assert pairs._all_pairs(profile).first().all_pairs == n * (n - 1) // 2
+    assert pairs.copy_scores(profile).first().weight == n * (n - 1) // 2
 
 
 def test_profile_pairs_weigh_as_record_pairs(messy):
@@ -110,7 +125,7 @@ def test_different_first_letters_are_not_compared(spark):
     same_person = people(
         spark, [(0, "1", "Robert Smith", "r@t.com", "123"), (1, "2", "Bob Smith", "r@t.com", "123")]
     )
-    assert pairs.record_pairs(same_person, min_score=0.0).count() == 0
+    assert pairs.record_pairs(same_person).count() == 0 and pairs.block_sizes(same_person).agg({"candidate_pairs": "sum"}).first()[0] == 0
 
 
 def test_review_queue_details(messy):
@@ -147,11 +162,6 @@ def test_components_equal_union_find(spark, seed):
     assert got == union_find([e for e in edges if e[0] != e[1]])
 
 
-def test_components_of_graphs_that_count_as_large(spark, monkeypatch):
-    monkeypatch.setattr(components, "SMALL_GRAPH", 0)
-    test_components_equal_union_find(spark, 3)
-
-
 def test_no_edges_no_components(spark):
     assert components.connected_components(spark.createDataFrame([], "left_id long, right_id long")).count() == 0
 
@@ -163,14 +173,14 @@ def test_match_clusters_equal_components_of_all_pairs(messy):
 
 
 @pytest.fixture(scope="module")
-def four(spark):
+def crew(spark):
     return people(
         spark,
         [
-            (0, "CRM_001", "Robert Smith", "robert@test.com", "+1-123-456-7890"),
-            (1, "CRM_002", "Jane Doe", "jane@test.com", "555-111-2222"),
-            (2, "CRM_DUP_001", "Bob Smith", "robert@test.com", "1234567890"),
-            (3, "CRM_003", "Alice Johnson", "alice@test.com", "999-000-1111"),
+            (3, "M-17", "Oluwaseun Adeyemi", "seun@harbour.example", "(020) 7946 0018"),
+            (5, "M-20", "Ingrid Vass", "ingrid@quay.example", "0161 496 0007"),
+            (8, "M-17b", "O. Adeyemi", "seun@harbour.example", "02079460018"),
+            (11, "M-31", "Tomas Brandt", None, "0191 498 0100"),
         ],
     )
 
@@ -179,12 +189,12 @@ def one_cluster(spark, members):
     return spark.createDataFrame([(m, min(members)) for m in members], "rec_id long, component_id long")
 
 
-def test_golden_records(spark, four):
-    golden = {r.unified_id: r for r in survive.golden_records(four, one_cluster(spark, [0, 2])).collect()}
-    assert set(golden) == {"GOLD_000000", "GOLD_000001", "GOLD_000003"}
-    merged = golden["GOLD_000000"]
-    assert merged.source_ids == "CRM_001,CRM_DUP_001"
-    assert (merged.name, merged.email, merged.phone) == ("Robert Smith", "robert@test.com", "+1-123-456-7890")
+def test_golden_records(spark, crew):
+    golden = {r.unified_id: r for r in survive.golden_records(crew, one_cluster(spark, [3, 8])).collect()}
+    assert set(golden) == {"GOLD_000003", "GOLD_000005", "GOLD_000011"}
+    merged = golden["GOLD_000003"]
+    assert (merged.name, merged.email, merged.phone) == ("Oluwaseun Adeyemi", "seun@harbour.example", "(020) 7946 0018")
+    assert merged.record_count == 2 and golden["GOLD_000011"].email is None
 
 
 def test_best_values_prefer_the_first_on_ties(spark):
@@ -196,20 +206,28 @@ def test_best_values_prefer_the_first_on_ties(spark):
     ]
     golden = survive.golden_records(people(spark, rows), one_cluster(spark, [4, 7, 9, 12345678])).first()
     assert (golden.name, golden.email, golden.phone) == ("Xy Z", "q@x", "12-34")
-    assert golden.source_ids == "d,a,b,c"
     lonely = survive.golden_records(
         people(spark, [(12345678, "c", None, None, None)]), spark.createDataFrame([], "rec_id long, component_id long")
     ).first()
     assert lonely.unified_id == "GOLD_12345678" and lonely.name is None and lonely.email is None
 
 
-def test_oversized_clusters_keep_their_members_in_the_crosswalk(spark, four):
-    clusters = one_cluster(spark, [0, 1, 2])
-    golden = {r.unified_id: r for r in survive.golden_records(four, clusters, max_listed=2).collect()}
-    assert golden["GOLD_000000"].source_ids is None and golden["GOLD_000000"].record_count == 3
-    assert golden["GOLD_000003"].source_ids == "CRM_003"
-    walk = survive.crosswalk(four, clusters).where("unified_id = 'GOLD_000000'")
-    assert sorted(r.customer_id for r in walk.collect()) == ["CRM_001", "CRM_002", "CRM_DUP_001"]
+def test_lineage_has_every_member_in_order(spark, crew):
+    members = survive.lineage(crew, one_cluster(spark, [3, 5, 8]))
+    got = sorted((r.unified_id, r.position, r.rec_id, r.customer_id) for r in members.collect())
+    assert got == [
+        ("GOLD_000003", 1, 3, "M-17"), ("GOLD_000003", 2, 5, "M-20"), ("GOLD_000003", 3, 8, "M-17b"),
+        ("GOLD_000011", 1, 11, "M-31"),
+    ]
+
+
+def test_lists_of_a_large_cluster_lose_no_id(spark):
+    records = people(spark, [(i, f"C{i}", "n", None, None) for i in range(500)])
+    members = survive.lineage(records, one_cluster(spark, list(range(500)))).cache()
+    assert sorted((r.position, r.rec_id) for r in members.collect()) == [(i + 1, i) for i in range(500)]
+    lists = survive.source_id_lists(members, per_list=64)
+    assert lists.count() == 8 and lists.where("part = 1").first().source_ids.startswith("C64,C65,")
+    assert sorted(r.customer_id for r in survive.split_source_ids(lists).collect()) == sorted(f"C{i}" for i in range(500))
 
 
 def test_source_ids_split_back(spark):
