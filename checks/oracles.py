@@ -438,6 +438,25 @@ def oracle_sql() -> dict[str, str]:
   FROM bought WHERE customer_id IS NOT NULL GROUP BY 1 HAVING count(*) > 1""",
             "bought",
         ),
+        "c3_buying_likelihood": _with(
+            f"""
+  SELECT customer_id, {even('''lgamma(0.8 + x) - lgamma(0.8) + 0.8 * ln(60.0::DOUBLE)
+      + lgamma(3.2) + lgamma(2.5 + x) - lgamma(2.5) - lgamma(3.2 + x)
+      + CASE WHEN x > 0 THEN alive + ln(1 + exp(gone - alive)) ELSE alive END''', 6)} AS log_likelihood
+  FROM (SELECT *, -(0.8 + x) * ln(60 + age) AS alive,
+          ln(0.7::DOUBLE) - ln(2.5 + greatest(x, 1.0) - 1) - (0.8 + x) * ln(60 + t) AS gone
+        FROM (SELECT customer_id, frequency::DOUBLE AS x, recency::DOUBLE AS t, "T"::DOUBLE AS age FROM summary))""",
+            "summary",
+        ),
+        "c4_spend_likelihood": _with(
+            f"""
+  SELECT customer_id, {even('''lgamma(4 * x + 3.5) - lgamma(4 * x) - lgamma(3.5) + 3.5 * ln(90000.0::DOUBLE)
+      + (4 * x - 1) * ln(m) + 4 * x * ln(x) - (4 * x + 3.5) * ln(x * m + 90000)''', 6)} AS log_likelihood
+  FROM (SELECT customer_id, frequency::DOUBLE AS x, monetary_value AS m FROM summary WHERE frequency > 0)""",
+            "summary",
+        ),
+        "c15_importance_total": "SELECT 1.0::DOUBLE AS total",
+        "g10_pca_centred": "SELECT 0.0::DOUBLE AS mean_x, 0.0::DOUBLE AS mean_y, 0.0::DOUBLE AS covariance",
         "c7_heuristic_value": _with("SELECT * FROM valued", "valued"),
         "c8_transaction_features": _with("SELECT * FROM spending", "spending"),
         "c9_web_features": _with(

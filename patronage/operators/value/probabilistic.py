@@ -103,14 +103,45 @@ def fit_buying(summary: DataFrame, penalty: float = 0.01, longest_age: float = 1
 
 
 def fit_spend(summary: DataFrame, penalty: float = 0.01) -> SpendModel:
-    """Penalised maximum likelihood fit of Gamma-Gamma on repeat customers with positive spend."""
-    usable = summary.where("frequency > 0 AND monetary_value > 0")
-    counts = _counted(usable, ["frequency", "monetary_value"])
+    """Penalised maximum likelihood fit of Gamma-Gamma on repeat customers.
+
+    Money is scaled to mean 1, so that the penalty does not depend on the
+    currency; v is scaled back at the end. Repeat customers without positive
+    spend have no likelihood and are an error, and so is a fit with q <= 1,
+    which gives customers no expected spend.
+    """
+    repeat = summary.where("frequency > 0")
+    row = repeat.agg(
+        F.avg("monetary_value").alias("mean"), F.count_if(~F.coalesce(F.col("monetary_value") > 0, F.lit(False))).alias("bad")
+    ).first()
+    if row["bad"]:
+        raise ValueError(f"{row['bad']} repeat customers have no positive spend")
+    if not row["mean"]:
+        raise ValueError("no repeat customer")
+    counts = _counted(repeat, ["frequency", "monetary_value"])
     try:
-        p, q, v = minimise(Objective(counts, spend_likelihood, penalty), [1.0, 1.0, 1.0])
+        scaled = counts.withColumn("monetary_value", F.col("monetary_value") / row["mean"])
+        p, q, v = minimise(Objective(scaled, spend_likelihood, penalty), [1.0, 2.0, 1.0])
     finally:
         counts.unpersist()
-    return SpendModel(float(p), float(q), float(v))
+    if q <= 1:
+        raise ArithmeticError(f"q = {q:.3g}: the expected spend is not finite")
+    return SpendModel(float(p), float(q), float(v * row["mean"]))
+
+
+def likelihoods(summary: DataFrame, model: BuyingModel | SpendModel) -> DataFrame:
+    """``customer_id, log_likelihood`` of each customer's history under given parameters."""
+    if isinstance(model, BuyingModel):
+        names, parameters, of = ["frequency", "recency", "T"], (model.r, model.alpha, model.a, model.b), buying_likelihood
+    else:
+        names, parameters, of = ["frequency", "monetary_value"], (model.p, model.q, model.v), spend_likelihood
+
+    @F.pandas_udf("double")
+    def log_likelihood(columns: pd.DataFrame) -> pd.Series:
+        rows = {n: columns[n].to_numpy(float) for n in names}
+        return pd.Series(of(np.array(parameters), rows))
+
+    return summary.select("customer_id", log_likelihood(F.struct(*names)).alias("log_likelihood"))
 
 
 def _hyp2f1(a: float, b: float, c: np.ndarray, z: np.ndarray) -> np.ndarray:

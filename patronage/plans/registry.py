@@ -374,6 +374,13 @@ def g10_pca_projection(ws: Workspace) -> DataFrame:
     return clustering.pca_projection(ws.clustered())
 
 
+def g10_pca_centred(ws: Workspace) -> DataFrame:
+    """Means and covariance of the projection: the components are centred and not correlated."""
+    xy = clustering.pca_projection(ws.features().withColumn("cluster", F.col("r_score")))
+    figures = {"mean_x": F.avg("pca_x"), "mean_y": F.avg("pca_y"), "covariance": F.covar_pop("pca_x", "pca_y")}
+    return xy.agg(*[F.abs(half_even(v, 6)).alias(k) for k, v in figures.items()])
+
+
 # --- lifetime value ---------------------------------------------------------
 
 
@@ -393,6 +400,21 @@ def c4_spend_model(ws: Workspace) -> DataFrame:
     return ws.spend().frame(ws.spark)
 
 
+# Parameters at which the likelihoods are compared; near those of a shop with monthly buyers.
+GIVEN_BUYING = probabilistic.BuyingModel(0.8, 60.0, 0.7, 2.5)
+GIVEN_SPEND = probabilistic.SpendModel(4.0, 3.5, 90_000.0)
+
+
+def c3_buying_likelihood(ws: Workspace) -> DataFrame:
+    rows = probabilistic.likelihoods(ws.summary(), GIVEN_BUYING)
+    return rows.withColumn("log_likelihood", *_r("log_likelihood"))
+
+
+def c4_spend_likelihood(ws: Workspace) -> DataFrame:
+    rows = probabilistic.likelihoods(ws.summary().where("frequency > 0"), GIVEN_SPEND)
+    return rows.withColumn("log_likelihood", *_r("log_likelihood"))
+
+
 def _predicted(ws: Workspace) -> DataFrame:
     return probabilistic.predict_value(ws.summary(), ws.buying(), ws.spend())
 
@@ -451,6 +473,10 @@ def c15_feature_importance(ws: Workspace) -> DataFrame:
     return ws.boosted().importance_frame(ws.spark)
 
 
+def c15_importance_total(ws: Workspace) -> DataFrame:
+    return ws.boosted().importance_frame(ws.spark).agg(half_even(F.sum("importance"), 6).alias("total"))
+
+
 def c16_value_tiers(ws: Workspace) -> DataFrame:
     valued = written(summary.heuristic_value(ws.summary()), "valued")
     return tiers.value_tiers(valued).select("customer_id", "predicted_clv", "clv_tier")
@@ -558,11 +584,12 @@ _QUERIES: dict[str, Callable[[Workspace], DataFrame]] = {
         r1_rfm_metrics, r6_segments, r7_rule_segments, r8_segment_summary, r9_segment_overview,
         g1_web_features, g2_support_features, g3_segmentation_features, g4_scaled_features, g5_inertia_sweep,
         g6_silhouette_sweep, g7_optimal_k, g8_fit_clusters, g9_cluster_profiles, g9_profiles_by_recency,
-        g10_pca_projection,
-        c1_purchase_summary, c2_simple_summary, c3_buying_model, c4_spend_model, c5_predicted_purchases,
+        g10_pca_projection, g10_pca_centred,
+        c1_purchase_summary, c2_simple_summary, c3_buying_model, c3_buying_likelihood, c4_spend_model,
+        c4_spend_likelihood, c5_predicted_purchases,
         c6_predicted_clv, c7_heuristic_value, c8_transaction_features, c9_web_features, c10_support_features,
         c11_value_features, c12_boosted_predictions, c13_holdout_errors, c14_cross_validation,
-        c15_feature_importance, c16_value_tiers,
+        c15_feature_importance, c15_importance_total, c16_value_tiers,
         h1_cohorts, h2_cohort_age, h3_active_customers, h4_retention, h5_retention_matrix, h6_heatmap,
         h7_cohort_metrics, h8_average_retention,
         d1_customer_search, d2_customer_profile, d3_recent_transactions, d4_recent_sessions, d5_recent_tickets,
