@@ -262,9 +262,12 @@ def label(docs: DataFrame, model: LanguageModel, text: str = "text") -> DataFram
         np.add.at(mass, (owner, state), weight)
         total = mass.sum(axis=1)
         top = mass.argmax(axis=1)
-        known = told & (total > 0)
-        lang = np.where(known, np.array(model.names, object)[top], UNKNOWN)
-        score = np.where(known, mass[np.arange(rows), top] / np.maximum(total, 1), 0.0)
+        # Letters outside of the ranges' scripts: all languages are level, the labels decide.
+        plain = np.zeros((rows, len(model.names)))
+        np.add.at(plain, (owner, state), 1)
+        top = np.where(total > 0, top, plain.argmax(axis=1))
+        lang = np.where(told, np.array(model.names, object)[top], UNKNOWN)
+        score = np.where(told, mass[np.arange(rows), top] / np.maximum(total, 1), 0.0)
         new = np.ones(len(owner), bool)
         new[1:] = (owner[1:] != owner[:-1]) | (state[1:] != state[:-1])
         at = np.flatnonzero(new)

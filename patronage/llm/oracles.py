@@ -17,5 +17,42 @@ WINDOW best AS (PARTITION BY text_sha256 ORDER BY chars DESC, doc_id)
 """
 
 
+OP1 = """
+WITH p AS (
+  SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest
+  FROM pages),
+f AS (
+  SELECT payload_digest, payload_bytes, min(page_id) AS first_id FROM p
+  WHERE payload_bytes >= 100 GROUP BY 1, 2)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN first_id <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN first_id <> page_id THEN first_id END AS refers_to
+FROM p LEFT JOIN f USING (payload_digest, payload_bytes)
+"""
+
+OP9 = r"""
+WITH RECURSIVE w AS MATERIALIZED (
+  SELECT doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS words
+  FROM documents),
+s AS MATERIALIZED (
+  SELECT doc_id, CASE
+    WHEN len(words) >= 5
+      THEN list_distinct([array_to_string(words[i:i + 4], ' ') for i in range(1, len(words) - 3)])
+    WHEN len(words) > 0 THEN [array_to_string(words, ' ')]
+    ELSE [] END AS items
+  FROM w),
+x AS MATERIALIZED (SELECT doc_id, len(items) AS n, unnest(items) AS item FROM s),
+met AS MATERIALIZED (
+  SELECT a.doc_id AS a, b.doc_id AS b, a.n AS m, b.n AS n, count(*) AS shared
+  FROM x a JOIN x b ON a.item = b.item AND a.doc_id < b.doc_id GROUP BY ALL),
+links AS MATERIALIZED (SELECT a, b FROM met WHERE 100 * shared >= 80 * (m + n - shared)),
+edges AS MATERIALIZED (SELECT a, b FROM links UNION SELECT b, a FROM links),
+reached AS (SELECT a AS doc_id, b AS other FROM edges UNION SELECT r.doc_id, e.b FROM reached r JOIN edges e ON r.other = e.a)
+SELECT s.doc_id, len(items) AS n_shingles, least(s.doc_id, (SELECT min(other) FROM reached r WHERE r.doc_id = s.doc_id)) AS component_id
+FROM s
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op3_exact_dedup": OP3}
+    return {"op1_warc": OP1, "op3_exact_dedup": OP3, "op9_near_join": OP9}
