@@ -33,6 +33,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from patronage.llm.textbatch import LOWER, blocks, gather, hashes, lists, mix, words
 from patronage.operators.linkage.components import connected_components
@@ -42,6 +43,9 @@ WORDS = 5
 PERCENT = 80
 LONG_LIST = 24
 HUBS = 8
+TILE = 4096
+NEAREST = 4
+SIGNATURE_BITS = 512
 FILTER_BITS = 1 << 26
 
 _ODD = np.uint64(0x9E3779B97F4A7C15)
@@ -96,9 +100,15 @@ def set_names(values: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.nd
     return names[0].astype(np.int64), names[1].astype(np.int64)
 
 
-def sketches(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
-    """``doc, n, k1, k2, posted`` of every row: set size, set names, and the shingles to post."""
-    rows = docs.select(F.col(doc_id).cast("long").alias("doc"), F.col(text).alias("text"))
+def sketches(docs: DataFrame, doc_id: str, text: str, keep: tuple[str, ...] = ()) -> DataFrame:
+    """``doc, n, k1, k2, posted, keep`` of every row: set size, set names, and the shingles to post."""
+    rows = docs.select(F.col(doc_id).cast("long").alias("doc"), F.col(text).alias("text"), F.struct(F.lit(0), *keep).alias("keep"))
+    schema = T.StructType(
+        [
+            T.StructField("doc", T.LongType()), T.StructField("n", T.LongType()), T.StructField("k1", T.LongType()),
+            T.StructField("k2", T.LongType()), T.StructField("posted", T.ArrayType(T.LongType())), rows.schema["keep"],
+        ]
+    )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -111,11 +121,12 @@ def sketches(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
                     [
                         batch.column(0).slice(row, len(counts)), pa.array(counts, pa.int64()),
                         pa.array(k1), pa.array(k2), lists(posted, posts, pa.int64()),
+                        batch.column(2).slice(row, len(counts)),
                     ],
-                    names=["doc", "n", "k1", "k2", "posted"],
+                    names=["doc", "n", "k1", "k2", "posted", "keep"],
                 )
 
-    return rows.mapInArrow(run, "doc long, n long, k1 long, k2 long, posted array<long>")
+    return rows.mapInArrow(run, schema)
 
 
 def _grouped(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, Iterator[tuple]]]:
@@ -221,8 +232,17 @@ def _pairs_batch(out: list) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
 
+def signatures(items: np.ndarray, counts: np.ndarray) -> pa.Array:
+    """``SIGNATURE_BITS`` parities of each set: two sets differ in as many items at least as in bits."""
+    slot = (mix(items * _ODD) >> np.uint64(64 - SIGNATURE_BITS.bit_length() + 1)).astype(np.int64)
+    row = np.repeat(np.arange(len(counts)), counts)
+    odd = np.bincount(row * SIGNATURE_BITS + slot, minlength=len(counts) * SIGNATURE_BITS) & 1
+    packed = np.packbits(odd.astype(np.uint8).reshape(len(counts), SIGNATURE_BITS), axis=1)
+    return pa.array([row.tobytes() for row in packed], pa.binary())
+
+
 def sets_of(docs: DataFrame, ids: DataFrame, doc_id: str, text: str) -> DataFrame:
-    """``k1, k2, n, items``: the sorted sets of the classes in ``ids``, one row per class.
+    """``k1, k2, n, items, signature``: the sorted sets of the classes in ``ids``, one row per class.
 
     The sets are made from the texts again, for the classes that a candidate
     names. A bitmap of ``FILTER_BITS`` over the ids, of fixed size, keeps most other
@@ -254,13 +274,16 @@ def sets_of(docs: DataFrame, ids: DataFrame, doc_id: str, text: str) -> DataFram
                 # Copies within a block give one row.
                 _, once = np.unique(k1[kept], return_index=True)
                 kept = kept[once]
-                items = values[gather((np.cumsum(counts) - counts)[kept], counts[kept])].astype(np.int64)
+                items = values[gather((np.cumsum(counts) - counts)[kept], counts[kept])]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(k1[kept]), pa.array(k2[kept]), pa.array(counts[kept]), lists(items, counts[kept], pa.int64())],
-                    names=["k1", "k2", "n", "items"],
-                )
+                    [
+                        pa.array(k1[kept]), pa.array(k2[kept]), pa.array(counts[kept]),
+                        lists(items.astype(np.int64), counts[kept], pa.int64()), signatures(items, counts[kept]),
+                    ],
+                    names=["k1", "k2", "n", "items", "signature"],
+                )
 
-    found = rows.mapInArrow(run, "k1 long, k2 long, n long, items array<long>")
+    found = rows.mapInArrow(run, "k1 long, k2 long, n long, items array<long>, signature binary")
     wanted = ids.select(F.col("id").alias("k1")).distinct()
     return found.dropDuplicates(["k1", "k2"]).join(wanted, "k1", "left_semi")
 
@@ -333,21 +356,74 @@ def _to_hubs(state: dict, token: int, i: int, n: int) -> list[tuple[int, int]]:
     return near
 
 
-def _across(state: dict, token: int, component: int, i: int, n: int) -> list[tuple[int, int]]:
-    """Pair a member with those of its list that are of another component (sorted by component)."""
-    if state.get("token") != token:
-        state.update(token=token, component=component, before=[], own=[])
-    if state["component"] != component:
-        state["before"].extend(state["own"])
-        state.update(component=component, own=[])
-    state["own"].append((i, n))
-    return [
-        (min(i, j), max(i, j)) for j, m in state["before"] if 100 * min(n, m) >= PERCENT * max(n, m)
-    ]
-
-
-def links_of(docs: DataFrame, classes: DataFrame, doc_id: str, text: str) -> DataFrame:
-    """All classes' links that components need, as pairs of class names ``a, b``."""
+def _across(lists_: DataFrame, nearest: int | None) -> DataFrame:
+    """Pairs of different components in one list, ``token, i, j, side, component, id, n, signature``.
+
+    A list comes in pairs of tiles (``i, j``) of about ``TILE`` members, so that is
+    what a task holds. Only pairs that size and signature allow are named; with
+    ``nearest`` no more than that many of them for each member, the closest signatures first.
+    """
+
+    def pairs(rows: list, same: bool) -> list[tuple[int, int]]:
+        left = [r for r in rows if same or not r[0]]
+        right = left if same else [r for r in rows if r[0]]
+        if not left or not right:
+            return []
+        comp, ids, n = (np.array([r[k] for r in right], np.int64) for k in (1, 2, 3))
+        bits = np.frombuffer(b"".join(r[4] for r in right), np.uint64).reshape(len(right), -1)
+        out = []
+        for _, c, i, m, signature in left:
+            apart = np.bitwise_count(bits ^ np.frombuffer(signature, np.uint64)).sum(axis=1, dtype=np.int64)
+            # Linked sets differ in at most (100 - PERCENT) / (100 + PERCENT) of their sizes' sum.
+            near = (100 + PERCENT) * apart <= (100 - PERCENT) * (n + m)
+            near &= (comp != c) & (100 * np.minimum(n, m) >= PERCENT * np.maximum(n, m))
+            at = np.flatnonzero(near)
+            if nearest is not None and len(at) > nearest:
+                at = at[np.argsort(apart[at], kind="stable")[:nearest]]
+            out.extend((min(i, j), max(i, j)) for j in ids[at].tolist())
+        return out
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        place, rows, out = None, [], set()
+        for token, i, j, *row in _grouped(batches):
+            if place != (token, i, j):
+                out.update(pairs(rows, place is not None and place[1] == place[2]))
+                place, rows = (token, i, j), []
+            rows.append(row)
+            if len(out) > 100_000:
+                yield _pairs_batch(sorted(out))
+                out = set()
+        out.update(pairs(rows, place is not None and place[1] == place[2]))
+        if out:
+            yield _pairs_batch(sorted(out))
+
+    rows = lists_.repartition("token", "i", "j").sortWithinPartitions("token", "i", "j", "side", "id")
+    return rows.mapInArrow(run, "a long, b long").distinct()
+
+
+def _open_lists(marked: DataFrame) -> DataFrame:
+    """The lists with members of several components, cut to pairs of tiles."""
+    mixed = written(
+        marked.groupBy("token")
+        .agg(F.min("component").alias("x"), F.max("component").alias("y"), F.count(F.lit(1)).alias("size"))
+        .where("x <> y")
+        .select("token", F.ceil(F.col("size") / TILE).cast("int").alias("tiles")),
+        "near-laden-mixed",
+    )
+    own = F.pmod(F.xxhash64("id"), F.col("tiles")).cast("int")
+    return (
+        marked.join(mixed, "token")
+        .withColumn("own", own)
+        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
+        .select(
+            "token", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"),
+            (F.col("own") > F.col("other")).alias("side"), "component", "id", "n", "signature",
+        )
+    )
+
+
+def class_components(docs: DataFrame, classes: DataFrame, doc_id: str, text: str) -> DataFrame:
+    """``rec_id, component_id``: the component of every class that links with another."""
     posts = classes.select(F.col("k1").alias("id"), "n", F.explode("posted").alias("token"))
     merged = written(merge_lists(list_rows(posts)), "near-candidates")
     pairs = merged.where("b IS NOT NULL")
@@ -358,62 +434,75 @@ def links_of(docs: DataFrame, classes: DataFrame, doc_id: str, text: str) -> Dat
     sets = written(sets_of(docs, ids, doc_id, text), "near-candidate-sets")
     links = written(probed(pairs, sets), "near-links")
     if laden.isEmpty():
-        return links
+        return _parts(links)
     heavy = written(laden_posts(sets, laden), "near-laden-posts")
     starred = written(probed(_along_lists(heavy, ["token", "id", "n"], _to_hubs), sets), "near-laden-links")
     links = links.union(starred)
-    parts = written(connected_components(links, "a", "b"), "near-laden-parts")
-    marked = written(
-        heavy.join(parts.withColumnRenamed("rec_id", "id"), "id", "left").select(
-            "token", F.coalesce("component_id", "id").alias("component"), "id", "n"
-        ),
-        "near-laden-marked",
-    )
-    mixed = written(
-        marked.groupBy("token").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y"),
-        "near-laden-mixed",
-    )
-    open_lists = marked.join(mixed, "token", "left_semi")
-    across = _along_lists(open_lists, ["token", "component", "id", "n"], _across)
-    return links.union(written(probed(across, sets), "near-laden-across"))
-
-
-def components(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """``doc_id, n_shingles, component_id`` of every row of ``docs``."""
-    rows = written(sketches(docs, doc_id, text), "near-sketches")
+    signed = written(heavy.join(sets.select(F.col("k1").alias("id"), "signature"), "id"), "near-laden-signed")
+    parts, nearest, lists_ = _parts(links), NEAREST, None
+    while True:
+        if lists_ is None:
+            marked = signed.join(parts.withColumnRenamed("rec_id", "id"), "id", "left").select(
+                "token", F.coalesce("component_id", "id").alias("component"), "id", "n", "signature"
+            )
+            lists_ = _open_lists(written(marked, "near-laden-marked"))
+        across = written(probed(_across(lists_, nearest), sets), "near-laden-across")
+        if not across.isEmpty():
+            # As long as closest pairs join components, the pairs that are left to probe become fewer.
+            links = links.union(across)
+            parts, lists_ = _parts(links), None
+        if nearest is None:
+            return parts
+        if across.isEmpty():
+            nearest = None
+
+
+def _parts(links: DataFrame) -> DataFrame:
+    return written(connected_components(links, "a", "b"), "near-components")
+
+
+def components(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
+    """``doc_id, n_shingles, component_id`` and the columns ``keep`` of every row of ``docs``."""
+    rows = written(sketches(docs, doc_id, text, keep), "near-sketches")
     classes = written(
         rows.where("n > 0").groupBy("k1", "k2").agg(
             F.min("doc").alias("least"), F.min("n").alias("n"), F.first("posted").alias("posted")
         ),
         "near-classes",
     )
-    links = links_of(docs, classes, doc_id, text)
-    labels = written(connected_components(links, "a", "b"), "near-components")
+    labels = class_components(docs, classes, doc_id, text)
     linked = classes.select("k1", "k2", "least").join(labels.withColumnRenamed("rec_id", "k1"), "k1", "left")
     group = F.coalesce("component_id", "k1")
     named = written(linked.select("k1", "k2", group.alias("part"), "least"), "near-parts")
     least = written(named.groupBy("part").agg(F.min("least").alias("component")), "near-names")
     result = written(named.join(least, "part").select("k1", "k2", "component"), "near-result")
     own = F.when(F.col("n") == 0, F.col("doc")).otherwise(F.col("component"))
-    return rows.select("doc", "n", "k1", "k2").join(result, ["k1", "k2"], "left").select(
-        F.col("doc").alias(doc_id), F.col("n").alias("n_shingles"), own.alias("component_id")
-    )
+    return rows.drop("posted").join(result, ["k1", "k2"], "left").select(
+        F.col("doc").alias(doc_id), F.col("n").alias("n_shingles"), own.alias("component_id"),
+        *[F.col(f"keep.{c}").alias(c) for c in keep],
+    )
 
 
 def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """``docs`` without the rows of linked documents other than the component's smallest ``doc_id``.
+    """``docs`` without linked documents other than their component's smallest ``doc_id``.
 
-    What goes are the rows whose id is not the component's, and, of rows that
-    repeat id and text, all but one. Rows without words or without an id stay.
+    Rows without an id or without words stay. Of rows that repeat an id, the one
+    with the least hash of its text stays, and of equal rows one.
     """
-    goes = (
-        components(docs, doc_id, text)
-        .where((F.col("n_shingles") > 0) & (F.col(doc_id) != F.col("component_id")))
-        .select(doc_id)
-        .distinct()
-    )
-    words = F.col(text).rlike(r"[^\x20\x09-\x0D]") & F.col(doc_id).isNotNull()
-    left = docs.join(goes, doc_id, "left_anti")
-    return left.where(~F.coalesce(words, F.lit(False))).unionByName(
-        left.where(F.coalesce(words, F.lit(False))).dropDuplicates([doc_id])
+    key = F.xxhash64(doc_id, text)
+    named = components(docs.withColumn("key_nj", key), doc_id, text, keep=("key_nj",))
+    found = written(named.where("n_shingles > 0 AND component_id IS NOT NULL"), "near-named")
+    stays = written(
+        found.where(F.col(doc_id) == F.col("component_id"))
+        .groupBy("component_id")
+        .agg(F.min("key_nj").alias("stays")),
+        "near-stays",
     )
+    goes = found.join(stays, "component_id").where("key_nj <> stays").select("key_nj").distinct()
+    left = docs.withColumn("key_nj", key).join(written(goes, "near-goes"), "key_nj", "left_anti")
+    again = written(found.groupBy("key_nj").count().where("count > 1").select("key_nj"), "near-repeated")
+    if not again.isEmpty():  # equal rows, which nothing tells apart
+        left = left.join(again, "key_nj", "left_anti").unionByName(
+            left.join(again, "key_nj", "left_semi").dropDuplicates(["key_nj"])
+        )
+    return left.drop("key_nj")
