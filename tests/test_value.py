@@ -216,3 +216,39 @@ def test_boosted_fit(spark):
     fit = boosted.fit_boosted(df, F.col("x") * 3, folds=2, trees=8, depth=3)
     assert fit.r2 > 0.7 and fit.cv_r2 > 0.7 and fit.mae < 4
     assert fit.importance[0][0] == "x" and math.isclose(sum(w for _, w in fit.importance), 1.0, rel_tol=1e-6)
+
+
+def test_repeat_customers_without_spend_are_an_error(spark):
+    df = spark.createDataFrame([("a", 2, 10, 20, 5.0), ("b", 1, 3, 20, 0.0)], "customer_id string, frequency long, recency long, T long, monetary_value double")
+    with pytest.raises(ValueError, match="1 repeat"):
+        probabilistic.fit_spend(df)
+
+
+def test_a_search_that_runs_out_of_steps_is_an_error():
+    from patronage.operators.value.fitting import minimise
+
+    class Falling:
+        """Descends for ever."""
+
+        def at(self, points):
+            return np.array([-float(np.sum(p)) for p in points])
+
+    with pytest.raises(ArithmeticError, match="no convergence"):
+        minimise(Falling(), [1.0, 1.0], max_steps=5)
+
+
+def test_a_series_that_does_not_settle_is_an_error():
+    with pytest.raises(ArithmeticError, match="settle"):
+        probabilistic._hyp2f1(2.0, 2.0, np.array([1.0]), np.array([1.0]))
+
+
+def test_spend_fit_does_not_depend_on_the_currency(spark):
+    rng = np.random.default_rng(4)
+    nu = rng.gamma(4.0, 1 / 60.0, 3000)
+    x = rng.integers(1, 9, 3000)
+    mean = rng.gamma(6.0 * x, 1 / nu) / x
+    rows = [(f"c{i}", int(k), float(m)) for i, (k, m) in enumerate(zip(x, mean))]
+    one = probabilistic.fit_spend(spark.createDataFrame(rows, "customer_id string, frequency long, monetary_value double"))
+    cents = [(c, k, 100 * m) for c, k, m in rows]
+    other = probabilistic.fit_spend(spark.createDataFrame(cents, "customer_id string, frequency long, monetary_value double"))
+    assert one.q > 1 and other.p == pytest.approx(one.p, rel=1e-3) and other.v == pytest.approx(100 * one.v, rel=1e-3)
