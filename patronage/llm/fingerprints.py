@@ -18,10 +18,12 @@ the operator's own.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from patronage.session import written
+from patronage.session import shared_folder, written
 
 PARAGRAPH_CHARS = 128
 BASE_CELLS = 24
@@ -86,43 +88,55 @@ def fingerprints(sets: DataFrame, key: str, column: str, cells: int = BASE_CELLS
     )
 
 
-def differences(pairs: DataFrame, left: str, right: str, cells: int = BASE_CELLS) -> DataFrame:
-    """Recover what two digest sets don't share, per row of ``pairs`` (unique column ``pair``).
+def differences(
+    pairs: DataFrame, keys: list[str], left: str, right: str, cells: int = BASE_CELLS, listed: bool = True
+) -> DataFrame:
+    """Recover what two digest sets don't share, per row of ``pairs`` (named by ``keys``).
 
-    Returns ``pair, digest, side``: side 1 for digests of ``left`` only, -1 for
-    those of ``right`` only. Pairs without a difference have no rows.
+    Returns ``keys, gone, new``: digests of ``left`` only and of ``right`` only, or
+    their numbers if not ``listed``. Pairs without a difference have no row.
     """
-    todo, found = pairs.select("pair", left, right), None
+    todo, found = pairs.select(*keys, left, right), None
+    sides = [F.when((F.col("cell") < 0) & (F.col("n") == n), F.col("digest")) for n in (1, -1)]
+    put = F.collect_list if listed else F.count
     while True:
-        peeled = written(_peel(_subtracted(todo, left, right, cells), cells), "sketch-peeled")
-        stuck = peeled.where("cell >= 0").select("pair").distinct()
-        part = peeled.where("cell < 0").select("pair", "digest", F.col("n").alias("side"))
-        failed = written(todo.join(stuck, "pair", "left_semi"), "sketch-failed")
-        part = part.join(stuck, "pair", "left_anti")
+        peeled = written(
+            _peel(_subtracted(todo, keys, left, right, cells), keys, cells)
+            .groupBy(*keys)
+            .agg(F.max(F.col("cell") >= 0).alias("stuck"), put(sides[0]).alias("gone"), put(sides[1]).alias("new")),
+            "sketch-peeled",
+        )
+        part = peeled.where("NOT stuck").drop("stuck")
         found = part if found is None else found.unionByName(part)
+        failed = peeled.where("stuck").select(*keys)
         if failed.isEmpty():
             return found
-        todo, cells = failed, cells * GROWTH
+        todo, cells = pairs.select(*keys, left, right).join(failed, keys, "left_semi"), cells * GROWTH
 
 
-def _subtracted(pairs: DataFrame, left: str, right: str, cells: int) -> DataFrame:
+def _subtracted(pairs: DataFrame, keys: list[str], left: str, right: str, cells: int) -> DataFrame:
     """Cells of the left sketch minus those of the right one; empty cells are left out."""
-    minus = sketches(pairs, ["pair"], right, cells).withColumn("n", -F.col("n"))
-    both = sketches(pairs, ["pair"], left, cells).unionByName(minus)
-    return _summed(both)
+    sides = F.array(F.struct(F.lit(1).cast("long").alias("n"), F.col(left).alias("digests")),
+                    F.struct(F.lit(-1).cast("long").alias("n"), F.col(right).alias("digests")))
+    parts = (
+        pairs.select(*keys, F.explode(sides).alias("side"))
+        .select(*keys, "side.n", F.explode("side.digests").alias("digest"))
+        .select(*keys, "n", "digest", _check(F.col("digest")).alias("hash"), F.explode(_cells(F.col("digest"), cells)).alias("cell"))
+    )
+    return _summed(parts, keys)
 
 
-def _summed(cells: DataFrame) -> DataFrame:
+def _summed(cells: DataFrame, keys: list[str]) -> DataFrame:
     """Add up the parts of each cell; a cell that has become empty goes."""
     return (
-        cells.groupBy("pair", "cell", F.when(F.col("cell") < 0, F.col("digest")).alias("found"))
+        cells.groupBy(*keys, "cell", F.when(F.col("cell") < 0, F.col("digest")).alias("found"))
         .agg(F.sum("n").alias("n"), F.bit_xor("digest").alias("digest"), F.bit_xor("hash").alias("hash"))
         .where("n <> 0 OR digest <> 0 OR hash <> 0")
         .drop("found")
     )
 
 
-def _peel(cells: DataFrame, size: int, rounds: int = 12) -> DataFrame:
+def _peel(cells: DataFrame, keys: list[str], size: int, rounds: int = 12) -> DataFrame:
     """Peel for a number of rounds. Recovered digests stand in rows of cell -1, with their side in ``n``.
 
     A round looks at one subtable: a digest has one cell there, so it is taken
@@ -145,7 +159,7 @@ def _peel(cells: DataFrame, size: int, rounds: int = 12) -> DataFrame:
         )
         noted = F.struct(F.lit(-1).cast("long").alias("cell"), F.col("n"), F.col("digest"), F.col("hash"))
         parts = F.when(pure, F.concat(F.array(own, noted), gone)).otherwise(F.array(own))
-        cells = _summed(cells.select("pair", F.explode(parts).alias("c")).select("pair", "c.*"))
+        cells = _summed(cells.select(*keys, F.explode(parts).alias("c")).select(*keys, "c.*"), keys)
     return cells
 
 
@@ -182,6 +196,16 @@ def next_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     )
 
 
+def bucketed(df: DataFrame, key: str) -> DataFrame:
+    """``df`` as a table in the shared folder whose rows are known to lie by the hash of ``key``."""
+    spark = df.sparkSession
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    name = f"fingerprints_{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark)}/patronage/{name}"
+    df.write.bucketBy(parts, key).option("path", path).saveAsTable(name)
+    return spark.table(name)
+
+
 def row_key(doc_id: str, text: str) -> Column:
     return F.xxhash64(doc_id, text)
 
@@ -203,38 +227,37 @@ def compare_neighbours(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
         digests(F.col("text_fp")).alias("next_fp"),
     )
     n = F.char_length("text_fp")
-    sets = written(
+    edited = F.expr("concat(left(text_fp, char_length(text_fp) - char_length(text_fp) DIV 2), head_fp)")
+    # Bucketed by document: sketches, peeling and retries then find a document's digests together.
+    sets = bucketed(
         one.join(following, "key_fp")
-        .withColumn("edited_fp", F.concat(F.expr("left(text_fp, char_length(text_fp) - char_length(text_fp) DIV 2)"), "head_fp"))
+        .withColumn("edited_fp", edited)
         .select(
             F.col("key_fp").alias("pair"),
-            n.cast("long").alias("n_chars"),
+            F.char_length("text_fp").cast("long").alias("n_chars"),
             F.sha2(F.col("edited_fp").cast("binary"), 256).alias("edited_sha256"),
             digests(F.col("text_fp")).alias("own"),
             digests(F.col("edited_fp")).alias("edited"),
             F.col("next_fp").alias("next"),
         ),
-        "fingerprint-sets",
+        "pair",
     )
     # Both comparisons of all documents are peeled together.
-    compared = sets.select(
-        "pair", "own", F.explode(F.create_map(F.lit("near_edited"), "edited", F.lit("near_next"), "next")).alias("with", "other")
-    ).select(F.struct("pair", "with").alias("pair"), "own", "other")
-    found = differences(compared, "own", "other").groupBy("pair").agg(
-        F.count_if(F.col("side") > 0).alias("gone"), F.count_if(F.col("side") < 0).alias("new")
-    )
+    others = F.create_map(F.lit("near_edited"), "edited", F.lit("near_next"), "next")
+    compared = sets.select("pair", "own", F.explode(others).alias("with", "other"))
+    found = differences(compared, ["pair", "with"], "own", "other", listed=False)
     shared = F.size("own") - F.coalesce("gone", F.lit(0))
     every = F.size("own") + F.coalesce("new", F.lit(0))
     near = F.when(every == 0, F.lit(1.0)).otherwise(shared / every)
     likeness = (
-        compared.select("pair", "own").join(found, "pair", "left")
-        .groupBy(F.col("pair.pair").alias("pair"))
-        .agg(*[F.max(F.when(F.col("pair.with") == c, near)).alias(c) for c in ("near_edited", "near_next")])
+        compared.select("pair", "with", "own").join(found, ["pair", "with"], "left")
+        .groupBy("pair")
+        .agg(*[F.max(F.when(F.col("with") == c, near)).alias(c) for c in ("near_edited", "near_next")])
     )
-    figures = sets.select("pair", "n_chars", "edited_sha256").join(likeness, "pair")
     own = fingerprints(sets, "pair", "own")
-    edited = fingerprints(sets, "pair", "edited").withColumnRenamed("fingerprint", "edited_fingerprint")
-    result = written(figures.join(own, "pair").join(edited, "pair"), "fingerprint-results")
+    changed = fingerprints(sets, "pair", "edited").withColumnRenamed("fingerprint", "edited_fingerprint")
+    figures = sets.select("pair", "n_chars", "edited_sha256")
+    result = written(figures.join(likeness, "pair").join(own, "pair").join(changed, "pair"), "fingerprint-results")
     ids = docs.select(F.col(doc_id), row_key(doc_id, text).alias("pair"))
     return ids.join(result, "pair").select(
         doc_id, "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"
