@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -70,9 +72,26 @@ def written_at(df: DataFrame, label: str) -> tuple[DataFrame, str]:
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/patronage/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    for paths in _noting:
+        paths.append(path)
     return spark.read.schema(df.schema).parquet(path), path
 
 
+# Lists that note the tables written while they stand here, see :func:`noted`.
+_noting: list[list[str]] = []
+
+
+@contextmanager
+def noted() -> Iterator[list[str]]:
+    """Collect the paths of the tables written inside, to be removed once nothing reads them."""
+    paths: list[str] = []
+    _noting.append(paths)
+    try:
+        yield paths
+    finally:
+        _noting.remove(paths)
+
+
 def remove(spark: SparkSession, path: str) -> None:
     """Delete a table made by :func:`written_at` that nothing reads any more."""
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
