@@ -101,7 +101,7 @@ def differences(
     put = F.collect_list if listed else F.count
     while True:
         peeled = written(
-            _peel(_subtracted(todo, keys, left, right, cells), keys, cells)
+            _peel(_hopeful(_subtracted(todo, keys, left, right, cells), keys), keys, cells)
             .groupBy(*keys)
             .agg(F.max(F.col("cell") >= 0).alias("stuck"), put(sides[0]).alias("gone"), put(sides[1]).alias("new")),
             "sketch-peeled",
@@ -126,6 +126,18 @@ def _subtracted(pairs: DataFrame, keys: list[str], left: str, right: str, cells:
     return _summed(parts, keys)
 
 
+def _pure(cell: Column) -> Column:
+    """Whether a subtracted cell holds one digest."""
+    return (F.abs(cell["n"]) == 1) & (cell["hash"] == _check(cell["digest"]))
+
+
+def _hopeful(cells: DataFrame, keys: list[str]) -> DataFrame:
+    """Cells to peel; of a pair without any pure cell, which is stuck at once, one cell to say so."""
+    whole = cells.groupBy(*keys).agg(F.collect_list(F.struct("cell", "n", "digest", "hash")).alias("cells"))
+    kept = F.when(F.exists("cells", _pure), F.col("cells")).otherwise(F.slice("cells", 1, 1))
+    return whole.select(*keys, F.explode(kept).alias("c")).select(*keys, "c.*")
+
+
 def _summed(cells: DataFrame, keys: list[str]) -> DataFrame:
     """Add up the parts of each cell; a cell that has become empty goes."""
     return (
@@ -145,13 +157,8 @@ def _peel(cells: DataFrame, keys: list[str], size: int, rounds: int = 12) -> Dat
     each = size // SUBTABLES
     for i in range(rounds):
         table = i % SUBTABLES
-        pure = (
-            (F.abs("n") == 1)
-            & (F.col("hash") == _check(F.col("digest")))
-            & (F.col("cell") >= table * each)
-            & (F.col("cell") < (table + 1) * each)
-        )
         own = F.struct("cell", "n", "digest", "hash")
+        pure = _pure(own) & (F.col("cell") >= table * each) & (F.col("cell") < (table + 1) * each)
         # The digest goes out of all its cells, the pure one among them, and is noted.
         gone = F.transform(
             _cells(F.col("digest"), size),
