@@ -11,15 +11,40 @@ hold every stage against a brute-force version.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from patronage.llm import exact_dedup, mixing, near_join, sentencepieces, toxicity
 from patronage.llm.registry import PIECE_MODEL, TARGET_WEIGHTS, table
-from patronage.session import written
+from patronage.session import noted, remove, written
 
 ORACLE_SQL = None
 
+Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
+
+# Intermediate tables of earlier stages, removed once the rows made from them are written and reread.
+_left: list[str] = []
+
+
+def tidy(stage: Stage) -> Stage:
+    """Remove what earlier stages have left in the shared folder, unless ``docs`` still reads it, then run the stage."""
+
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        read = docs.inputFiles()
+        for path in list(_left):
+            name = path.rsplit("/", 1)[1]
+            if not any(f"/{name}/" in file for file in read):
+                remove(spark, path)
+                _left.remove(path)
+        with noted() as paths:
+            result = stage(spark, docs, sf_dir)
+        _left.extend(paths)
+        return result
+
+    return run_stage
+
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
@@ -41,7 +66,7 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return mixing.in_order(mixing.mix(docs, TARGET_WEIGHTS)).select(*docs.columns)
+    return mixing.mixed_rows(docs, TARGET_WEIGHTS).select(*docs.columns)
 
 
 def encode_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -49,11 +74,11 @@ def encode_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 STAGES = [
-    ("toxicity", drop_toxic),
-    ("exact_dedup", drop_exact_copies),
-    ("ngram_jaccard_join", drop_near_copies),
-    ("mixing", mix_sources),
-    ("sentencepiece", encode_pieces),
+    ("toxicity", tidy(drop_toxic)),
+    ("exact_dedup", tidy(drop_exact_copies)),
+    ("ngram_jaccard_join", tidy(drop_near_copies)),
+    ("mixing", tidy(mix_sources)),
+    ("sentencepiece", tidy(encode_pieces)),
 ]
 
 

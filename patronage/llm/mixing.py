@@ -170,3 +170,18 @@ def mix(
 def in_order(mixed: DataFrame) -> DataFrame:
     """The rows of a mixture laid out in its order over range partitions."""
     return mixed.repartitionByRange("slot", "in_block").sortWithinPartitions("slot", "in_block")
+
+
+def mixed_rows(docs: DataFrame, weights: dict[str, float], **options) -> DataFrame:
+    """The whole rows of ``docs`` in the order of their mixture.
+
+    Slots are worked out on ids and sources alone; the rows go to them in one
+    join and to their order in one range exchange. Equal rows take the slots of
+    one another.
+    """
+    source, order = options.get("source", "source"), list(options.get("order", ("doc_id",)))
+    key = F.xxhash64(*docs.columns)
+    narrow = docs.select(key.alias("key_mr"), *dict.fromkeys([source, *order]))
+    slots = written(mix(narrow, weights, **options).select("key_mr", "slot", "in_block"), "mix-rows")
+    once = docs.withColumn("key_mr", key).dropDuplicates(["key_mr"])
+    return in_order(once.join(slots, "key_mr")).drop("key_mr")

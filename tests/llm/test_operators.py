@@ -123,6 +123,15 @@ def test_mixing_odd_input(spark):
     assert [r.slot for r in mixing.in_order(out).collect()] == sorted(r.slot for r in out.collect())
 
 
+def test_mixed_rows_keep_all_rows(spark):
+    docs = odd_rows(spark)
+    out = mixing.mixed_rows(docs, {"a": 2.0}, block_rows=2)
+    assert sorted(map(repr, out.select(*docs.columns).collect())) == sorted(map(repr, docs.collect()))
+    places = [(r.slot, r.in_block) for r in out.collect()]
+    assert places == sorted(places) and len(set(places)) == len(places)
+    assert mixing.mixed_rows(docs.limit(0), {}).count() == 0
+
+
 # --- fingerprints
 
 

@@ -49,3 +49,12 @@ def test_pipeline_stages(spark):
         counts.append(len(rows))
         docs = spark.createDataFrame(rows, after.schema).select(*docs.columns) if rows else after
     assert counts[0] > counts[1] > counts[2] >= counts[3] == counts[4] == counts[5] > 0
+
+
+def test_stages_may_follow_without_a_write_between(spark):
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
+    for _, stage in corpus_pipeline.STAGES[1:]:
+        docs = stage(spark, docs, FOLDER)
+    assert docs.count() > 0
+    written_between = corpus_pipeline.run(spark, FOLDER)
+    assert written_between.columns[-2:] == ["piece_ids", "n_pieces"] and written_between.count() > 0
