@@ -10,8 +10,9 @@ target at every slot.
 
 The slots are scheduled in chunks of ``chunk_slots`` or more. What has run at a
 chunk's border is fixed beforehand: of each source, its blocks up to the rounded
-down or rounded up fluid part. Any such state can be met and left by a schedule
-that keeps all windows, so the chunks are independent rows of bounded length.
+down or rounded up fluid part, rounded so that the slots on either side hold all
+blocks within their windows. So the chunks are independent rows of bounded length.
+Should blocks and slots of a chunk differ in number, the schedule fails.
 
 Null sources are one source. A source without weight gets ``default_weight``.
 Weights must be positive. Rows of equal ``doc_id`` follow one another in the
@@ -74,6 +75,30 @@ def _curve(sources: list[tuple[float, int]]) -> tuple[str, str]:
     return fluid, "CASE " + " ".join(pieces) + f" ELSE {last!r}D END"
 
 
+# Slots before a border that its crossing blocks may take, lowest first. From the border down, each
+# slot is free until a block that is released in it and due by the border takes the lowest free one.
+_FREE = """
+aggregate(
+  IF(size(crossing) = 0, slice(sequence(0L, 0L), 1, 0), sequence(border - 1, array_min(crossing.release), -1L)),
+  slice(sequence(0L, 0L), 1, 0),
+  (free, r) -> slice(
+    concat(array(r), free),
+    size(filter(due, b -> b.release = r)) + 1,
+    size(free) + 1))
+"""
+
+# By deadline, each crossing block takes the lowest free slot from its release on, if there is one.
+_BEFORE = """
+aggregate(
+  crossing,
+  named_struct('free', free, 'out', slice(crossing, 1, 0)),
+  (a, b) -> aggregate(
+    slice(filter(a.free, s -> s >= b.release AND size(a.out) < before), 1, 1),
+    a,
+    (c, pick) -> named_struct('free', array_remove(c.free, pick), 'out', concat(c.out, array(b)))),
+  a -> a.out)
+"""
+
 # Step i of a chunk takes the first waiting block, by deadline, whose release slot has come.
 _FOLD = """
 aggregate(
@@ -85,7 +110,10 @@ aggregate(
     (c, pick) -> named_struct(
       'waiting', filter(c.waiting, b -> NOT (b = pick)),
       'out', concat(c.out, array(pick)))),
-  a -> a.out)
+  a -> IF(
+    size(waiting) = least({slots}, {blocks} - chunk * {slots}) AND size(a.out) = size(waiting),
+    a.out,
+    raise_error(concat('slots and blocks of chunk ', chunk, ' differ in number'))))
 """
 
 
@@ -112,23 +140,35 @@ def schedule(sources: DataFrame, chunk_slots: int = CHUNK_SLOTS) -> DataFrame:
         .withColumn("release", F.expr(f"CAST(floor({fluid.format(v='(block - 1) / weight')} + {ROUNDING}) AS BIGINT)"))
         .withColumn("deadline", F.expr(f"CAST(ceil({fluid.format(v='block / weight')} - {ROUNDING}) AS BIGINT)"))
         .withColumn("chunk", F.floor(F.col("release") / slots))
-        .withColumn("border", F.when(F.floor((F.col("deadline") - 1) / slots) > F.col("chunk"), F.col("chunk") + 1))
-    )
+        .withColumn("border", (F.col("chunk") + 1) * slots)
+        .withColumn("part", F.when(
+            F.col("deadline") > F.col("border"), F.expr(f"weight * ({inverse.format(t='border')}) - (block - 1)")
+        ).otherwise(0.0))
+    )
     # At a border the fluid schedule is inside one block of some sources. As many of these blocks as
-    # their done parts add up to come before the border, the earliest deadlines first.
-    met = Window.partitionBy("border")
-    crossing = (
-        blocks.where("border IS NOT NULL")
-        .withColumn("part", F.expr(f"weight * ({inverse.format(t=f'(border * {slots})')}) - (block - 1)"))
-        .withColumn("before", F.round(F.sum("part").over(met)))
-        .withColumn("nth", F.row_number().over(met.orderBy("deadline", "source_mx", "null_mx")))
-        .withColumn("chunk", F.when(F.col("nth") <= F.col("before"), F.col("chunk")).otherwise(F.col("border")))
+    # their done parts add up to come before the border: the earliest deadlines first, but from each
+    # slot on no more of them than the blocks due there leave slots. Among the choices that the slots
+    # before the border can hold, this one leaves the fewest blocks of each deadline for those after
+    # it, and as the fluid schedule can be rounded to one that keeps all windows, few enough.
+    columns = ["deadline", "source_mx", "null_mx", "block", "release"]
+    held = (
+        blocks.groupBy("chunk", "border")
+        .agg(
+            F.collect_list(F.when(F.col("deadline") <= F.col("border"), F.struct(*columns))).alias("due"),
+            F.sort_array(
+                F.collect_list(F.when(F.col("deadline") > F.col("border"), F.struct(*columns)))
+            ).alias("crossing"),
+            F.round(F.sum("part")).alias("before"),
+        )
+        .withColumn("free", F.expr(_FREE))
+        .withColumn("early", F.expr(_BEFORE))
+    )
+    placed = held.select("chunk", F.inline(F.concat("due", "early"))).unionByName(
+        held.select((F.col("chunk") + 1).alias("chunk"), F.inline(F.array_except("crossing", "early")))
     )
-    columns = ["source_mx", "null_mx", "block", "release", "deadline", "chunk"]
-    placed = blocks.where("border IS NULL").select(*columns).unionByName(crossing.select(*columns))
-    entry = F.struct("deadline", "source_mx", "null_mx", "block", "release")
-    chunks = placed.groupBy("chunk").agg(F.sort_array(F.collect_list(entry)).alias("waiting"))
-    return chunks.select("chunk", F.posexplode(F.expr(_FOLD.format(slots=slots))).alias("at", "b")).select(
+    chunks = placed.groupBy("chunk").agg(F.sort_array(F.collect_list(F.struct(*columns))).alias("waiting"))
+    fold = _FOLD.format(slots=slots, blocks=sum(n for _, n in listed))
+    return chunks.select("chunk", F.posexplode(F.expr(fold)).alias("at", "b")).select(
         "b.source_mx", "b.null_mx", "b.block", "b.release", "b.deadline",
         (F.col("chunk") * slots + F.col("at")).alias("slot"),
     )

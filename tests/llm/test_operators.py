@@ -14,6 +14,7 @@ import pytest
 from patronage.llm import (
     exact_dedup, fingerprints, language, lattice_lm, mixing, near_join, pieces, quality, toxicity,
 )
+from patronage.llm.registry import TARGET_WEIGHTS
 
 MODEL = public_tokenizers.path("piece_bpe_32k.model")
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
@@ -113,6 +114,33 @@ def test_mixture_keeps_every_window(spark, weights):
         assert all(abs(run[s] - done[s]) < 1 + 1e-5 for s in sizes)
 
 
+def slots_of(spark, mixture, chunk_slots=mixing.CHUNK_SLOTS):
+    """The schedule of ``(weight, blocks)`` per source, each block within its window and each slot taken once."""
+    rows = [(f"s{k}", False, float(w), n) for k, (w, n) in enumerate(mixture)]
+    sources = spark.createDataFrame(rows, "source_mx string, null_mx boolean, weight double, blocks long")
+    out = mixing.schedule(sources, chunk_slots).collect()
+    assert sorted((r.source_mx, r.block) for r in out) == sorted((f"s{k}", j + 1) for k, (_, n) in enumerate(mixture) for j in range(n))
+    assert sorted(r.slot for r in out) == list(range(len(out)))
+    assert all(r.release <= r.slot < r.deadline for r in out)
+    return out
+
+
+def test_mixing_keeps_blocks_released_just_before_a_border(spark):
+    rng = np.random.default_rng(5)
+    mixtures = [
+        [(2, 8), (2, 13), (5, 17), (5, 27), (0.5, 33), (0.5, 2), (4, 6)],
+        [(0.5, 9), (0.5, 10), (1, 17), (4, 44), (2, 26), (2, 3)],
+        [(3, 42), (0.5, 10), (3, 47), (0.5, 14)],
+    ]
+    for _ in range(20):
+        weights = rng.choice([0.5, 1, 2, 3, 4, 5], rng.integers(2, 9)) if rng.random() < 0.7 else rng.uniform(0.2, 5, 5)
+        mixtures.append([(w, int(rng.integers(1, 60))) for w in weights.tolist()])
+    for mixture in mixtures:
+        slots_of(spark, mixture, chunk_slots=8)
+    # The weights of production, 20 sources of 10,000 rows: src0 and src1 meet in the last slot before 4864.
+    slots_of(spark, [(TARGET_WEIGHTS.get(f"src{k}", 1.0), 625) for k in range(20)])
+
+
 def test_mixing_odd_input(spark):
     docs = odd_rows(spark).withColumnRenamed("n_chars", "slot")
     out = mixing.mix(docs, {}, block_rows=2)
