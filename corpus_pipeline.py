@@ -1,8 +1,8 @@
 """A corpus pipeline of five stages, each over all rows that the one before it kept.
 
 Toxic documents go; of exact copies and of near copies one stays; the rest is
-put in the order of the target mixture and encoded to piece ids. ``STAGES``
-lists the stages, ``run`` applies them to ``documents``. Each stage's rows are
+put in the order of the target mixture and encoded to piece ids. Sorting the
+result by ``slot, in_block`` gives the mixture. ``STAGES`` lists the stages, ``run`` applies them to ``documents``. Each stage's rows are
 written as Parquet and read back, which also cuts the lineage.
 
 ``ORACLE_SQL`` is None: compression lengths can't be had in SQL, so the tests
@@ -70,7 +70,13 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def encode_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return sentencepieces.encode(docs, PIECE_MODEL).withColumn("n_pieces", F.size("piece_ids"))
+    """The rows with their piece ids and their place in the mixture, as files keep no order across reads.
+
+    ``slot`` and ``in_block`` are worked out again: they follow from the ids and sources of the rows.
+    """
+    placed = mixing.placed_rows(docs, TARGET_WEIGHTS)
+    encoded = sentencepieces.encode(placed, PIECE_MODEL).withColumn("n_pieces", F.size("piece_ids"))
+    return encoded.select(*docs.columns, "slot", "in_block", "piece_ids", "n_pieces")
 
 
 STAGES = [

@@ -212,16 +212,29 @@ def in_order(mixed: DataFrame) -> DataFrame:
     return mixed.repartitionByRange("slot", "in_block").sortWithinPartitions("slot", "in_block")
 
 
-def mixed_rows(docs: DataFrame, weights: dict[str, float], **options) -> DataFrame:
-    """The whole rows of ``docs`` in the order of their mixture.
+def placed_rows(docs: DataFrame, weights: dict[str, float], **options) -> DataFrame:
+    """The whole rows of ``docs`` with ``slot`` and ``in_block`` of their mixture, in no order.
 
     Slots are worked out on ids and sources alone; the rows go to them in one
-    join and to their order in one range exchange. Equal rows take the slots of
-    one another.
+    join. Equal rows take the slots of one another.
     """
     source, order = options.get("source", "source"), list(options.get("order", ("doc_id",)))
-    key = F.xxhash64(*docs.columns)
-    narrow = docs.select(key.alias("key_mr"), *dict.fromkeys([source, *order]))
-    slots = written(mix(narrow, weights, **options).select("key_mr", "slot", "in_block"), "mix-rows")
-    once = docs.withColumn("key_mr", key).dropDuplicates(["key_mr"])
-    return in_order(once.join(slots, "key_mr")).drop("key_mr")
+    kept = docs.drop("slot", "in_block")
+    # A hash passes over nulls, so which columns are null is hashed as well.
+    values = [*map(F.col, kept.columns), *(F.col(c).isNull() for c in kept.columns)]
+    keys = {"key_mr": F.xxhash64(*values), "key2_mr": F.xxhash64(F.lit(1), *values)}
+    narrow = kept.select(*dict.fromkeys([source, *order]), *(key.alias(name) for name, key in keys.items()))
+    mixed = written(mix(narrow, weights, **options).select(*keys, "slot", "in_block"), "mix-rows")
+    places = mixed.groupBy(*keys).agg(F.collect_list(F.struct("slot", "in_block")).alias("places_mr"))
+    found = kept.withColumns(keys).join(places.hint("shuffle_hash"), list(keys))
+    once = found.where(F.size("places_mr") == 1)
+    equal = found.where(F.size("places_mr") > 1).dropDuplicates(list(keys))
+    return (
+        once.select(*kept.columns, F.col("places_mr")[0]["slot"].alias("slot"), F.col("places_mr")[0]["in_block"].alias("in_block"))
+        .unionByName(equal.select(*kept.columns, F.inline("places_mr")))
+    )
+
+
+def mixed_rows(docs: DataFrame, weights: dict[str, float], **options) -> DataFrame:
+    """As :func:`placed_rows`, laid out in the order of the mixture in one range exchange."""
+    return in_order(placed_rows(docs, weights, **options))

@@ -1,14 +1,16 @@
 """The registered queries and the pipeline on the smallest tables."""
 
+import math
 import os
 import re
+from collections import Counter, defaultdict
 
 import duckdb
 import pytest
 
 import corpus_pipeline
 from checks.compare import connect, rows_of
-from patronage.llm import registry
+from patronage.llm import mixing, registry
 from patronage.llm.oracles import oracle_sql
 
 FOLDER = "/root/testdata/sf0.001"
@@ -58,3 +60,28 @@ def test_stages_may_follow_without_a_write_between(spark):
     assert docs.count() > 0
     written_between = corpus_pipeline.run(spark, FOLDER)
     assert written_between.columns[-2:] == ["piece_ids", "n_pieces"] and written_between.count() > 0
+
+
+def test_pipeline_returns_the_mixture(spark):
+    result = corpus_pipeline.run(spark, FOLDER)
+    rows = sorted(result.select("slot", "in_block", "source", "doc_id").collect())
+    assert len({(r.slot, r.in_block) for r in rows}) == len(rows) > 0
+    by_source, slots = defaultdict(list), {}
+    for r in rows:
+        by_source[r.source].append(r.doc_id)
+        assert slots.setdefault(r.slot, r.source) == r.source
+    assert sorted(slots) == list(range(len(slots)))
+    assert all(ids == sorted(ids) for ids in by_source.values())
+    blocks = {s: math.ceil(len(ids) / mixing.BLOCK_ROWS) for s, ids in by_source.items()}
+    assert len(slots) == sum(blocks.values())
+    # Less than one block from the fluid schedule after every slot.
+    weight = {s: registry.TARGET_WEIGHTS.get(s, 1.0) for s in blocks}
+    fluid = lambda v: sum(min(weight[s] * v, n) for s, n in blocks.items())
+    run = Counter()
+    for slot in range(len(slots)):
+        run[slots[slot]] += 1
+        low, high = 0.0, max(n / weight[s] for s, n in blocks.items())
+        for _ in range(60):
+            middle = (low + high) / 2
+            low, high = (middle, high) if fluid(middle) < slot + 1 else (low, middle)
+        assert all(abs(run[s] - min(weight[s] * high, n)) < 1 + 1e-5 for s, n in blocks.items())
