@@ -65,7 +65,8 @@ class ToxicityModel:
 
     def score(self, counts: np.ndarray) -> np.ndarray:
         z = np.log1p(counts) @ np.array(self.weights[:-1]) + self.weights[-1]
-        return 1.0 / (1.0 + np.exp(-np.clip(z, -500, 500)))
+        # A constant of -500 stands for a model without a toxic label.
+        return np.where(z <= -500, 0.0, 1.0 / (1.0 + np.exp(-np.clip(z, -500, 500))))
 
 
 class Gains:
