@@ -2,11 +2,11 @@
 
 Texts are equal when nothing but white space of the set ``[\x20\x09-\x0D]``
 tells them apart. The index holds one entry per hash key; its directory starts
-with one bucket and doubles for as long as a bucket is overfull. Owner tasks
-take the buckets' key ranges, and where a key has several rows they chain the
-distinct texts of the key by comparing their bytes. A bucket that one key
-overfills can't be split; its rows are pre-aggregated to one per distinct text
-before they meet.
+with one bucket and doubles for as long as a bucket is overfull. The directory
+does not route: of the index only the keys with several rows are used, and the
+rows of these meet in a hash aggregate over depth, bucket, key and whole text.
+No task owns a key range; comparing whole texts is what tells texts of one key
+apart. Partial aggregation keeps one row per distinct text of a task.
 
 Null text counts as empty. Of equal texts the row with the most code points
 stays, then the smallest ``doc_id`` (null last), then one of the equal rows.
@@ -117,7 +117,7 @@ def exact_duplicates(
         "doc_hx", "keep_hx", "sha_hx", F.col("doc_hx").alias("id_hx"), F.lit(1).cast("long").alias("size_hx"),
         F.lit(True).alias("kept_hx"),
     )
-    # Owner tasks: equal bytes meet in the aggregate, the texts of one key form a chain.
+    # Equal bytes meet in the aggregate, which keeps the texts of one key apart.
     best = F.struct(
         (-F.col("chars_hx")).alias("chars"), F.col("doc_hx").isNull().alias("none"),
         F.col("doc_hx").alias("doc"), F.col("row_hx").alias("row"),
