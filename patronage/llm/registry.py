@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from patronage.llm import (
-    exact_dedup, fingerprints, language, lattice_lm, mixing, near_join, quality, sentencepieces, toxicity, warc,
+    centroids, exact_dedup, fingerprints, language, lattice_lm, mixing, near_join, quality, sentencepieces, substrings,
+    toxicity, turn_tries, warc,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -68,6 +69,18 @@ def op10_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
     return fingerprints.compare_neighbours(table(spark, folder, "documents"))
 
 
+def op11_centroids(spark: SparkSession, folder: str) -> DataFrame:
+    return centroids.report(table(spark, folder, "embeddings"))
+
+
+def op12_substrings(spark: SparkSession, folder: str) -> DataFrame:
+    return substrings.remove_repeats(table(spark, folder, "documents")).drop("removed")
+
+
+def op13_turn_trie(spark: SparkSession, folder: str) -> DataFrame:
+    return turn_tries.trie(table(spark, folder, "conversations")).nodes.drop("code")
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_warc": op1_warc,
@@ -80,4 +93,7 @@ def queries() -> dict[str, Query]:
         "op8_sentencepiece": op8_sentencepiece,
         "op9_near_join": op9_near_join,
         "op10_fingerprints": op10_fingerprints,
+        "op11_centroids": op11_centroids,
+        "op12_substrings": op12_substrings,
+        "op13_turn_trie": op13_turn_trie,
     }
