@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import re
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -47,22 +49,35 @@ def local_session(cpus: int = 8, shuffle_partitions: int | None = None) -> Spark
 def shared_folder(spark: SparkSession) -> str:
     """The folder for checkpoints and intermediate tables.
 
-    The cluster names it in ``spark.checkpoint.dir``. Where that is unset, as in
-    tests, it is a folder of the warehouse, which all executors share as well.
+    The cluster names it in ``spark.checkpoint.dir``. Where that is unset and all
+    runs on one machine, as in tests, it is a folder of the warehouse; on several machines that
+    need not be shared, so a missing setting is an error there.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
+        if not re.fullmatch(r"local(\[.*\])?", spark.conf.get("spark.master", "local")):
+            raise ValueError("spark.checkpoint.dir names no folder that all executors share")
         folder = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_intermediate"
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(folder)
     return folder
 
 
+def run_folder(spark: SparkSession) -> str:
+    """Where this application's intermediate tables are, in the shared folder; :func:`clear` removes it."""
+    return f"{shared_folder(spark)}/patronage/{spark.sparkContext.applicationId}"
+
+
+def clear(spark: SparkSession) -> None:
+    """Delete all intermediate tables of this application; results not written elsewhere can't be read afterwards."""
+    remove(spark, run_folder(spark))
+
+
 def written(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` to the shared folder and return a scan of what was written.
 
     Cuts the lineage in a way that outlives executors, and keeps later reads
-    columnar. The files stay until the folder is cleared.
+    columnar. The files stay until they are removed, or the run's folder by :func:`clear`.
     """
     return written_at(df, label)[0]
 
@@ -70,26 +85,46 @@ def written(df: DataFrame, label: str) -> DataFrame:
 def written_at(df: DataFrame, label: str) -> tuple[DataFrame, str]:
     """As :func:`written`, with the path, for tables to be removed again."""
     spark = df.sparkSession
-    path = f"{shared_folder(spark)}/patronage/{label}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    for paths in _noting:
+    path = f"{run_folder(spark)}/{label}-{uuid.uuid4().hex}"
+    with _shuffles_removed(spark):
+        df.write.parquet(path)
+    for paths in _noting.get():
         paths.append(path)
     return spark.read.schema(df.schema).parquet(path), path
 
 
-# Lists that note the tables written while they stand here, see :func:`noted`.
-_noting: list[list[str]] = []
+# Spark keeps the files of a shuffle until the driver collects what refers to them. Once
+# their rows are in a table nothing reads them again.
+_SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def _shuffles_removed(spark: SparkSession) -> Iterator[None]:
+    """Have Spark delete the shuffle files of the queries run inside when they end."""
+    before = spark.conf.get(_SHUFFLE_CLEANUP, None)
+    spark.conf.set(_SHUFFLE_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(_SHUFFLE_CLEANUP)
+        else:
+            spark.conf.set(_SHUFFLE_CLEANUP, before)
+
+
+# Lists that note the tables written while they stand here, see :func:`noted`; each thread has its own.
+_noting: ContextVar[tuple[list[str], ...]] = ContextVar("noting", default=())
 
 
 @contextmanager
 def noted() -> Iterator[list[str]]:
     """Collect the paths of the tables written inside, to be removed once nothing reads them."""
     paths: list[str] = []
-    _noting.append(paths)
+    token = _noting.set((*_noting.get(), paths))
     try:
         yield paths
     finally:
-        _noting.remove(paths)
+        _noting.reset(token)
 
 
 def remove(spark: SparkSession, path: str) -> None:
