@@ -26,10 +26,11 @@ def test_query_equals_duckdb(spark, name):
     assert rows_of(df.columns, df.collect()) == rows_of(columns, found.fetchall())
 
 
-@pytest.mark.parametrize("name", sorted(registry.queries()))
+@pytest.mark.parametrize("name", sorted(set(registry.queries()) - {"op13_turn_trie"}))
 def test_one_row_per_row_of_the_table(spark, name):
     df = registry.queries()[name](spark, FOLDER)
-    table, key = ("pages", "page_id") if name == "op1_warc" else ("documents", "doc_id")
+    tables = {"op1_warc": ("pages", "page_id"), "op11_centroids": ("embeddings", "vec_id")}
+    table, key = tables.get(name, ("documents", "doc_id"))
     want = duckdb.sql(f"SELECT {key} FROM read_parquet('{FOLDER}/{table}.parquet') ORDER BY 1").fetchall()
     assert sorted(r[0] for r in df.select(key).collect()) == [r[0] for r in want]
 
