@@ -86,7 +86,7 @@ def written_at(df: DataFrame, label: str) -> tuple[DataFrame, str]:
     """As :func:`written`, with the path, for tables to be removed again."""
     spark = df.sparkSession
     path = f"{run_folder(spark)}/{label}-{uuid.uuid4().hex}"
-    with _shuffles_removed(spark):
+    with shuffles_removed(spark):
         df.write.parquet(path)
     for paths in _noting.get():
         paths.append(path)
@@ -99,7 +99,7 @@ _SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 @contextmanager
-def _shuffles_removed(spark: SparkSession) -> Iterator[None]:
+def shuffles_removed(spark: SparkSession) -> Iterator[None]:
     """Have Spark delete the shuffle files of the queries run inside when they end."""
     before = spark.conf.get(_SHUFFLE_CLEANUP, None)
     spark.conf.set(_SHUFFLE_CLEANUP, "true")
