@@ -2,19 +2,18 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
-from multiprocessing.pool import ThreadPool
-
-from pyspark import StorageLevel, inheritable_thread_target
-from pyspark.ml.clustering import KMeans, KMeansModel
-from pyspark.ml.evaluation import ClusteringEvaluator
-from pyspark.ml.feature import PCA, VectorAssembler
-from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, SparkSession
+
+import numpy as np
+import pyarrow as pa
+from pyspark import StorageLevel
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from patronage.functions.numeric import half_even
-from patronage.session import partitions_for
+from patronage.operators.sweep import cluster_number, labelled_figures, sweep
+from patronage.session import partitions_for, written
 
 ID = "customer_id"
 
@@ -53,33 +52,14 @@ def scale(features: DataFrame) -> DataFrame:
     return Scaling.of(features).apply(features)
 
 
-def vectors(scaled: DataFrame) -> DataFrame:
-    """``(customer_id, features)`` laid out alike on every run: K-Means starts depend on the layout."""
-    parts = partitions_for(scaled.count())
-    assembled = VectorAssembler(inputCols=feature_columns(scaled), outputCol="features").transform(scaled)
-    return assembled.select(ID, "features").repartition(parts, ID).sortWithinPartitions(ID)
-
-
-def _fit_all(
-    points: DataFrame, ks: list[int], seed: int, starts: int, max_iter: int, jobs: int
-) -> dict[int, KMeansModel]:
-    """For each k the model with the smallest within-cluster sum over several starts.
-
-    The fits do not depend on each other; ``jobs`` of them run at a time over
-    the same cached points.
-    """
-
-    @inheritable_thread_target(points.sparkSession)
-    def fit(task: tuple[int, int]) -> tuple[int, KMeansModel]:
-        k, start = task
-        estimator = KMeans(
-            k=k, seed=seed + start, maxIter=max_iter, featuresCol="features", predictionCol="cluster"
-        )
-        return k, estimator.fit(points)
-
-    with ThreadPool(jobs) as pool:
-        fitted = pool.map(fit, [(k, s) for k in reversed(ks) for s in range(starts)], chunksize=1)
-    return {k: min((m for j, m in fitted if j == k), key=lambda m: m.summary.trainingCost) for k in ks}
+def points(scaled: DataFrame) -> tuple[DataFrame, int, int]:
+    """``(customer_id, x)``, kept for many passes, with the numbers of rows and of tasks."""
+    x = F.array(*[F.col(c).cast("double") for c in feature_columns(scaled)])
+    rows = written(scaled.select(ID, x.alias("x")), "points")
+    n = rows.count()
+    # A few tasks also for few rows: a pass is short, and waits for its longest task.
+    parts = max(min(4, -(-n // 2_000)), partitions_for(n))
+    return rows.coalesce(parts).persist(StorageLevel.MEMORY_AND_DISK), n, parts
 
 
 @dataclass(frozen=True)
@@ -89,7 +69,8 @@ class KChoice:
     k: int
     inertias: dict[int, float]
     silhouettes: dict[int, float]
-    model: KMeansModel | None = None
+    centres: np.ndarray | None = None
+    passes: int = 0
 
     def frame(self, spark: SparkSession) -> DataFrame:
         rows = [(k, self.inertias[k], self.silhouettes[k], k == self.k) for k in sorted(self.inertias)]
@@ -113,31 +94,35 @@ def choose_k(inertias: dict[int, float], silhouettes: dict[int, float]) -> int:
 
 
 def find_optimal_k(
-    scaled: DataFrame, max_clusters: int = 10, seed: int = 42, starts: int = 10, max_iter: int = 300, jobs: int = 8
+    scaled: DataFrame, max_clusters: int = 10, seed: int = 42, starts: int = 10, max_iter: int = 300
 ) -> KChoice:
-    """Fit every k from 2 on, measure inertia and silhouette, and choose."""
-    points = vectors(scaled).persist(StorageLevel.MEMORY_AND_DISK)
+    """Fit every k from 2 on in one set of passes, measure inertia and silhouette, and choose."""
+    rows, n, parts = points(scaled)
     try:
-        top = min(max_clusters, points.count() - 1)
-        if top < 2:
+        ks = list(range(2, min(max_clusters, n - 1) + 1))
+        if not ks:
             return KChoice(2, {}, {})
-        models = _fit_all(points, list(range(2, top + 1)), seed, starts, max_iter, jobs)
-        evaluator = ClusteringEvaluator(featuresCol="features", predictionCol="cluster")
-
-        @inheritable_thread_target(scaled.sparkSession)
-        def silhouette(k: int) -> float:
-            # With all points in one cluster there is no silhouette.
-            if sum(size > 0 for size in models[k].summary.clusterSizes) < 2:
-                return -1.0
-            return evaluator.evaluate(models[k].transform(points))
-
-        with ThreadPool(jobs) as pool:
-            silhouettes = dict(zip(models, pool.map(silhouette, models, chunksize=1)))
-        inertias = {k: model.summary.trainingCost for k, model in models.items()}
-        k = choose_k(inertias, silhouettes)
-        return KChoice(k, inertias, silhouettes, models[k])
+        found = sweep(rows, ID, ks, seed, starts, max_iter, parts=parts)
+        x = [F.col("x")[i] for i in range(found.centres[ks[0]].shape[1])]
+        labels = F.array(*[cluster_number(x, found.centres[k]) for k in ks])
+        _, silhouettes = labelled_figures(rows.withColumn("labels", labels), "labels", ks, parts)
+        by_k = dict(zip(ks, silhouettes))
+        k = choose_k(found.inertias, by_k)
+        return KChoice(k, found.inertias, by_k, found.centres[k], found.passes)
     finally:
-        points.unpersist()
+        rows.unpersist()
+
+
+def choice_for(scaled: DataFrame, labellings: dict[int, Column], columns: list[str] | None = None) -> KChoice:
+    """The same figures and choice for labels that are given: for each k a label from 0 to k - 1.
+
+    ``columns`` are the features, by default all but the id.
+    """
+    ks = sorted(labellings)
+    x = F.array(*[F.col(c).cast("double") for c in columns or feature_columns(scaled)])
+    rows = scaled.select(x.alias("x"), F.array(*[labellings[k].cast("int") for k in ks]).alias("labels"))
+    inertias, silhouettes = (dict(zip(ks, f)) for f in labelled_figures(rows, "labels", ks))
+    return KChoice(choose_k(inertias, silhouettes), inertias, silhouettes)
 
 
 def fit_clusters(
@@ -147,36 +132,50 @@ def fit_clusters(
     seed: int = 42,
     starts: int = 10,
     max_iter: int = 300,
-    jobs: int = 8,
 ) -> DataFrame:
     """Add ``cluster``; numbered by ascending centre, so labels do not depend on the start.
 
     ``k`` may be the outcome of :func:`find_optimal_k` on the same features, whose
-    model is then used; left out, that search is run.
+    centres are then used; left out, that search is run.
     ``features`` is scanned several times; pass a written table.
     """
     scaling = Scaling.of(features)
     scaled = scaling.apply(features)
     if k is None:
-        k = find_optimal_k(scaled, max_clusters, seed, starts, max_iter, jobs)
-    model = k.model if isinstance(k, KChoice) else None
-    if model is None:
+        k = find_optimal_k(scaled, max_clusters, seed, starts, max_iter)
+    centres = k.centres if isinstance(k, KChoice) else None
+    if centres is None:
         wanted = k.k if isinstance(k, KChoice) else k
-        points = vectors(scaled).persist(StorageLevel.MEMORY_AND_DISK)
+        rows, _, parts = points(scaled)
         try:
-            model = _fit_all(points, [wanted], seed, starts, max_iter, jobs)[wanted]
+            centres = sweep(rows, ID, [wanted], seed, starts, max_iter, parts=parts).centres[wanted]
         finally:
-            points.unpersist()
-    centres = [tuple(c) for c in model.clusterCenters()]
-    order = sorted(range(len(centres)), key=centres.__getitem__)
-    number = F.create_map(*[F.lit(x) for new, old in enumerate(order) for x in (old, new)])
-    # Scaled values go into the vector beside the plain columns: no join back.
+            rows.unpersist()
+    ordered = np.array(sorted(map(tuple, centres)))
     columns = feature_columns(features)
-    z = [((F.col(c) - scaling.means[c]) / scaling.deviations[c]).alias(f"_z_{c}") for c in columns]
-    assembled = VectorAssembler(inputCols=[f"_z_{c}" for c in columns], outputCol="features").transform(
-        features.select("*", *z)
+    scaled_values = [(F.col(c) - scaling.means[c]) / scaling.deviations[c] for c in columns]
+    return features.select(*features.columns, cluster_number(scaled_values, ordered).alias("cluster"))
+
+
+def fit_certificate(clustered: DataFrame) -> DataFrame:
+    """One row on a fit: ``points``, ``clusters``, and ``off_nearest``, the points nearer to the mean of another cluster.
+
+    It is 0 exactly if every centre is the mean of its points and every point is with its nearest centre.
+    """
+    scaled = scale(clustered)
+    columns = feature_columns(scaled)
+    means = scaled.groupBy("cluster").agg(*[F.avg(c).alias(c) for c in columns]).orderBy("cluster").collect()
+    x = [F.col(c) for c in columns]
+    squared = F.array(  # one per cluster
+        *[sum(((v - r[c]) * (v - r[c]) for v, c in zip(x, columns)), F.lit(0.0)) for r in means]
+    )
+    own = F.element_at(squared, F.array_position(F.array(*[F.lit(r["cluster"]) for r in means]), F.col("cluster")).cast("int"))
+    off = F.col("own") - F.col("least") > 1e-9 * (1 + F.col("own"))
+    return (
+        scaled.select(own.alias("own"), F.array_min(squared).alias("least"))
+        .agg(F.count(F.lit(1)).alias("points"), F.count_if(off).alias("off_nearest"))
+        .withColumn("clusters", F.lit(len(means)))
     )
-    return model.transform(assembled).select(*features.columns, number[F.col("cluster")].alias("cluster"))
 
 
 def cluster_profiles(clustered: DataFrame) -> DataFrame:
@@ -192,19 +191,75 @@ def cluster_profiles(clustered: DataFrame) -> DataFrame:
     )
 
 
-def pca_projection(clustered: DataFrame) -> DataFrame:
-    """``(customer_id, cluster, pca_x, pca_y)``: the first two components of the scaled features.
+@dataclass(frozen=True)
+class Components:
+    """Principal components of the scaled features: loadings by column, and the variance along each."""
+
+    columns: list[str]
+    loadings: np.ndarray
+    variances: np.ndarray
+    total_variance: float
+
+
+def _joined_moments(n: float, mean: np.ndarray, m: np.ndarray, other) -> tuple[float, np.ndarray, np.ndarray]:
+    """Count, means and centred co-moments of two sets of rows from those of each (Chan, Golub, LeVeque 1979)."""
+    n2, mean2, m2 = other
+    if not n2:
+        return n, mean, m
+    both, delta = n + n2, mean2 - mean
+    return both, mean + delta * (n2 / both), m + m2 + np.outer(delta, delta) * (n * n2 / both)
 
-    Each component is turned so that its largest loading is positive.
+
+def principal_components(scaled: DataFrame, k: int = 2) -> Components:
+    """The ``k`` leading components from centred co-moments, which every task merges pairwise.
+
+    A component is turned so that its largest loading is positive.
     """
+    columns = feature_columns(scaled)
+    d = len(columns)
+    kind = "n double, mean array<double>, m array<double>"
+
+    def merged(batches, rows_of) -> Iterator[pa.RecordBatch]:
+        state = 0.0, np.zeros(d), np.zeros((d, d))
+        for batch in batches:
+            for other in rows_of(batch):
+                state = _joined_moments(*state, other)
+        n, mean, m = state
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([n]), pa.array([mean.tolist()]), pa.array([m.ravel().tolist()])], names=["n", "mean", "m"]
+        )
+
+    def of_points(batch: pa.RecordBatch):
+        x = batch.column(0).flatten().to_numpy(zero_copy_only=False).reshape(-1, d)
+        if len(x):
+            mean = x.mean(axis=0)
+            yield float(len(x)), mean, (x - mean).T @ (x - mean)
+
+    def of_states(batch: pa.RecordBatch):
+        for n, mean, m in zip(*[c.to_pylist() for c in batch.columns]):
+            yield n, np.array(mean), np.array(m).reshape(d, d)
+
+    x = scaled.select(F.array(*[F.col(c).cast("double") for c in columns]).alias("x"))
+    parts = x.mapInArrow(lambda batches: merged(batches, of_points), kind)
+    # Tasks' moments are merged in 16 groups before the driver merges these.
+    grouped = parts.repartition(16).mapInArrow(lambda batches: merged(batches, of_states), kind).collect()
+    state = 0.0, np.zeros(d), np.zeros((d, d))
+    for row in sorted(grouped, key=lambda r: (r["n"], r["mean"])):
+        state = _joined_moments(*state, (row["n"], np.array(row["mean"]), np.array(row["m"]).reshape(d, d)))
+    n, _, m = state
+    covariance = m / max(n - 1.0, 1.0)
+    values, basis = np.linalg.eigh(covariance)
+    order = np.argsort(-values, kind="stable")[:k]
+    loadings = basis[:, order]
+    signs = np.sign(loadings[np.abs(loadings).argmax(axis=0), np.arange(loadings.shape[1])])
+    return Components(columns, loadings * np.where(signs == 0, 1.0, signs), values[order], float(np.trace(covariance)))
+
+
+def pca_projection(clustered: DataFrame) -> DataFrame:
+    """``(customer_id, cluster, pca_x, pca_y)``: the first two components of the scaled features."""
     scaled = scale(clustered)
-    assembled = VectorAssembler(inputCols=feature_columns(clustered), outputCol="features").transform(scaled)
-    model = PCA(k=2, inputCol="features", outputCol="projected").fit(assembled)
-    loadings = model.pc.toArray()
-    signs = [1.0 if max(column, key=abs) >= 0 else -1.0 for column in loadings.T.tolist()]
-    spot = vector_to_array("projected")
-    return model.transform(assembled).select(
-        ID,
-        "cluster",
-        *[(spot[i] * F.lit(signs[i])).alias(name) for i, name in enumerate(("pca_x", "pca_y"))],
-    )
+    found = principal_components(scaled)
+    spots = [
+        sum((F.col(c) * float(w) for c, w in zip(found.columns, weights)), F.lit(0.0)) for weights in found.loadings.T
+    ]
+    return scaled.select(ID, "cluster", *[s.alias(name) for s, name in zip(spots, ("pca_x", "pca_y"))])
