@@ -1,31 +1,223 @@
-"""Boosted regression of customer value on features."""
+"""Boosted regression of customer value on features: the final model and all folds in one set of passes.
+
+Features are cut once into at most ``BINS`` bins, a byte each. A pass over the
+rows gives, for every model, node and feature, sums and counts of residuals per bin; from those
+the driver picks splits. All models (one on the training rows, one per fold)
+share every pass.
+
+A pass covers all levels of a tree at once: a sample of ``SAMPLE_ROWS`` rows on the
+driver proposes the tree, the pass tells for each node, from the top, whether
+the proposed split is the best one over all rows. Where it is not, the node gets
+the best one, the sample proposes anew what hangs below it, and the next pass
+goes on from there. So the trees are those of level-wise growth over all rows, in
+one to ``depth`` passes each; a sample that holds all rows always needs one.
+Residuals follow from predictions written every ``KEEP_TREES`` trees, and the trees since.
+"""
 
 from __future__ import annotations
 
-from dataclasses import dataclass
-from multiprocessing.pool import ThreadPool
+from collections.abc import Iterator
+from dataclasses import dataclass, field
 
-from pyspark import inheritable_thread_target
-from pyspark.ml.evaluation import RegressionEvaluator
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import GBTRegressionModel, GBTRegressor
+import numpy as np
+import pyarrow as pa
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from patronage.session import partitions_for, shared_folder, written
+from patronage.operators.sweep import total
+from patronage.session import partitions_for, written
 
 ID = "customer_id"
 
+BINS = 128
+SAMPLE_ROWS = 20_000
+KEEP_TREES = 8
+BLOCK_ROWS = 8_192
+
+
+def bucket(buckets: int, salt: int) -> Column:
+    """A bucket that depends on the customer alone: the first 32 bits of a SHA-256, modulo ``buckets``."""
+    digest = F.sha2(F.concat(F.lit(f"{salt}:"), F.col(ID)).cast("binary"), 256)
+    return F.pmod(F.conv(F.substring(digest, 1, 8), 16, 10).cast("long"), F.lit(buckets)).cast("int")
+
+
+@dataclass
+class Tree:
+    """A tree in heap order, node i above 2 i + 1 (up to the bin) and 2 i + 2; ``feature`` is -1 in leaves."""
+
+    feature: np.ndarray
+    bin: np.ndarray
+    value: np.ndarray
+    gain: np.ndarray
+
+    @classmethod
+    def empty(cls, depth: int) -> Tree:
+        nodes = 2 ** (depth + 1) - 1
+        return cls(np.full(nodes, -1), np.zeros(nodes, int), np.zeros(nodes), np.zeros(nodes))
+
+    def below(self, codes: np.ndarray, at: np.ndarray) -> np.ndarray:
+        """The nodes of rows one level further down; rows in leaves stay."""
+        f = self.feature[at]
+        right = codes[np.arange(len(codes)), np.maximum(f, 0)] > self.bin[at]
+        return np.where(f >= 0, 2 * at + 1 + right, at)
+
+    def predict(self, codes: np.ndarray) -> np.ndarray:
+        at = np.zeros(len(codes), int)
+        for _ in range(int(np.log2(len(self.value) + 1)) - 1):
+            at = self.below(codes, at)
+        return self.value[at]
+
+
+def level_sums(tree: Tree, depth: int, codes: np.ndarray, residual: np.ndarray) -> np.ndarray:
+    """``(node, feature, bin, (sum, count))`` for the root and the left children of every level, one after another."""
+    n, width = codes.shape
+    out, at = [], np.zeros(n, int)
+    for level in range(depth):
+        place = at - (2**level - 1)
+        slots = max(1, 2**level // 2)
+        here = (place >= 0) & (place < 2**level) & ((place % 2 == 0) | (level == 0))
+        key = ((place[here] // 2)[:, None] * width + np.arange(width)) * BINS + codes[here]
+        size = slots * width * BINS
+        sums = np.bincount(key.ravel(), weights=np.repeat(residual[here], width), minlength=size)
+        out.append(np.stack([sums, np.bincount(key.ravel(), minlength=size)], axis=-1).reshape(slots, width, BINS, 2))
+        at = tree.below(codes, at)
+    return np.concatenate(out)
+
+
+def _split(sums: np.ndarray, proposed: tuple[int, int] | None):
+    """``feature, bin, gain`` of the best split of a node, feature -1 if none gains; of equal ones the proposed, else the first."""
+    total_sum, total_n = sums[0].sum(axis=0)
+    left = sums.cumsum(axis=1)[:, :-1]
+    ls, ln = left[..., 0], left[..., 1]
+    rn = total_n - ln
+    with np.errstate(divide="ignore", invalid="ignore"):
+        gain = np.where((ln > 0) & (rn > 0), ls**2 / ln + (total_sum - ls) ** 2 / rn, -np.inf)
+    if total_n < 2:
+        return -1, 0, 0.0
+    gain = gain - total_sum**2 / total_n
+    best = int(np.argmax(gain))
+    top = gain.flat[best]
+    # Less than rounding of the sums can make up is no gain.
+    if not top > 1e-9 * (1.0 + total_sum**2 / total_n):
+        return -1, 0, 0.0
+    if proposed is not None and proposed[0] >= 0 and gain[proposed] >= top * (1 - 1e-9):
+        return *proposed, float(gain[proposed])
+    return *divmod(best, gain.shape[1]), float(top)
+
+
+def confirm(tree: Tree, depth: int, sums: np.ndarray, proposal: Tree, fixed: int) -> int:
+    """Settle the nodes of ``tree`` from the top with the sums of a pass over ``proposal``.
+
+    Returns the number of levels that are settled; below the first split that differs from
+    the proposed one nothing is known yet. ``fixed`` levels are settled already.
+    """
+    offsets = np.cumsum([0, *[max(1, 2**level // 2) for level in range(depth)]])
+    known: dict[int, np.ndarray] = {0: sums[0]}
+    settled = depth
+    for level in range(depth):
+        first = 2**level - 1
+        for node in range(first, 2 * first + 1):
+            if node not in known:
+                continue
+            own = known[node]
+            g, n = own[0].sum(axis=0)
+            tree.value[node] = g / n if n else 0.0
+            guess = int(proposal.feature[node]), int(proposal.bin[node])
+            if level >= fixed:
+                tree.feature[node], tree.bin[node], tree.gain[node] = _split(own, guess)
+            if tree.feature[node] < 0:
+                continue
+            f, b = int(tree.feature[node]), int(tree.bin[node])
+            ls, ln = own[f, : b + 1].sum(axis=0)
+            for child, s, c in ((2 * node + 1, ls, ln), (2 * node + 2, g - ls, n - ln)):
+                tree.value[child] = s / c if c else 0.0
+            if (f, b) != guess:
+                settled = min(settled, level + 1)
+            elif level + 1 < depth:
+                place = offsets[level + 1] + node - first
+                known[2 * node + 1] = sums[place]
+                known[2 * node + 2] = own - sums[place]
+    return settled
+
+
+def propose(tree: Tree, depth: int, fixed: int, codes: np.ndarray, residual: np.ndarray) -> Tree:
+    """The tree that the sample would grow, with the first ``fixed`` levels as they are."""
+    made = Tree(tree.feature.copy(), tree.bin.copy(), tree.value.copy(), tree.gain.copy())
+    at = np.zeros(len(codes), int)
+    width = codes.shape[1]
+    known: dict[int, np.ndarray] = {}
+    for level in range(depth):
+        first = 2**level - 1
+        if level >= fixed:
+            place = at - first
+            inside = (place >= 0) & (place < 2**level)
+            # The sums of right children are what their left siblings leave of the parent's, if these are known.
+            half = level > 0 and (first - 1) // 2 in known
+            here = inside & (place % 2 == 0) if half else inside
+            key = (place[here][:, None] * width + np.arange(width)) * BINS + codes[here]
+            size = 2**level * width * BINS
+            found = np.bincount(key.ravel(), weights=np.repeat(residual[here], width), minlength=size)
+            counts = np.bincount(key.ravel(), minlength=size)
+            sums = np.stack([found, counts], axis=-1).reshape(2**level, width, BINS, 2)
+            now = {}
+            for j in range(2**level):
+                node = first + j
+                if half and j % 2:
+                    parent = (node - 1) // 2
+                    sums[j] = known[parent] - sums[j - 1] if made.feature[parent] >= 0 else 0.0
+                now[node] = sums[j]
+                made.feature[node], made.bin[node], made.gain[node] = _split(sums[j], None)
+            known = now
+        at = made.below(codes, at)
+    made.feature[2**depth - 1 :] = -1
+    return made
+
+
+@dataclass(frozen=True)
+class BoostedTrees:
+    """A fitted model: start value, rate, trees, and the bins' upper ends per feature."""
+
+    columns: list[str]
+    edges: list[np.ndarray]
+    start: float
+    rate: float
+    trees: list[Tree] = field(repr=False)
+
+    def values(self, codes: np.ndarray) -> np.ndarray:
+        return self.start + self.rate * sum((t.predict(codes) for t in self.trees), np.zeros(len(codes)))
+
+    def transform(self, features: DataFrame) -> DataFrame:
+        """``features`` with a column ``prediction``."""
+        names = [*features.columns, "prediction"]
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                x = _matrix(batch.column(batch.num_columns - 1))
+                value = self.values(codes_of(x, self.edges))
+                yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(value)], names=names)
+
+        x = F.array(*[F.col(c).cast("double") for c in self.columns]).alias("_x")
+        kinds = T.StructType([*features.schema.fields, T.StructField("prediction", T.DoubleType())])
+        return features.select(*features.columns, x).mapInArrow(run, kinds)
+
 
 @dataclass(frozen=True)
 class BoostedFit:
-    """A fitted model with its hold-out errors, cross-validated R² and importances."""
+    """A fitted model with its hold-out errors, cross-validated R², importances, and the predictions behind them.
+
+    ``predictions``: ``customer_id, label, prediction, held_out, fold, fold_prediction``, the
+    last from the model that has not seen the row's fold.
+    """
 
-    model: GBTRegressionModel
+    model: BoostedTrees
     mae: float
     r2: float
     cv_r2: float | None
     importance: list[tuple[str, float]]
+    predictions: DataFrame
+    passes: int
 
     def metrics_frame(self, spark: SparkSession) -> DataFrame:
         return spark.createDataFrame(
@@ -36,47 +228,116 @@ class BoostedFit:
         return spark.createDataFrame(self.importance, "feature string, importance double")
 
 
-def _bucket(buckets: int, salt: int) -> Column:
-    """A bucket that depends on the customer alone, not on where the row happens to be."""
-    return F.pmod(F.xxhash64(F.lit(salt), F.col(ID)), F.lit(buckets)).cast("int")
+def _matrix(column: pa.Array) -> np.ndarray:
+    values = column.flatten().to_numpy(zero_copy_only=False)
+    return values.reshape(len(column), -1) if len(column) else values.reshape(0, 1)
 
 
-def regressor(trees: int = 100, depth: int = 5, rate: float = 0.1, seed: int = 42) -> GBTRegressor:
-    return GBTRegressor(
-        featuresCol="features",
-        labelCol="label",
-        maxIter=trees,
-        maxDepth=depth,
-        stepSize=rate,
-        seed=seed,
-        maxBins=256,
-        checkpointInterval=10,
-    )
+def codes_of(x: np.ndarray, edges: list[np.ndarray]) -> np.ndarray:
+    """The bin of every value: up to the edge is its own bin; missing values are above all."""
+    return np.stack([np.searchsorted(e, x[:, i], side="left") for i, e in enumerate(edges)], axis=1).astype(np.uint8)
 
 
-def labelled_vectors(features: DataFrame, target: str | Column) -> tuple[DataFrame, list[str]]:
-    """``(customer_id, features, label)`` and the feature names behind the vector."""
-    names = [c for c in features.columns if c != ID]
-    label = F.col(target) if isinstance(target, str) else target
-    rows = features.withColumn("label", label.cast("double"))
-    return VectorAssembler(inputCols=names, outputCol="features").transform(rows).select(ID, "features", "label"), names
+def bin_edges(sample: np.ndarray) -> list[np.ndarray]:
+    """Upper ends of all bins but the last: every value of the sample if they are few, else quantiles.
+
+    The last bin, above the largest value of the sample, is that of missing values.
+    """
+    edges = []
+    for column in sample.T:
+        known = column[~np.isnan(column)]
+        values = np.unique(known)
+        if len(values) >= BINS:
+            values = np.unique(np.quantile(known, np.arange(1, BINS) / (BINS - 1), method="lower"))
+        edges.append(values)
+    return edges
+
 
+def errors(predicted: DataFrame, prediction: str = "prediction") -> tuple[float, float]:
+    """Mean absolute error and R² of ``label`` against ``prediction``; R² is undefined (NaN) for equal labels."""
+    off = F.col("label") - F.col(prediction)
+    row = predicted.agg(
+        F.avg(F.abs(off)).alias("mae"), F.avg(off * off).alias("mse"), F.var_pop("label").alias("variance")
+    ).first()
+    if row["mae"] is None:
+        return float("nan"), float("nan")
+    return row["mae"], 1.0 - row["mse"] / row["variance"] if row["variance"] else float("nan")
 
-def _error(predicted: DataFrame, metric: str) -> float:
-    return RegressionEvaluator(labelCol="label", predictionCol="prediction", metricName=metric).evaluate(predicted)
 
+class Booster:
+    """Boosting of several models over the same binned rows, ``codes, y, models, preds``; bit m of ``models``: trains model m."""
 
-def cross_validated_r2(data: DataFrame, estimator: GBTRegressor, folds: int, seed: int, jobs: int) -> float:
-    """Mean R² over the folds, each predicted by a model trained on the others."""
-    folded = data.withColumn("fold", _bucket(folds, seed + 1))
+    def __init__(self, rows: DataFrame, parts: int, sample, n_models: int, depth: int, rate: float):
+        self.state, self.parts, self.depth, self.rate, self.m = rows, parts, depth, rate, n_models
+        self.sample_codes, self.sample_y, self.sample_in, self.sample_preds = sample
+        self.recent: list[list[Tree]] = [[] for _ in range(n_models)]
+        self.passes = 0
 
-    @inheritable_thread_target(data.sparkSession)
-    def one(i: int) -> float:
-        model = estimator.fit(folded.where(F.col("fold") != i))
-        return _error(model.transform(folded.where(F.col("fold") == i)), "r2")
+    def _measure(self, proposals: list[Tree]) -> np.ndarray:
+        m, depth, rate, recent = self.m, self.depth, self.rate, self.recent
 
-    with ThreadPool(jobs) as pool:
-        return sum(pool.map(one, range(folds), chunksize=1)) / folds
+        def figures(batch: pa.RecordBatch) -> np.ndarray:
+            codes, y, models, preds = _rows_of(batch, m)
+            out = []
+            for j in range(m):
+                own = (models >> j) & 1 == 1
+                c = codes[own]
+                now = preds[own, j] + rate * sum((t.predict(c) for t in recent[j]), np.zeros(len(c)))
+                out.append(level_sums(proposals[j], depth, c, y[own] - now))
+            return np.stack(out).ravel()
+
+        self.passes += 1
+        sums = total(self.state, figures, ["codes", "y", "models", "preds"], self.parts)
+        return sums.reshape(m, 2 ** (depth - 1), -1, BINS, 2)
+
+    def add_tree(self) -> list[Tree]:
+        """The next tree of every model."""
+        trees = [Tree.empty(self.depth) for _ in range(self.m)]
+        settled = [0] * self.m
+        residual = self.sample_y[:, None] - self.sample_preds
+        while min(settled) < self.depth:
+            proposals = []
+            for j in range(self.m):
+                own = self.sample_in[:, j]
+                if settled[j] == self.depth:
+                    proposals.append(trees[j])
+                else:
+                    proposals.append(propose(trees[j], self.depth, settled[j], self.sample_codes[own], residual[own, j]))
+            sums = self._measure(proposals)
+            for j in range(self.m):
+                if settled[j] < self.depth:
+                    settled[j] = confirm(trees[j], self.depth, sums[j], proposals[j], settled[j])
+        for j, tree in enumerate(trees):
+            self.recent[j].append(tree)
+            self.sample_preds[:, j] += self.rate * tree.predict(self.sample_codes)
+        return trees
+
+    def keep(self, label: str) -> None:
+        """Write the predictions with the trees since the last time, and count on from there."""
+        m, rate, recent = self.m, self.rate, self.recent
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                codes, _, _, preds = _rows_of(batch, m)
+                now = np.stack([preds[:, j] + rate * sum((t.predict(codes) for t in recent[j]), np.zeros(len(codes))) for j in range(m)], axis=1)
+                lists = pa.ListArray.from_arrays(pa.array(np.arange(len(codes) + 1) * m, pa.int32()), pa.array(now.ravel()))
+                yield pa.RecordBatch.from_arrays([*batch.columns[:-1], lists], names=batch.schema.names)
+
+        before = self.state
+        rows = before.select(*[c for c in before.columns if c != "preds"], "preds")
+        self.state = written(rows.mapInArrow(run, rows.schema), label)
+        self.state = self.state.coalesce(self.parts).persist(StorageLevel.MEMORY_AND_DISK)
+        before.unpersist()
+        self.recent = [[] for _ in range(m)]
+
+
+def _rows_of(batch: pa.RecordBatch, m: int):
+    names = batch.schema.names
+    column = {n: batch.column(i) for i, n in enumerate(names)}
+    raw = b"".join(column["codes"].to_pylist())
+    codes = np.frombuffer(raw, np.uint8).reshape(batch.num_rows, -1)
+    y, models = column["y"].to_numpy(zero_copy_only=False), column["models"].to_numpy(zero_copy_only=False)
+    return codes, y, models, column["preds"].flatten().to_numpy(zero_copy_only=False).reshape(-1, m)
 
 
 def fit_boosted(
@@ -87,27 +348,85 @@ def fit_boosted(
     depth: int = 5,
     rate: float = 0.1,
     seed: int = 42,
-    jobs: int = 5,
 ) -> BoostedFit:
     """Train on four fifths, measure on the rest, and cross-validate over all rows.
 
     ``target`` is a column of ``features`` or an expression over them; every
-    column but the id is a feature. ``folds=None`` skips the cross-validation,
-    which trains ``folds`` more models.
+    column but the id is a feature. ``folds=None`` leaves out the cross-validation.
+    Writes and runs jobs when called.
     """
-    shared_folder(features.sparkSession)
-    vectors, names = labelled_vectors(features, target)
-    data = written(vectors.withColumn("part", _bucket(5, seed)), "training")
-    rows = data.count()
-    data = data.coalesce(partitions_for(rows))
-    estimator = regressor(trees, depth, rate, seed)
-    train, test = data.where("part > 0"), data.where("part = 0")
-    model = estimator.fit(train)
-    scored = model.transform(test)
+    names = [c for c in features.columns if c != ID]
+    label = F.col(target) if isinstance(target, str) else target
+    x = F.array(*[F.col(c).cast("double") for c in names])
+    base = written(
+        features.select(ID, x.alias("x"), label.cast("double").alias("y"), bucket(5, seed).alias("part")), "training"
+    )
+    rows = base.count()
+    folds = 0 if folds is None else min(folds, rows)
+    m = 1 + folds
+    # A few tasks also for few rows: a pass is short, and waits for its longest task.
+    parts = max(min(4, -(-rows // 2_000)), partitions_for(rows))
+    drawn = base.orderBy(F.xxhash64(F.lit(seed), ID), ID).limit(SAMPLE_ROWS).select("x")
+    edges = bin_edges(_matrix(drawn.toArrow().column("x").combine_chunks()))
+    fold = bucket(folds, seed + 1) if folds else F.lit(None).cast("int")
+    trains = (F.col("part") > 0).cast("int")
+    for j in range(folds):
+        trains = trains + F.when(F.col("fold") != j, 1 << (j + 1)).otherwise(0)
+    marked = base.withColumn("fold", fold).withColumn("models", trains.cast("long"))
+    sizes = marked.agg(
+        *[F.avg(F.when(F.col("models").bitwiseAND(1 << j) != 0, F.col("y"))).alias(f"m{j}") for j in range(m)]
+    ).first()
+    if any(v is None for v in sizes):
+        raise ValueError("a model has no training row")
+    starts = np.array([float(v) for v in sizes])
+
+    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            codes = codes_of(_matrix(batch.column(1)), edges)
+            preds = pa.ListArray.from_arrays(
+                pa.array(np.arange(batch.num_rows + 1) * m, pa.int32()), pa.array(np.tile(starts, batch.num_rows))
+            )
+            coded = pa.array([c.tobytes() for c in codes], pa.binary())
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), *batch.columns[2:], coded, preds], names=[ID, "y", "part", "fold", "models", "codes", "preds"]
+            )
 
+    kind = base.schema[ID].dataType.simpleString()
+    coded = marked.select(ID, "x", "y", "part", "fold", "models").mapInArrow(
+        encode, f"{ID} {kind}, y double, part int, fold int, models long, codes binary, preds array<double>"
+    )
+    state = written(coded, "boosted-rows").coalesce(parts).persist(StorageLevel.MEMORY_AND_DISK)
+    seen = state.orderBy(F.xxhash64(F.lit(seed), ID), ID).limit(SAMPLE_ROWS).select("codes", "y", "models", "preds").toArrow()
+    codes, y, models, preds = _rows_of(seen.combine_chunks().to_batches()[0], m)
+    sample = codes, y, np.stack([(models >> j) & 1 == 1 for j in range(m)], axis=1), preds.copy()
+    booster = Booster(state, parts, sample, m, depth, rate)
+    grown: list[list[Tree]] = [[] for _ in range(m)]
+    for t in range(trees):
+        for kept, tree in zip(grown, booster.add_tree()):
+            kept.append(tree)
+        if (t + 1) % KEEP_TREES == 0 or t + 1 == trees:
+            booster.keep("boosted-state")
+    own = F.when(F.col("fold").isNotNull(), F.element_at("preds", F.col("fold") + 2))
+    predictions = written(
+        booster.state.select(
+            ID, F.col("y").alias("label"), F.col("preds")[0].alias("prediction"), (F.col("part") == 0).alias("held_out"),
+            "fold", own.alias("fold_prediction"),
+        ),
+        "boosted-predictions",
+    )
+    booster.state.unpersist()
+    mae, r2 = errors(predictions.where("held_out"))
     cv = None
-    if folds is not None:
-        cv = cross_validated_r2(data, estimator, min(folds, rows), seed, jobs)
-    weights = [float(x) for x in model.featureImportances.toArray()]
-    importance = sorted(zip(names, weights), key=lambda pair: (-pair[1], pair[0]))
-    return BoostedFit(model, _error(scored, "mae"), _error(scored, "r2"), cv, importance)
+    if folds:
+        off = F.col("label") - F.col("fold_prediction")
+        per = predictions.groupBy("fold").agg((1 - F.avg(off * off) / F.nullif(F.var_pop("label"), F.lit(0.0))).alias("r2"))
+        cv = per.agg(F.avg("r2")).first()[0]
+    weights = np.zeros(len(names))
+    for tree in grown[0]:
+        split = tree.feature >= 0
+        gains = np.bincount(tree.feature[split], weights=tree.gain[split], minlength=len(names))
+        weights += gains / gains.sum() if gains.sum() else 0.0
+    weights = weights / weights.sum() if weights.sum() else weights
+    importance = sorted(zip(names, map(float, weights)), key=lambda pair: (-pair[1], pair[0]))
+    model = BoostedTrees(names, edges, float(starts[0]), rate, grown[0])
+    return BoostedFit(model, mae, r2, cv, importance, predictions, booster.passes)
