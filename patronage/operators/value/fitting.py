@@ -1,22 +1,36 @@
-"""Fitting a handful of positive parameters by distributed likelihood sums.
+"""Fitting a handful of positive parameters by distributed sums of likelihoods and their gradients.
 
-A step needs the objective at several parameter vectors around the current one.
-They travel to the tasks with the function; every Arrow batch of observations
-gives one partial sum per vector, and Spark adds those up. So a step is one job
-over the cached counts, and only as many numbers as there are vectors come back.
+Parameter vectors to try travel to the tasks with the function. Every Arrow
+batch of observations gives, per vector, one sum of log likelihoods and one of
+each derivative; Spark adds those up. A step of the search tries several
+lengths along one direction, with their gradients, so it is one job, and only
+as many numbers as there are lengths and parameters come back.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# (parameters, observations as columns of one batch) -> log likelihood of each
-Likelihood = Callable[[np.ndarray, dict[str, np.ndarray]], np.ndarray]
+# (parameters, observations as columns of one batch) -> log likelihood of each, and its derivatives by parameter
+Likelihood = Callable[[np.ndarray, dict[str, np.ndarray]], tuple[np.ndarray, list[np.ndarray]]]
+
+# A scaled parameter beyond these has left what the data can tell.
+LEAST, LARGEST = 1e-4, 1e4
+
+
+@dataclass(frozen=True)
+class Certificate:
+    """How a search ended: largest derivative by a log parameter, steps, and parameters that ran to 0 or infinity."""
+
+    gradient: float
+    steps: int
+    at_boundary: bool
 
 
 class Objective:
@@ -30,75 +44,92 @@ class Objective:
         self.likelihood = likelihood
         self.penalty = penalty
 
-    def at(self, points: Sequence[np.ndarray]) -> np.ndarray:
-        """Objective at each point; infinite where it is undefined."""
+    def at(self, points: Sequence[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+        """Objective and gradient at each point; infinite where it is undefined."""
         likelihood, trials = self.likelihood, np.exp(np.asarray(points))
 
         def partial_sums(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             for batch in batches:
                 rows = {c: batch[c].to_numpy(dtype=float) for c in batch.columns}
+                sums = []
                 with np.errstate(all="ignore"):
-                    sums = [float(np.sum(likelihood(t, rows) * rows["n"])) for t in trials]
-                yield pd.DataFrame({"i": range(len(trials)), "ll": sums, "n": rows["n"].sum()})
+                    for t in trials:
+                        value, slopes = likelihood(t, rows)
+                        sums.append([float(np.sum(v * rows["n"])) for v in (value, *slopes)])
+                out = pd.DataFrame(sums, columns=["ll", *[f"g{j}" for j in range(trials.shape[1])]])
+                yield out.assign(i=range(len(trials)), n=rows["n"].sum())
 
+        names = ["ll", *[f"g{j}" for j in range(trials.shape[1])], "n"]
+        kinds = ", ".join(f"{c} double" for c in names[:-1])
         added = (
-            self.counts.mapInPandas(partial_sums, "i int, ll double, n double")
+            self.counts.mapInPandas(partial_sums, f"{kinds}, i int, n double")
             .groupBy("i")
-            .agg(F.sum("ll").alias("ll"), F.sum("n").alias("n"))
+            .agg(*[F.sum(c).alias(c) for c in names])
             .collect()
         )
-        out = np.full(len(trials), np.inf)
+        values, gradients = np.full(len(trials), np.inf), np.zeros(trials.shape)
         for row in added:
-            if np.isfinite(row["ll"]):
-                out[row["i"]] = -row["ll"] / row["n"] + self.penalty * np.sum(trials[row["i"]] ** 2)
-        return out
+            sums = np.array([np.nan if row[c] is None else row[c] for c in names[:-1]])
+            if np.isfinite(sums).all():
+                theta = trials[row["i"]]
+                values[row["i"]] = -sums[0] / row["n"] + self.penalty * np.sum(theta**2)
+                gradients[row["i"]] = theta * (-sums[1:] / row["n"] + 2.0 * self.penalty * theta)
+        return values, gradients
 
 
 def minimise(
-    objective: Objective, start: Sequence[float], tolerance: float = 1e-6, max_steps: int = 60, reach: float = 1.0
-) -> np.ndarray:
-    """Damped Newton steps on central differences; returns the parameters.
+    objective: Objective, start: Sequence[float], tolerance: float = 1e-6, max_steps: int = 100, reach: float = 2.0
+) -> tuple[np.ndarray, Certificate]:
+    """Quasi-Newton steps (BFGS) until no derivative exceeds ``tolerance``; the parameters and how the search ended.
 
-    The differences of a step come from one job, the step lengths tried along
-    the direction from another. A search that ends elsewhere than where the
-    gradient or its gains vanish is an error.
+    A search that runs out of steps, or on which nothing gains while a derivative is still
+    a hundred times ``tolerance``, is an error.
     """
     x = np.log(np.asarray(start, dtype=float))
-    d, h = len(x), 1e-3
-    eye = np.eye(d)
-    for _ in range(max_steps):
-        offsets = [np.zeros(d)]
-        offsets += [s * h * eye[i] for i in range(d) for s in (1, -1)]
-        pairs = [(i, j) for i in range(d) for j in range(i)]
-        offsets += [h * (s * eye[i] + t * eye[j]) for i, j in pairs for s, t in ((1, 1), (1, -1), (-1, 1), (-1, -1))]
-        f = objective.at([x + o for o in offsets])
-        if not np.isfinite(f).all():
-            raise ArithmeticError("the likelihood is undefined near the current parameters")
-        up, down = f[1 : 2 * d + 1 : 2], f[2 : 2 * d + 1 : 2]
-        gradient = (up - down) / (2 * h)
-        hessian = np.diag((up - 2 * f[0] + down) / h**2)
-        for m, (i, j) in enumerate(pairs):
-            pp, pm, mp, mm = f[2 * d + 1 + 4 * m : 2 * d + 5 + 4 * m]
-            hessian[i, j] = hessian[j, i] = (pp - pm - mp + mm) / (4 * h * h)
-        if np.max(np.abs(gradient)) < tolerance:
-            break
-        # Turn negative curvature round, so that the step always descends.
-        values, basis = np.linalg.eigh(hessian)
-        step = -basis @ ((basis.T @ gradient) / np.maximum(np.abs(values), 1e-4))
-        longest = np.max(np.abs(step))
+    d = len(x)
+    lengths = np.array([1.0, 3.0, 0.5, 0.2, 0.05, 0.01, 0.001])
+    values, gradients = objective.at([x])
+    f, g = values[0], gradients[0]
+    if not np.isfinite(f):
+        raise ArithmeticError("the likelihood is undefined at the start")
+    inverse, fresh = np.eye(d), True
+    for step in range(1, max_steps + 1):
+        if np.max(np.abs(g)) < tolerance:
+            theta = np.exp(x)
+            return theta, Certificate(float(np.max(np.abs(g))), step - 1, bool(((theta < LEAST) | (theta > LARGEST)).any()))
+        way = -inverse @ g
+        longest = np.max(np.abs(way))
         if longest > reach:
-            step *= reach / longest
-        lengths = [3.0, 1.0, 0.5, 0.25, 0.1, 0.03, 0.01]
-        tried = objective.at([x + t * step for t in lengths])
-        best = int(np.argmin(tried))
-        gain = f[0] - tried[best]
-        if not gain > 0:
-            if np.max(np.abs(gradient)) < 100 * tolerance:
-                break
-            raise ArithmeticError(f"no step gains, but the gradient is {np.max(np.abs(gradient)):.2g}")
-        x = x + lengths[best] * step
-        if gain < 1e-6:
-            break
-    else:
-        raise ArithmeticError(f"no convergence within {max_steps} steps")
-    return np.exp(x)
+            way *= reach / longest
+        values, gradients = objective.at([x + t * way for t in lengths])
+        best = int(np.argmin(values))
+        if not values[best] < f:
+            if fresh:
+                if np.max(np.abs(g)) < 100 * tolerance:  # as far as doubles go
+                    theta = np.exp(x)
+                    return theta, Certificate(float(np.max(np.abs(g))), step, bool(((theta < LEAST) | (theta > LARGEST)).any()))
+                raise ArithmeticError(f"no step gains, but the gradient is {np.max(np.abs(g)):.2g}")
+            inverse, fresh = np.eye(d), True
+            continue
+        moved, turned = lengths[best] * way, gradients[best] - g
+        x, f, g = x + moved, values[best], gradients[best]
+        bend = float(moved @ turned)
+        if bend > 1e-14:
+            if fresh:
+                inverse = np.eye(d) * (bend / float(turned @ turned))
+            left = np.eye(d) - np.outer(moved, turned) / bend
+            inverse, fresh = left @ inverse @ left.T + np.outer(moved, moved) / bend, False
+    raise ArithmeticError(f"no convergence within {max_steps} steps")
+
+
+def better_neighbours(
+    objective: Objective, parameters: Sequence[float], by: float = 0.01, tolerance: float = 1e-7
+) -> int:
+    """How many of the points a share ``by`` away along each parameter have an objective smaller by ``tolerance``.
+
+    The tolerance is what a derivative that counts as vanished gains over such a distance, tenfold.
+    """
+    x = np.log(np.asarray(parameters, dtype=float))
+    around = [x, *[x + s * np.log1p(by) * e for e in np.eye(len(x)) for s in (1, -1)]]
+    values, _ = objective.at(around)
+    return int((values[1:] < values[0] - tolerance).sum())
