@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from patronage.functions.numeric import half_even, log_gamma, whole_days
+from patronage.functions import order
 from patronage.functions.order import group_quantiles, order_statistics, quantiles
 
 
@@ -63,3 +64,25 @@ def test_group_quantiles_as_pandas(spark):
     got = group_quantiles(spark.createDataFrame(frame), "g", "v", "id", (0.25, 0.5, 0.75))
     for g, part in frame.groupby("g"):
         assert np.allclose(got[g], part.v.quantile([0.25, 0.5, 0.75]))
+
+
+def test_only_the_brackets_are_sorted(spark, monkeypatch):
+    sizes = []
+    plain = order._sorted_places
+    monkeypatch.setattr(order, "_sorted_places", lambda rows, *a: sizes.append(rows.count()) or plain(rows, *a))
+    monkeypatch.setattr(order, "SKETCH_ACCURACY", 500)
+    rng = random.Random(3)
+    rows = [(rng.gauss(0, 1) if i % 3 else 0.25, f"id{i:05d}") for i in range(20_000)]
+    df = spark.createDataFrame(rows, "v double, id string").repartition(7)
+    ranks = [1, 4000, 10_000, 15_000, 20_000]
+    got = order_statistics(df, ["v", "id"], ranks)
+    ordered = sorted(rows)
+    assert {r: (got[r].v, got[r].id) for r in ranks} == {r: ordered[r - 1] for r in ranks}
+    assert sizes[0] < 8_000 and sum(v == 0.25 for v, _ in rows) > 6_000  # the hot value lies in one bracket
+
+
+def test_text_and_negative_ranks(spark):
+    df = spark.createDataFrame([(c, i) for i, c in enumerate("bdac")], "v string, id int")
+    assert {r: row.v for r, row in order_statistics(df, ["v", "id"], [1, 3]).items()} == {1: "a", 3: "c"}
+    with pytest.raises(ValueError):
+        order_statistics(df.select(F.col("id").alias("v"), "id"), ["v", "id"], [0])
