@@ -73,7 +73,7 @@ def match_clusters(records: DataFrame, rules: MatchRules = MatchRules()) -> Data
     Works on profiles: the copies of a profile never enter the graph, they take
     the component of their profile. Record pairs are not formed.
     """
-    forms = written(forms_of(records), "forms")
+    forms = written(forms_of(records, rules.blocking), "forms")
     distinct = written(profiles(forms), "profiles")
     matches = profile_pairs(distinct, rules, rules.match_threshold)
     linked = connected_components(matches).withColumnRenamed("rec_id", "profile_id")

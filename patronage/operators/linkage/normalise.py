@@ -10,6 +10,10 @@ from patronage.functions.text import block_letter, digits, normal_email, normal_
 FORMS = ["first_letter", "name_lower", "email_normalized", "phone_normalized"]
 
 
+# What records may be blocked by: a form, null where a record can't be in a block.
+BLOCKS = {"first_letter": "first_letter", "zip_code": "zip_block"}
+
+
 def normalise(records: DataFrame) -> DataFrame:
     """Add the normal forms of email, phone and name, and the block letter."""
     return records.select(
@@ -20,9 +24,27 @@ def normalise(records: DataFrame) -> DataFrame:
     ).withColumn("first_letter", block_letter(F.col("name_lower")))
 
 
-def forms_of(records: DataFrame) -> DataFrame:
+def block_columns(blocking: tuple[str, ...]) -> list[str]:
+    """The columns behind the names of blocking fields."""
+    unknown = [b for b in blocking if b not in BLOCKS]
+    if unknown or not blocking:
+        raise ValueError(f"blocking fields are {', '.join(BLOCKS)}, not {', '.join(unknown) or 'none'}")
+    return [BLOCKS[b] for b in blocking]
+
+
+def forms_of(records: DataFrame, blocking: tuple[str, ...] = ("first_letter",)) -> DataFrame:
     """``rec_id`` with the normal forms, for records that can be in a pair at all."""
-    return normalise(records).where("first_letter IS NOT NULL").select("rec_id", *FORMS)
+    blocks = block_columns(blocking)
+    rows = normalise(records)
+    if "zip_block" in blocks:
+        rows = rows.withColumn("zip_block", F.nullif(F.trim("zip_code"), F.lit("")))
+    more = [b for b in blocks if b not in FORMS]
+    somewhere = F.coalesce(*blocks).isNotNull()
+    return rows.where(somewhere).select("rec_id", *FORMS, *more)
+
+
+def _forms(df: DataFrame) -> list[str]:
+    return [c for c in df.columns if c in FORMS or c in BLOCKS.values()]
 
 
 def profiles(forms: DataFrame) -> DataFrame:
@@ -31,14 +53,14 @@ def profiles(forms: DataFrame) -> DataFrame:
     Copies of one another score alike against everybody, so pairs are formed
     between profiles and weighted by the copies.
     """
-    return forms.groupBy(*FORMS).agg(
+    return forms.groupBy(*_forms(forms)).agg(
         F.min("rec_id").alias("profile_id"), F.count(F.lit(1)).alias("copies")
     )
 
 
 def members(forms: DataFrame, distinct: DataFrame) -> DataFrame:
     """``(rec_id, profile_id)``; only profiles with copies need the join."""
-    shared = distinct.where("copies > 1").select(*FORMS, "profile_id")
-    return forms.join(shared, FORMS, "left").select(
-        "rec_id", F.coalesce("profile_id", "rec_id").alias("profile_id")
-    )
+    columns = _forms(forms)
+    shared = distinct.where("copies > 1").select(*[F.col(c).alias(f"s_{c}") for c in columns], "profile_id")
+    same = [F.col(c).eqNullSafe(F.col(f"s_{c}")) for c in columns]
+    return forms.join(shared, same, "left").select("rec_id", F.coalesce("profile_id", "rec_id").alias("profile_id"))

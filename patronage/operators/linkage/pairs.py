@@ -1,6 +1,6 @@
 """Candidate pairs, their features, scores and labels.
 
-A block (equal first letter of the name) may hold a third of all records, so
+A block (equal first letter of the name, or another configured field) may hold a third of all records, so
 comparing everybody within it is out of the question at scale. What can reach a
 wanted score is narrower, and follows from the weights:
 
@@ -16,12 +16,13 @@ many other pairs a block has is known from its size alone (:func:`pair_counts`).
 from __future__ import annotations
 
 from functools import reduce
+from itertools import combinations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from patronage.functions.text import jaro_winkler, similarity_ceiling
-from patronage.operators.linkage.normalise import forms_of, members, profiles
+from patronage.operators.linkage.normalise import block_columns, forms_of, members, profiles
 from patronage.operators.linkage.rules import MatchRules
 from patronage.session import written
 
@@ -107,9 +108,10 @@ def profile_pairs(
     name, phone = ((F.col(c) != "").cast("double") for c in ("name_lower", "phone_normalized"))
     mailed = mailed.where(rules.score(name, F.lit(1.0), phone) >= floor - 1e-9)
     reach = _within_reach(rules, floor, False, 1.0)
-    agreeing = tiled_self_join(mailed, ["first_letter", "email_normalized"], "profile_id", reach)
     parts = [
-        agreeing.select(
+        tiled_self_join(
+            mailed.where(F.col(block).isNotNull()), [block, "email_normalized"], "profile_id", reach & owned
+        ).select(
             F.col("l_profile_id").alias("left_id"),
             F.col("r_profile_id").alias("right_id"),
             jaro_winkler("l_name_lower", "r_name_lower").alias("name_similarity"),
@@ -117,31 +119,53 @@ def profile_pairs(
             jaro_winkler("l_phone_normalized", "r_phone_normalized").alias("phone_similarity"),
             (F.col("l_copies") * F.col("r_copies")).alias("weight"),
         )
+        for block, owned in _owners(rules)
     ]
     if floor <= rules.best_without_email:
-        # Different profiles with one name and phone have different emails.
-        named = distinct.where("phone_normalized <> ''").drop("email_normalized")
-        alike = tiled_self_join(named, ["first_letter", "name_lower", "phone_normalized"], "profile_id")
-        parts.append(
-            alike.select(
-                F.col("l_profile_id").alias("left_id"),
-                F.col("r_profile_id").alias("right_id"),
-                F.lit(1.0).alias("name_similarity"),
-                F.lit(0.0).alias("email_match"),
-                F.lit(1.0).alias("phone_similarity"),
-                (F.col("l_copies") * F.col("r_copies")).alias("weight"),
+        # Different profiles of one block letter, name and phone have different emails; with more blocks they need not.
+        several = len(rules.blocking) > 1
+        named = distinct.where("phone_normalized <> ''")
+        named = named if several else named.drop("email_normalized")
+        for block, owned in _owners(rules):
+            if several:
+                owned = owned & ~rules.emails_agree(F.col("x_email_normalized"), F.col("y_email_normalized"))
+            keys = list(dict.fromkeys([block, "name_lower", "phone_normalized"]))
+            alike = tiled_self_join(
+                named.where(F.col(block).isNotNull() & (F.col("name_lower") != "")), keys, "profile_id", owned
+            )
+            parts.append(
+                alike.select(
+                    F.col("l_profile_id").alias("left_id"),
+                    F.col("r_profile_id").alias("right_id"),
+                    F.lit(1.0).alias("name_similarity"),
+                    F.lit(0.0).alias("email_match"),
+                    F.lit(1.0).alias("phone_similarity"),
+                    (F.col("l_copies") * F.col("r_copies")).alias("weight"),
+                )
             )
-        )
     return _scored(reduce(DataFrame.unionByName, parts), rules).where(F.col("score") >= floor)
 
 
+def _owners(rules: MatchRules) -> list[tuple[str, Column]]:
+    """The blocks, and which pairs each one makes: those that agree in none of the blocks before it.
+
+    So a pair that shares several blocks is made once, under the first, without a distinct.
+    """
+    columns = block_columns(rules.blocking)
+    owned, before = [], F.lit(True)
+    for column in columns:
+        owned.append((column, before))
+        before = before & ~F.coalesce(F.col(f"x_{column}") == F.col(f"y_{column}"), F.lit(False))
+    return owned
+
+
 def copy_scores(distinct: DataFrame, rules: MatchRules = MatchRules()) -> DataFrame:
     """For each profile with copies, the features and score of any two of them."""
     blank_email = F.lit(rules.blank_emails_agree) | (F.col("email_normalized") != "")
     rows = distinct.where("copies > 1").select(
         "profile_id",
         "copies",
-        F.lit(1.0).alias("name_similarity"),
+        (F.col("name_lower") != "").cast("double").alias("name_similarity"),
         blank_email.cast("double").alias("email_match"),
         (F.col("phone_normalized") != "").cast("double").alias("phone_similarity"),
         F.expr("copies * (copies - 1) DIV 2").alias("weight"),
@@ -162,7 +186,7 @@ def record_pairs(
     is the number of record pairs that score ``floor`` or more.
     """
     floor = rules.uncertain_threshold if floor is None else floor
-    forms = written(forms_of(records), "forms")
+    forms = written(forms_of(records, rules.blocking), "forms")
     distinct = written(profiles(forms), "profiles")
     owner = written(members(forms, distinct), "members")
     left = owner.select(F.col("profile_id").alias("left_id"), F.col("rec_id").alias("a"))
@@ -207,11 +231,19 @@ def _weighed(distinct: DataFrame, rules: MatchRules) -> DataFrame:
     )
 
 
-def _all_pairs(distinct: DataFrame) -> DataFrame:
-    """One row ``all_pairs``: pairs of all blocks, from their sizes, in integers."""
-    per_block = distinct.groupBy("first_letter").agg(F.sum("copies").alias("n"))
+def _all_pairs(distinct: DataFrame, rules: MatchRules) -> DataFrame:
+    """One row ``all_pairs``: pairs that agree on any block, from the blocks' sizes, in integers.
+
+    With several blocks, by inclusion and exclusion over the sizes of their combinations.
+    """
     pairs = F.expr("CAST(CAST(n AS DECIMAL(19,0)) * (n - 1) / 2 AS DECIMAL(38,0))")
-    return per_block.agg(F.coalesce(F.sum(pairs), F.lit(0)).cast("long").alias("all_pairs"))
+    columns = block_columns(rules.blocking)
+    parts = []
+    for size in range(1, len(columns) + 1):
+        for chosen in combinations(columns, size):
+            sizes = distinct.dropna(subset=list(chosen)).groupBy(*chosen).agg(F.sum("copies").alias("n"))
+            parts.append(sizes.select((pairs * (1 if size % 2 else -1)).alias("pairs")))
+    return reduce(DataFrame.unionByName, parts).agg(F.coalesce(F.sum("pairs"), F.lit(0)).cast("long").alias("all_pairs"))
 
 
 def pair_counts(records: DataFrame, rules: MatchRules = MatchRules()) -> DataFrame:
@@ -220,11 +252,11 @@ def pair_counts(records: DataFrame, rules: MatchRules = MatchRules()) -> DataFra
     Matches and uncertain pairs are added up from weighted profile pairs; the
     others are what is left of the block sizes.
     """
-    distinct = written(profiles(forms_of(records)), "profiles")
+    distinct = written(profiles(forms_of(records, rules.blocking)), "profiles")
     label = rules.label(F.col("score"))
     sums = [F.coalesce(F.sum(F.when(label == x, F.col("weight"))), F.lit(0)) for x in ("match", "uncertain")]
     row = _weighed(distinct, rules).agg(sums[0].alias("m"), sums[1].alias("u"))
-    counts = row.select("m", "u", _all_pairs(distinct).scalar().alias("t"))
+    counts = row.select("m", "u", _all_pairs(distinct, rules).scalar().alias("t"))
     rows = [("match", F.col("m")), ("uncertain", F.col("u")), ("non_match", F.col("t") - F.col("m") - F.col("u"))]
     return counts.select(F.inline(F.array(*[F.struct(F.lit(x).alias("label"), n.alias("pairs")) for x, n in rows])))
 
@@ -235,13 +267,13 @@ def score_histogram(records: DataFrame, rules: MatchRules = MatchRules()) -> Dat
     Pairs of at most ``best_without_email`` are never formed, so what lies
     below the upper bins is one bin: all pairs of the blocks but those above it.
     """
-    distinct = written(profiles(forms_of(records)), "profiles")
+    distinct = written(profiles(forms_of(records, rules.blocking)), "profiles")
     score, weight = F.col("score"), F.col("weight")
     upper = _weighed(distinct, rules).agg(
         F.coalesce(F.sum(F.when((score > 0.6) & (score <= 0.8), weight)), F.lit(0)).alias("b"),
         F.coalesce(F.sum(F.when(score > 0.8, weight)), F.lit(0)).alias("c"),
     )
-    counts = upper.select("b", "c", _all_pairs(distinct).scalar().alias("t"))
+    counts = upper.select("b", "c", _all_pairs(distinct, rules).scalar().alias("t"))
     rows = [("[0, 0.6]", F.col("t") - F.col("b") - F.col("c")), ("(0.6, 0.8]", F.col("b")), ("(0.8, 1.0]", F.col("c"))]
     return counts.select(F.inline(F.array(*[F.struct(F.lit(x).alias("bin"), n.alias("pairs")) for x, n in rows])))
 

@@ -7,15 +7,6 @@ from pyspark.sql import functions as F
 
 from patronage.operators.linkage.pairs import FEATURES
 
-# Upper edges of the score bins and the labels they are known by.
-SCORE_BINS = [
-    (0.2, "(-0.001, 0.2]"),
-    (0.4, "(0.2, 0.4]"),
-    (0.6, "(0.4, 0.6]"),
-    (0.8, "(0.6, 0.8]"),
-    (1.0, "(0.8, 1.0]"),
-]
-
 
 def match_report(records: DataFrame, counts: DataFrame, clusters: DataFrame) -> DataFrame:
     """One row: records, matches, clusters, match rate, uncertain pairs, mean cluster size.
@@ -44,27 +35,6 @@ def match_report(records: DataFrame, counts: DataFrame, clusters: DataFrame) ->
     )
 
 
-def score_histogram(pairs: DataFrame, weight: str | None = None) -> DataFrame:
-    """``(bin, pairs)`` in five equal bins of [0, 1], closed above; empty bins count 0.
-
-    ``pairs`` needs a ``score`` and, where rows stand for several pairs, the
-    name of the ``weight`` column.
-    """
-    score, one = F.col("score"), F.col(weight) if weight else F.lit(1)
-    sums, low = [], None
-    for i, (high, _) in enumerate(SCORE_BINS):
-        inside = score <= high if low is None else (score > low) & (score <= high)
-        sums.append(F.coalesce(F.sum(F.when(inside, one)), F.lit(0)).cast("long").alias(f"b{i}"))
-        low = high
-    bins = F.array(
-        *[
-            F.struct(F.lit(label).alias("bin"), F.col(f"b{i}").alias("pairs"))
-            for i, (_, label) in enumerate(SCORE_BINS)
-        ]
-    )
-    return pairs.where((score >= 0) & (score <= 1)).agg(*sums).select(F.inline(bins))
-
-
 def review_rows(pairs: DataFrame, records: DataFrame) -> DataFrame:
     """Uncertain pairs with id and name of both sides; an unknown record shows its number."""
     who = records.select("rec_id", "customer_id", "name", F.lit(True).alias("known"))

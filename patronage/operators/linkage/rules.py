@@ -16,6 +16,8 @@ class MatchRules:
     same one. It makes every such pair within a block a candidate, n * (n - 1) / 2
     of them for n records without email, so a missing email agrees with nothing
     unless this is asked for.
+
+    ``blocking``: records are compared that agree on any of these fields (``first_letter``, ``zip_code``).
     """
 
     name_weight: float = 0.4
@@ -24,6 +26,7 @@ class MatchRules:
     match_threshold: float = 0.85
     uncertain_threshold: float = 0.6
     blank_emails_agree: bool = False
+    blocking: tuple[str, ...] = ("first_letter",)
 
     def score(self, name: Column, email: Column, phone: Column) -> Column:
         """Weighted sum, added in this order: some sums lie right on a threshold."""

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 CRM_CUSTOMERS = T.StructType(
@@ -61,10 +62,25 @@ INPUTS = {
 }
 
 
+# Columns whose amounts are summed as decimals of two places.
+MONEY_COLUMNS = {"transactions": ("amount",)}
+
+
+def _two_places(amount: Column, name: str) -> Column:
+    """The amount, or an error where it has more than two decimals, as those would be lost in exact sums."""
+    scaled = amount * 100
+    fine = F.abs(scaled - F.rint(scaled)) <= 1e-3
+    message = F.concat(F.lit(f"{name} has more than two decimals: "), amount.cast("string"))
+    return F.when(amount.isNull() | fine, amount).otherwise(F.raise_error(message).cast("double"))
+
+
 def conform(df: DataFrame, table: str) -> DataFrame:
-    """Select the declared columns with the declared types; fail on a missing one."""
+    """Select the declared columns with the declared types; fail on a missing one and on amounts of more than two decimals."""
     schema = INPUTS[table]
     missing = [f.name for f in schema.fields if f.name not in df.columns]
     if missing:
         raise ValueError(f"{table} lacks {', '.join(missing)}")
-    return df.select([df[f.name].cast(f.dataType).alias(f.name) for f in schema.fields])
+    columns = {f.name: df[f.name].cast(f.dataType) for f in schema.fields}
+    for name in MONEY_COLUMNS.get(table, ()):
+        columns[name] = _two_places(columns[name], name)
+    return df.select([c.alias(name) for name, c in columns.items()])

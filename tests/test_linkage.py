@@ -76,6 +76,35 @@ def test_pairs_equal_brute_force(messy, rules):
     assert counts == {label: sum(p[2] == label for p in want) for label in ("match", "uncertain", "non_match")}
 
 
+@pytest.mark.parametrize("blocking", [("first_letter", "zip_code"), ("zip_code", "first_letter"), ("zip_code",)])
+@pytest.mark.parametrize("blank", [False, True])
+def test_pairs_of_several_blocks_are_made_once(spark, messy, blocking, blank):
+    zips = F.when(F.col("rec_id") % 7 < 5, F.concat(F.lit("1000"), (F.col("rec_id") % 4).cast("string"))).when(F.col("rec_id") % 7 == 5, F.lit(" "))
+    people_with_zips = messy.withColumn("zip_code", zips)
+    forms = normalise.normalise(people_with_zips).toPandas()  # noqa: F841 - read by the statement
+    either = {"first_letter": "l.first_letter = r.first_letter", "zip_code": "(l.zip_code = r.zip_code AND trim(l.zip_code) <> '')"}
+    found = duckdb.sql(
+        f"""
+        SELECT l.rec_id, r.rec_id, CASE WHEN l.name_lower = '' OR r.name_lower = '' THEN 0.0
+               ELSE jaro_winkler_similarity(l.name_lower, r.name_lower) END * 0.4::DOUBLE
+          + (l.email_normalized = r.email_normalized AND (l.email_normalized <> '' OR {blank}))::INT::DOUBLE * 0.4::DOUBLE
+          + CASE WHEN l.phone_normalized = '' OR r.phone_normalized = '' THEN 0.0
+               ELSE jaro_winkler_similarity(l.phone_normalized, r.phone_normalized) END * 0.2::DOUBLE
+        FROM forms l JOIN forms r ON ({" OR ".join(either[b] for b in blocking)}) AND l.rec_id > r.rec_id"""
+    ).fetchall()
+    rules = MatchRules(blocking=blocking, blank_emails_agree=blank)
+    kept = [(a, b, round(s, 9)) for a, b, s in found if s >= 0.6]
+    got = [(r.left_id, r.right_id, round(r.score, 9)) for r in pairs.record_pairs(people_with_zips, rules).collect()]
+    assert sorted(got) == sorted(kept)
+    counts = {r.label: r.pairs for r in pairs.pair_counts(people_with_zips, rules).collect()}
+    assert counts["match"] + counts["uncertain"] == len(kept) and sum(counts.values()) == len(found)
+
+
+def test_an_unknown_block_is_an_error(messy):
+    with pytest.raises(ValueError, match="city"):
+        pairs.record_pairs(messy, MatchRules(blocking=("city",)))
+
+
 @pytest.mark.parametrize("rules", [MatchRules(), MatchRules(blank_emails_agree=True)])
 def test_histogram_covers_every_pair_of_every_block(messy, rules):
     want = [p[3] for p in brute(messy, rules)]
@@ -96,7 +125,7 @@ def test_a_floor_that_would_list_whole_blocks_is_an_error(messy):
 def test_pairs_of_large_blocks_are_counted_in_integers(spark):
     n = 150_000_003
     profile = spark.createDataFrame([(0, "a", "ann", "", "1", n)], "profile_id long, first_letter string, name_lower string, email_normalized string, phone_normalized string, copies long")
-    assert pairs._all_pairs(profile).first().all_pairs == n * (n - 1) // 2
+    assert pairs._all_pairs(profile, MatchRules()).first().all_pairs == n * (n - 1) // 2
     assert pairs.copy_scores(profile).first().weight == n * (n - 1) // 2
 
 
@@ -253,13 +282,6 @@ def test_match_report_of_nothing(spark):
     assert (row.total_matches, row.match_rate, row.avg_cluster_size) == (0, 0.0, 0.0)
 
 
-def test_score_bins(spark):
-    scores = [0.0, 0.2, 0.2000001, 0.4, 0.6, 0.6000000000000001, 0.8, 0.81, 1.0]
-    df = spark.createDataFrame([(s, 2) for s in scores], "score double, w long")
-    assert [r.pairs for r in report.score_histogram(df).collect()] == [2, 2, 1, 2, 2]
-    assert [r.pairs for r in report.score_histogram(df, "w").collect()] == [4, 4, 2, 4, 4]
-    assert [r.pairs for r in report.score_histogram(df.where("false")).collect()] == [0] * 5
-
 
 def test_review_rows_and_csv(spark, tmp_path):
     records = people(spark, [(0, "A", 'Al "Ace", Jr', None, None), (1, "B", "Bob", None, None)])
