@@ -85,6 +85,15 @@ def _tiered(valued: str) -> str:
   FROM {valued} v, (SELECT quantile_cont(predicted_clv, 0.33) AS lo, quantile_cont(predicted_clv, 0.66) AS hi FROM {valued})"""
 
 
+_FEATURE_COLUMNS = (
+    "r_score", "f_score", "m_score", "monetary", "web_sessions", "avg_pages", "avg_time", "ticket_count",
+    "avg_satisfaction", "avg_resolution_time",
+)
+
+# Terms of the series: its argument is at most 360 / 420, so those left out are below 1e-20.
+_TERMS = 500
+
+
 # Name of a step -> (its statement, the steps it reads).
 _STEPS: dict[str, tuple[str, tuple[str, ...]]] = {
     name: (text.format(**{s: s for s in sources}), ()) for name, (text, sources) in DERIVED.items()
@@ -109,6 +118,18 @@ _STEPS: dict[str, tuple[str, tuple[str, ...]]] = {
     FROM forms l JOIN forms r ON l.first_letter = r.first_letter AND l.rec_id > r.rec_id)""",
         ("forms",),
     ),
+    "zipped": (
+        """
+  SELECT *, name_similarity * 0.4::DOUBLE + email_match * 0.4::DOUBLE + phone_similarity * 0.2::DOUBLE AS score FROM (
+    SELECT l.rec_id AS left_id, r.rec_id AS right_id,
+      CASE WHEN l.name_lower = '' OR r.name_lower = '' THEN 0.0
+           ELSE jaro_winkler_similarity(l.name_lower, r.name_lower) END AS name_similarity,
+      CASE WHEN l.email_normalized = r.email_normalized AND l.email_normalized <> '' THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS email_match,
+      CASE WHEN l.phone_normalized = '' OR r.phone_normalized = '' THEN 0.0
+           ELSE jaro_winkler_similarity(l.phone_normalized, r.phone_normalized) END AS phone_similarity
+    FROM forms l JOIN forms r ON (l.first_letter = r.first_letter OR l.zip_code = r.zip_code) AND l.rec_id > r.rec_id)""",
+        ("forms",),
+    ),
     "labelled": (
         """
   SELECT *, CASE WHEN score >= 0.85::DOUBLE THEN 'match' WHEN score >= 0.6::DOUBLE THEN 'uncertain'
@@ -202,6 +223,62 @@ _STEPS: dict[str, tuple[str, tuple[str, ...]]] = {
   FROM transactions WHERE customer_id IS NOT NULL GROUP BY 1""",
         ("transactions",),
     ),
+    # The expected purchases within every month at the given parameters, by the published series summed term by term.
+    "ahead": (
+        f"""
+  SELECT customer_id, month, 4 * (90000 + x * m) / (4 * x + 2.5) AS worth,
+    (2.2 + x) / -0.3 * (1 - pow((60 + age) / (60 + age + 30 * month), 0.8 + x) * series)
+      / (1 + CASE WHEN x > 0 THEN 0.7 / (1.5 + x) * pow((60 + age) / (60 + t), 0.8 + x) ELSE 0 END) AS purchases
+  FROM (
+    SELECT customer_id, month, any_value(x) AS x, any_value(m) AS m, any_value(t) AS t, any_value(age) AS age,
+      sum(exp(lgamma(0.8 + x + n) - lgamma(0.8 + x) + lgamma(2.5 + x + n) - lgamma(2.5 + x)
+              - lgamma(2.2 + x + n) + lgamma(2.2 + x) - lgamma(n + 1.0) + n * ln(30 * month / (60 + age + 30 * month)))) AS series
+    FROM (SELECT customer_id, frequency::DOUBLE AS x, recency::DOUBLE AS t, "T"::DOUBLE AS age, monetary_value AS m FROM summary),
+      (SELECT unnest(range(1, 13)) AS month), (SELECT unnest(range(0, {_TERMS})) AS n)
+    GROUP BY customer_id, month)""",
+        ("summary",),
+    ),
+    "spend_features": (
+        f"SELECT customer_id, {_MONEY.format('amount')} AS total_spend FROM transactions WHERE customer_id IS NOT NULL GROUP BY 1",
+        ("transactions",),
+    ),
+    "parted": (
+        """
+  SELECT *, CAST(('0x' || substr(sha256('42:' || customer_id), 1, 8))::UBIGINT % 5 AS INTEGER) AS part,
+    CAST(('0x' || substr(sha256('43:' || customer_id), 1, 8))::UBIGINT % 5 AS INTEGER) AS fold FROM spend_features""",
+        ("spend_features",),
+    ),
+    "scaled": (
+        "SELECT customer_id, [" + ", ".join(
+            f"(({c} - avg({c}) OVER ()) / coalesce(nullif(stddev_pop({c}) OVER (), 0), 1))::DOUBLE" for c in _FEATURE_COLUMNS
+        ) + "] AS x FROM features",
+        ("features",),
+    ),
+    "ranged": (
+        """
+  SELECT customer_id, x, k, recency * k // ((SELECT max(recency) FROM scored) + 1) AS label
+  FROM scaled JOIN scored USING (customer_id), (SELECT unnest(range(2, 8)) AS k)""",
+        ("scaled", "scored"),
+    ),
+    "apart": (
+        """
+  SELECT a.customer_id AS i, b.customer_id AS j, list_sum(list_transform(list_zip(a.x, b.x), lambda z: (z[1] - z[2]) * (z[1] - z[2]))) AS d
+  FROM scaled a, scaled b""",
+        ("scaled",),
+    ),
+    "choice": (
+        """
+  SELECT k, any_value(inertia) AS inertia, CASE WHEN count(DISTINCT label) = 1 THEN -1 ELSE avg(silhouette) END AS silhouette FROM (
+    SELECT k, label, CASE WHEN size = 1 THEN 0 ELSE (outside - inside) / nullif(greatest(inside, outside), 0) END AS silhouette,
+      sum(own / size / 2) OVER (PARTITION BY k) AS inertia
+    FROM (SELECT r.k, r.customer_id, r.label, max(s.d) FILTER (s.label = r.label) AS own, max(s.n) FILTER (s.label = r.label) AS size,
+            max(s.d / greatest(s.n - 1, 1)) FILTER (s.label = r.label) AS inside, min(s.d / s.n) FILTER (s.label <> r.label) AS outside
+          FROM ranged r JOIN (SELECT i, k, label, sum(d) AS d, count(*) AS n FROM apart JOIN ranged ON customer_id = j GROUP BY ALL) s
+            ON s.i = r.customer_id AND s.k = r.k
+          GROUP BY r.k, r.customer_id, r.label))
+  GROUP BY k""",
+        ("ranged", "apart"),
+    ),
     "cohort_rows": (
         """
   SELECT t.*, date_trunc('month', c.signup_date)::DATE AS cohort_month, date_trunc('month', t.date)::DATE AS transaction_month,
@@ -288,10 +365,37 @@ _MEMBERS = f"""
   SELECT {_VIEW_COLUMNS}, r.monetary, c.predicted_clv, c.clv_tier
   FROM golden g JOIN u_segmented r ON r.customer_id = g.unified_id LEFT JOIN u_tiered c ON c.customer_id = g.unified_id
   WHERE r.segment = '{MEMBER_SEGMENT}'"""
-_FEATURE_COLUMNS = (
-    "r_score", "f_score", "m_score", "monetary", "web_sessions", "avg_pages", "avg_time", "ticket_count",
-    "avg_satisfaction", "avg_resolution_time",
-)
+def _components() -> str:
+    """The two leading eigenvalues of the covariance by power iteration, the second one after deflation."""
+    d = len(_FEATURE_COLUMNS)
+    times = "list_transform({m}, lambda r: list_sum(list_transform(list_zip(r, {v}), lambda z: z[1] * z[2])))"
+    norm = "sqrt(list_sum(list_transform({v}, lambda z: z * z)))"
+
+    def iterated(name: str, matrix: str) -> str:
+        turned = times.format(m=f"(SELECT m FROM {matrix})", v="v")
+        return f"""
+{name}_power AS (
+  SELECT 0 AS step, list_transform(range(1, {d + 1}), lambda i: 1.0::DOUBLE / i) AS v
+  UNION ALL
+  SELECT step + 1, list_transform(w, lambda z: z / {norm.format(v="w")}) FROM (SELECT step, {turned} AS w FROM {name}_power WHERE step < 3000)),
+{name} AS MATERIALIZED (
+  SELECT v, list_sum(list_transform(list_zip(v, {turned}), lambda z: z[1] * z[2])) AS value FROM {name}_power WHERE step = 3000)"""
+
+    return _with(
+        f"""
+, cells AS (
+  SELECT i, j, sum(x[i] * x[j]) / (count(*) - 1) AS c FROM scaled, (SELECT unnest(range(1, {d + 1})) AS i), (SELECT unnest(range(1, {d + 1})) AS j)
+  GROUP BY i, j),
+whole AS MATERIALIZED (SELECT list(r ORDER BY i) AS m FROM (SELECT i, list(c ORDER BY j) AS r FROM cells GROUP BY i)),
+{iterated("first", "whole")},
+rest AS MATERIALIZED (
+  SELECT list(r ORDER BY i) AS m FROM (
+    SELECT i, list(c - (SELECT value * v[i] * v[j] FROM first) ORDER BY j) AS r FROM cells GROUP BY i)),
+{iterated("second", "rest")}
+SELECT {even("(SELECT value FROM first)", 5)} AS variance_x, {even("(SELECT value FROM second)", 5)} AS variance_y,
+  0.0::DOUBLE AS covariance, {even("sum(c)", 5)} AS total_variance FROM cells WHERE i = j""",
+        "scaled",
+    )
 
 
 def _recent(table: str, newest: str, tie: str, columns: str, limit: int) -> str:
@@ -318,8 +422,11 @@ def oracle_sql() -> dict[str, str]:
         "s5_segment_export": _with(_MEMBERS, "golden", "u_segmented", "u_tiered"),
         "s6_profile_json": _with(
             """SELECT unified_id, CAST(json_object('unified_id', unified_id, 'name', name,
-                 'email', email, 'phone', phone) AS VARCHAR) AS profile FROM golden""",
+                 'email', email, 'phone', phone, 'source_ids', ids) AS VARCHAR) AS profile
+               FROM golden JOIN (SELECT unified_id, string_agg(customer_id, ',' ORDER BY position) AS ids FROM listed
+                                 GROUP BY unified_id, (position - 1) // 1000) USING (unified_id)""",
             "golden",
+            "listed",
         ),
         "q1_row_counts": _with(_COUNTS, *DERIVED),
         "q2_orphan_rate": _with(
@@ -353,6 +460,15 @@ def oracle_sql() -> dict[str, str]:
             "forms",
         ),
         "e5_pairs_at_floor": _with("SELECT left_id, right_id FROM kept", "kept"),
+        "e5_two_blocks_at_floor": _with(
+            f"SELECT left_id, right_id, {_rounded('score')} FROM zipped WHERE score >= 0.6::DOUBLE", "zipped"
+        ),
+        "e5_two_blocks_counts": _with(
+            f"""SELECT label, coalesce(pairs, 0) AS pairs FROM ({_PAIR_LABELS}) LEFT JOIN (
+                  SELECT CASE WHEN score >= 0.85::DOUBLE THEN 'match' WHEN score >= 0.6::DOUBLE THEN 'uncertain' ELSE 'non_match' END AS label,
+                    count(*) AS pairs FROM zipped GROUP BY 1) USING (label)""",
+            "zipped",
+        ),
         "e10_labels_at_floor": _with("SELECT left_id, right_id, label FROM kept", "kept"),
         "e11_review_queue": _with(
             f"""SELECT left_id AS record_id_1, right_id AS record_id_2, {even("score", 6)} AS confidence_score,
@@ -455,8 +571,51 @@ def oracle_sql() -> dict[str, str]:
   FROM (SELECT customer_id, frequency::DOUBLE AS x, monetary_value AS m FROM summary WHERE frequency > 0)""",
             "summary",
         ),
-        "c15_importance_total": "SELECT 1.0::DOUBLE AS total",
-        "g10_pca_centred": "SELECT 0.0::DOUBLE AS mean_x, 0.0::DOUBLE AS mean_y, 0.0::DOUBLE AS covariance",
+        "c3_fit_certificate": _with("SELECT count(*) AS customers, true AS converged, 0::INTEGER AS better_neighbours FROM summary", "summary"),
+        "c4_fit_certificate": _with("SELECT count(*) AS customers, true AS converged, 0::INTEGER AS better_neighbours FROM summary WHERE frequency > 0", "summary"),
+        "c5_purchases_at_given": _with(f"SELECT customer_id, {even('purchases', 6)} AS predicted_purchases FROM ahead WHERE month = 12", "ahead"),
+        "c6_value_at_given": _with(
+            f"""SELECT customer_id, {even("sum(gained / pow(1.01::DOUBLE, month)) * any_value(worth)", 2)} AS predicted_clv FROM (
+                  SELECT *, purchases - coalesce(lag(purchases) OVER (PARTITION BY customer_id ORDER BY month), 0) AS gained FROM ahead)
+                GROUP BY customer_id""",
+            "ahead",
+        ),
+        "c12_training_means": _with(
+            f"""SELECT count(*) AS customers, {even("avg(total_spend)", 2)} AS label, {even("avg(total_spend)", 2)} AS prediction
+                FROM parted WHERE part > 0""",
+            "parted",
+        ),
+        "c13_errors_recomputed": _with(
+            f"""SELECT count(*) AS customers, {even("avg(total_spend)", 2)} AS label, 0.0::DOUBLE AS mae_gap, 0.0::DOUBLE AS r2_gap, true AS explains
+                FROM parted WHERE part = 0""",
+            "parted",
+        ),
+        "c14_folds": _with(
+            f"SELECT fold, count(*) AS customers, {even('avg(total_spend)', 2)} AS label, true AS explains FROM parted GROUP BY fold", "parted"
+        ),
+        "c15_gain_accounts": _with(
+            f"SELECT count(*) AS customers, {even('stddev_pop(total_spend)', 2)} AS deviation, 0.0::DOUBLE AS gap FROM parted WHERE part > 0",
+            "parted",
+        ),
+        "g5_inertia_of_recency": _with(f"SELECT k, {even('inertia', 6)} AS inertia FROM choice", "choice"),
+        "g6_silhouette_of_recency": _with(f"SELECT k, {even('silhouette', 6)} AS silhouette FROM choice", "choice"),
+        "g7_choice_of_recency": _with(
+            """SELECT k, k = (SELECT CASE WHEN abs(s - e) <= 2 THEN s ELSE e END FROM (
+                 SELECT (SELECT k FROM choice ORDER BY silhouette DESC, k LIMIT 1) AS s,
+                   (SELECT k FROM (SELECT k, lead(inertia, 2) OVER w - 2 * lead(inertia) OVER w + inertia AS bend FROM choice
+                                   WINDOW w AS (ORDER BY k)) WHERE bend IS NOT NULL ORDER BY bend DESC, k LIMIT 1) AS e)) AS chosen
+               FROM choice""",
+            "choice",
+        ),
+        "g8_fit_certificate": _with("SELECT count(*) AS points, 0::BIGINT AS off_nearest FROM features", "features"),
+        "g10_component_variances": _components(),
+        "d8_fitted_tier_sizes": _with(
+            """SELECT unnest(['Low Value', 'Medium Value', 'High Value']) AS clv_tier,
+                 unnest([low, high - low, n - high]) AS customers
+               FROM (SELECT n, CAST(floor(0.33 * (n - 1)) AS BIGINT) + 1 AS low, CAST(floor(0.66 * (n - 1)) AS BIGINT) + 1 AS high
+                     FROM (SELECT count(*) AS n FROM u_summary))""",
+            "u_summary",
+        ),
         "c7_heuristic_value": _with("SELECT * FROM valued", "valued"),
         "c8_transaction_features": _with("SELECT * FROM spending", "spending"),
         "c9_web_features": _with(

@@ -12,11 +12,12 @@ from patronage.functions.numeric import MONEY, whole_days
 from patronage.operators.cohort import active_customers, retention
 from patronage.operators.linkage.components import match_clusters
 from patronage.operators.linkage.rules import MatchRules
-from patronage.operators.linkage.survive import golden_records, lineage
+from patronage.operators.linkage.survive import crosswalk, golden_records, lineage
 from patronage.operators.rfm import rfm_scores, rfm_segments
 from patronage.operators.value.probabilistic import fit_buying, fit_spend, predict_value
 from patronage.operators.value.summary import heuristic_value, summary_of_days
 from patronage.operators.value.tiers import value_tiers
+from patronage.plans.serving import search_index
 from patronage.session import written
 
 
@@ -93,14 +94,18 @@ class CustomerView:
     def lineage(self) -> DataFrame:
         return written(lineage(self.customers, self.clusters), "lineage")
 
-    @property
+    @cached_property
     def crosswalk(self) -> DataFrame:
-        return self.lineage.select("rec_id", "customer_id", "unified_id")
+        return written(crosswalk(self.customers, self.clusters), "crosswalk")
 
     @cached_property
     def days(self) -> DataFrame:
         return written(unified_days(self.transactions, self.crosswalk), "days")
 
+    @cached_property
+    def search_index(self) -> DataFrame:
+        return written(search_index(self.golden_records), "search-index")
+
     @cached_property
     def rfm_scores(self) -> DataFrame:
         metrics = written(rfm_of_days(self.days, self.as_of), "rfm")
@@ -117,6 +122,11 @@ class CustomerView:
     def cohort_retention(self) -> DataFrame:
         return written(retention(active_customers(self.customers, self.transactions)), "retention")
 
+    def share(self, other: CustomerView) -> None:
+        """Take over from a view of the same tables and rules what does not depend on the value model."""
+        self.clusters, self.golden_records, self.crosswalk = other.clusters, other.golden_records, other.crosswalk
+        self.days = other.days
+
     def tables(self) -> dict[str, DataFrame]:
         """All the tables the look-ups read, by name."""
         names = ("golden_records", "crosswalk", "rfm_scores", "clv_predictions", "cohort_retention")

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from patronage.functions.numeric import half_even
 from patronage.operators import clustering, cohort, features, quality, rfm
 from patronage.operators.linkage import components, normalise, pairs, report, survive
+from patronage.operators.linkage.rules import MatchRules
 from patronage.operators.value import boosted, probabilistic, summary, tiers
 from patronage.plans import customer_view, serving
 from patronage.session import apply_settings, shared_folder, written
@@ -26,6 +27,9 @@ AS_OF = "2002-01-01"
 # Columns of the retention matrix, in months since signup.
 MATRIX_AGES = list(range(-40, 90))
 
+# Numbers of ranges for which the choice of k is checked.
+GIVEN_KS = range(2, 8)
+
 SEARCH_TEXT = "Red"
 PROFILE_ID = "GOLD_000005"
 MEMBER_SEGMENT = "Loyal Customers"
@@ -105,6 +109,16 @@ class Workspace:
             "view", lambda: customer_view.CustomerView(self.tables(), AS_OF, value_model="heuristic")
         )
 
+    def fitted_view(self) -> customer_view.CustomerView:
+        """The view with the fitted value models, over the clusters and purchases of :meth:`view`."""
+
+        def make() -> customer_view.CustomerView:
+            fitted, plain = customer_view.CustomerView(self.tables(), AS_OF), self.view()
+            fitted.share(plain)
+            return fitted
+
+        return self._once("fitted_view", make)
+
     def chosen_k(self) -> clustering.KChoice:
         return self._once("k", lambda: clustering.find_optimal_k(clustering.scale(self.features())))
 
@@ -191,7 +205,10 @@ def s5_segment_export(ws: Workspace) -> DataFrame:
 
 
 def s6_profile_json(ws: Workspace) -> DataFrame:
-    return exports.profile_json(ws.view().golden_records.drop("record_count"))
+    """The golden rows with their source ids; a row for each list of ids where there is more than one."""
+    v = ws.view()
+    rows = v.golden_records.drop("record_count").join(survive.source_id_lists(v.lineage).drop("part"), "unified_id")
+    return exports.profile_json(rows)
 
 
 # --- data quality -----------------------------------------------------------
@@ -257,6 +274,20 @@ def e12_pair_counts(ws: Workspace) -> DataFrame:
     return pairs.pair_counts(ws.customers)
 
 
+# Records compared if the first letter of the name or the zip code agrees.
+TWO_BLOCKS = MatchRules(blocking=("first_letter", "zip_code"))
+
+
+def e5_two_blocks_at_floor(ws: Workspace) -> DataFrame:
+    """Pairs of two blocking fields together, each once."""
+    rows = pairs.record_pairs(ws.customers, TWO_BLOCKS)
+    return rows.select("left_id", "right_id", *_r("score"))
+
+
+def e5_two_blocks_counts(ws: Workspace) -> DataFrame:
+    return pairs.pair_counts(ws.customers, TWO_BLOCKS)
+
+
 def e13_components(ws: Workspace) -> DataFrame:
     return components.connected_components(ws.pairs().where("label = 'match'").select("left_id", "right_id"))
 
@@ -357,10 +388,42 @@ def g7_optimal_k(ws: Workspace) -> DataFrame:
     return ws.chosen_k().frame(ws.spark).where("chosen").select("k")
 
 
+def _choice_of_recency(ws: Workspace) -> DataFrame:
+    """Figures and choice of k for labels known in advance: k equally wide ranges of recency."""
+
+    def make() -> DataFrame:
+        rows = ws.features().join(ws.scores().select("customer_id", "recency"), "customer_id")
+        ranged = written(rows.withColumn("widest", rows.agg(F.max("recency")).scalar()), "ranges")
+        # The labels are no features.
+        labels = {k: F.expr(f"recency * {k} DIV (widest + 1)") for k in GIVEN_KS}
+        scaling = clustering.Scaling.of(ranged.drop("recency", "widest"))
+        choice = clustering.choice_for(scaling.apply(ranged), labels, list(scaling.means))
+        return choice.frame(ws.spark).select("k", *_r("inertia", "silhouette"), "chosen")
+
+    return ws._once("choice_of_recency", make)
+
+
+def g5_inertia_of_recency(ws: Workspace) -> DataFrame:
+    return _choice_of_recency(ws).select("k", "inertia")
+
+
+def g6_silhouette_of_recency(ws: Workspace) -> DataFrame:
+    return _choice_of_recency(ws).select("k", "silhouette")
+
+
+def g7_choice_of_recency(ws: Workspace) -> DataFrame:
+    return _choice_of_recency(ws).select("k", "chosen")
+
+
 def g8_fit_clusters(ws: Workspace) -> DataFrame:
     return ws.clustered()
 
 
+def g8_fit_certificate(ws: Workspace) -> DataFrame:
+    """Customers, and those nearer to the mean of a cluster that is not theirs."""
+    return clustering.fit_certificate(ws.clustered()).select("points", "off_nearest")
+
+
 def g9_cluster_profiles(ws: Workspace) -> DataFrame:
     return clustering.cluster_profiles(ws.clustered())
 
@@ -374,11 +437,16 @@ def g10_pca_projection(ws: Workspace) -> DataFrame:
     return clustering.pca_projection(ws.clustered())
 
 
-def g10_pca_centred(ws: Workspace) -> DataFrame:
-    """Means and covariance of the projection: the components are centred and not correlated."""
-    xy = clustering.pca_projection(ws.features().withColumn("cluster", F.col("r_score")))
-    figures = {"mean_x": F.avg("pca_x"), "mean_y": F.avg("pca_y"), "covariance": F.covar_pop("pca_x", "pca_y")}
-    return xy.agg(*[F.abs(half_even(v, 6)).alias(k) for k, v in figures.items()])
+def g10_component_variances(ws: Workspace) -> DataFrame:
+    """Variances along the two projected axes, their covariance, and the variance of all features together."""
+    labelled = ws.features().withColumn("cluster", F.col("r_score"))
+    xy = clustering.pca_projection(labelled)
+    found = clustering.principal_components(clustering.scale(ws.features()))
+    figures = {
+        "variance_x": F.var_samp("pca_x"), "variance_y": F.var_samp("pca_y"),
+        "covariance": F.abs(F.covar_samp("pca_x", "pca_y")), "total_variance": F.lit(found.total_variance),
+    }
+    return xy.agg(*[half_even(v, 5).alias(k) for k, v in figures.items()])
 
 
 # --- lifetime value ---------------------------------------------------------
@@ -405,6 +473,15 @@ GIVEN_BUYING = probabilistic.BuyingModel(0.8, 60.0, 0.7, 2.5)
 GIVEN_SPEND = probabilistic.SpendModel(4.0, 3.5, 90_000.0)
 
 
+def c3_fit_certificate(ws: Workspace) -> DataFrame:
+    """Customers behind the fit, whether its gradient vanishes, and how many neighbouring points fit better."""
+    return probabilistic.certified(ws.summary(), ws.buying())
+
+
+def c4_fit_certificate(ws: Workspace) -> DataFrame:
+    return probabilistic.certified(ws.summary(), ws.spend())
+
+
 def c3_buying_likelihood(ws: Workspace) -> DataFrame:
     rows = probabilistic.likelihoods(ws.summary(), GIVEN_BUYING)
     return rows.withColumn("log_likelihood", *_r("log_likelihood"))
@@ -427,6 +504,18 @@ def c6_predicted_clv(ws: Workspace) -> DataFrame:
     return _predicted(ws).select("customer_id", "predicted_clv")
 
 
+def c5_purchases_at_given(ws: Workspace) -> DataFrame:
+    """Predicted purchases at given parameters."""
+    rows = probabilistic.predict_value(ws.summary(), GIVEN_BUYING, GIVEN_SPEND)
+    return rows.select("customer_id", *_r("predicted_purchases"))
+
+
+def c6_value_at_given(ws: Workspace) -> DataFrame:
+    """Predicted value at given parameters, and its discounted monthly purchases times the expected spend."""
+    rows = probabilistic.predict_value(ws.summary(), GIVEN_BUYING, GIVEN_SPEND)
+    return rows.select("customer_id", *_r("predicted_clv", digits=2))
+
+
 def c7_heuristic_value(ws: Workspace) -> DataFrame:
     return summary.heuristic_value(summary.purchase_summary(ws.transactions))
 
@@ -457,24 +546,63 @@ def c11_value_features(ws: Workspace) -> DataFrame:
 
 
 def c12_boosted_predictions(ws: Workspace) -> DataFrame:
-    vectors, _ = boosted.labelled_vectors(ws.value_features(), "total_spend")
-    return ws.boosted().model.transform(vectors).select("customer_id", "label", "prediction")
+    return ws.boosted().predictions.select("customer_id", "label", "prediction")
+
+
+def c12_training_means(ws: Workspace) -> DataFrame:
+    """Rows and mean label and prediction of the training rows: leaves are means, so both means are one."""
+    rows = ws.boosted().predictions.where("NOT held_out")
+    return rows.agg(F.count(F.lit(1)).alias("customers"), half_even(F.avg("label"), 2).alias("label"), half_even(F.avg("prediction"), 2).alias("prediction"))
 
 
 def c13_holdout_errors(ws: Workspace) -> DataFrame:
     return ws.boosted().metrics_frame(ws.spark).select("mae", "r2")
 
 
+def c13_errors_recomputed(ws: Workspace) -> DataFrame:
+    """Held-out rows with their mean label, and how far the reported errors are from those of the listed predictions."""
+    fit = ws.boosted()
+    held = fit.predictions.where("held_out")
+    off = F.col("label") - F.col("prediction")
+    mae, r2 = F.avg(F.abs(off)), 1 - F.sum(off * off) / (F.var_pop("label") * F.count("label"))
+    return held.agg(
+        F.count(F.lit(1)).alias("customers"), half_even(F.avg("label"), 2).alias("label"),
+        half_even(F.abs(mae - F.lit(fit.mae)) / F.avg("label"), 6).alias("mae_gap"), half_even(F.abs(r2 - F.lit(fit.r2)), 6).alias("r2_gap"),
+        (F.lit(fit.r2) > 0.8).alias("explains"),
+    )
+
+
 def c14_cross_validation(ws: Workspace) -> DataFrame:
     return ws.boosted().metrics_frame(ws.spark).select("cv_scores")
 
 
+def c14_folds(ws: Workspace) -> DataFrame:
+    """Rows and mean label of every fold, and whether the model that has not seen it explains most of its variance."""
+    off = F.col("label") - F.col("fold_prediction")
+    explained = 1 - F.avg(off * off) / F.var_pop("label")
+    rows = ws.boosted().predictions.groupBy("fold")
+    return rows.agg(F.count(F.lit(1)).alias("customers"), half_even(F.avg("label"), 2).alias("label"), (explained > 0.8).alias("explains"))
+
+
 def c15_feature_importance(ws: Workspace) -> DataFrame:
     return ws.boosted().importance_frame(ws.spark)
 
 
-def c15_importance_total(ws: Workspace) -> DataFrame:
-    return ws.boosted().importance_frame(ws.spark).agg(half_even(F.sum("importance"), 6).alias("total"))
+def c15_gain_accounts(ws: Workspace) -> DataFrame:
+    """Variance of the training labels, and what of it the gains of the first tree leave unaccounted for.
+
+    The gains of a tree are what it takes from the sum of squares, which is worked out again from
+    the values of its leaves.
+    """
+    fit = ws.boosted()
+    first = fit.model.trees[0]
+    rows = fit.predictions.where("NOT held_out").select("customer_id", "label")
+    leaves = boosted.BoostedTrees(fit.model.columns, fit.model.edges, fit.model.start, 1.0, [first])
+    placed = leaves.transform(ws.value_features()).join(rows, "customer_id")
+    left = F.col("label") - F.col("prediction")
+    n, variance = F.count(F.lit(1)), F.var_pop("label")
+    gap = (n * variance - F.sum(left * left) - F.lit(float(first.gain.sum()))) / (n * variance)
+    return placed.agg(n.alias("customers"), half_even(F.sqrt(variance), 2).alias("deviation"), half_even(F.abs(gap), 6).alias("gap"))
 
 
 def c16_value_tiers(ws: Workspace) -> DataFrame:
@@ -524,7 +652,7 @@ def h8_average_retention(ws: Workspace) -> DataFrame:
 
 def d1_customer_search(ws: Workspace) -> DataFrame:
     v = ws.view()
-    return serving.search_customers(v.golden_records, v.rfm_scores, v.clv_predictions, SEARCH_TEXT)
+    return serving.search_customers(v.golden_records, v.rfm_scores, v.clv_predictions, SEARCH_TEXT, index=v.search_index)
 
 
 def d2_customer_profile(ws: Workspace) -> DataFrame:
@@ -560,6 +688,20 @@ def d9_tier_describe(ws: Workspace) -> DataFrame:
     return tiers.tier_describe(ws.view().clv_predictions)
 
 
+def d7_fitted_histogram(ws: Workspace) -> DataFrame:
+    """The tier histogram over the values of the fitted models."""
+    return tiers.tier_histogram(ws.fitted_view().clv_predictions)
+
+
+def d8_fitted_tier_sizes(ws: Workspace) -> DataFrame:
+    """Customers per tier of the values of the fitted models: their quantiles follow from the number of customers."""
+    return tiers.tier_totals(ws.fitted_view().clv_predictions).select("clv_tier", "customers")
+
+
+def d9_fitted_describe(ws: Workspace) -> DataFrame:
+    return tiers.tier_describe(ws.fitted_view().clv_predictions)
+
+
 def d10_resolution_statistics(ws: Workspace) -> DataFrame:
     return serving.resolution_statistics(ws.customers, ws.view().golden_records)
 
@@ -578,22 +720,24 @@ _QUERIES: dict[str, Callable[[Workspace], DataFrame]] = {
     for f in (
         s1_load_tables, s2_get_table, s3_table_exists, s4_review_export, s5_segment_export, s6_profile_json,
         q1_row_counts, q2_orphan_rate, q3_missing_email_rate, q4_duplicate_rate, q5_quality_report,
-        e5_block_sizes, e5_pairs_at_floor, e10_labels_at_floor, e11_review_queue, e12_match_run_at_floor, e12_pair_counts,
+        e5_block_sizes, e5_pairs_at_floor, e5_two_blocks_at_floor, e5_two_blocks_counts, e10_labels_at_floor, e11_review_queue, e12_match_run_at_floor, e12_pair_counts,
         e13_components, e13_match_clusters, e18_merge_all, e19_match_report, e20_score_histogram,
         e21_review_rows, e22_crosswalk, e22_split_source_ids,
         r1_rfm_metrics, r6_segments, r7_rule_segments, r8_segment_summary, r9_segment_overview,
         g1_web_features, g2_support_features, g3_segmentation_features, g4_scaled_features, g5_inertia_sweep,
-        g6_silhouette_sweep, g7_optimal_k, g8_fit_clusters, g9_cluster_profiles, g9_profiles_by_recency,
-        g10_pca_projection, g10_pca_centred,
-        c1_purchase_summary, c2_simple_summary, c3_buying_model, c3_buying_likelihood, c4_spend_model,
-        c4_spend_likelihood, c5_predicted_purchases,
-        c6_predicted_clv, c7_heuristic_value, c8_transaction_features, c9_web_features, c10_support_features,
-        c11_value_features, c12_boosted_predictions, c13_holdout_errors, c14_cross_validation,
-        c15_feature_importance, c15_importance_total, c16_value_tiers,
+        g5_inertia_of_recency, g6_silhouette_sweep, g6_silhouette_of_recency, g7_optimal_k, g7_choice_of_recency,
+        g8_fit_clusters, g8_fit_certificate, g9_cluster_profiles, g9_profiles_by_recency,
+        g10_pca_projection, g10_component_variances,
+        c1_purchase_summary, c2_simple_summary, c3_buying_model, c3_fit_certificate, c3_buying_likelihood,
+        c4_spend_model, c4_fit_certificate, c4_spend_likelihood, c5_predicted_purchases, c5_purchases_at_given,
+        c6_predicted_clv, c6_value_at_given, c7_heuristic_value, c8_transaction_features, c9_web_features, c10_support_features,
+        c11_value_features, c12_boosted_predictions, c12_training_means, c13_holdout_errors, c13_errors_recomputed,
+        c14_cross_validation, c14_folds, c15_feature_importance, c15_gain_accounts, c16_value_tiers,
         h1_cohorts, h2_cohort_age, h3_active_customers, h4_retention, h5_retention_matrix, h6_heatmap,
         h7_cohort_metrics, h8_average_retention,
         d1_customer_search, d2_customer_profile, d3_recent_transactions, d4_recent_sessions, d5_recent_tickets,
-        d6_segment_overview, d7_tier_histogram, d8_tier_totals, d9_tier_describe, d10_resolution_statistics,
+        d6_segment_overview, d7_tier_histogram, d7_fitted_histogram, d8_tier_totals, d8_fitted_tier_sizes,
+        d9_tier_describe, d9_fitted_describe, d10_resolution_statistics,
         d11_segments, d12_segment_members,
     )
 }

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -19,22 +21,87 @@ def _joined(golden: DataFrame, scores: DataFrame, predictions: DataFrame, how: s
     )
 
 
+GRAM = 3
+_SEARCHED = ("name", "email", "unified_id")
+
+
+def _grams(text: Column) -> Column:
+    """The distinct runs of ``GRAM`` characters of a text."""
+    starts = F.sequence(F.lit(1), F.greatest(F.char_length(text) - GRAM + 1, F.lit(1)))
+    runs = F.transform(starts, lambda i: F.substring(text, i, F.lit(GRAM)))
+    return F.array_distinct(F.when(F.char_length(text) >= GRAM, runs))
+
+
+def search_index(golden: DataFrame) -> DataFrame:
+    """Inverted lists ``(field, gram, unified_id, value)`` of the searched texts in lower case, to be written as they come.
+
+    Sorted by field and gram, so that a filter on both reads the parts of the files that hold these lists. The
+    range cut takes the id too: a gram that most texts have spreads over many files.
+    """
+    fields = F.array(*[F.struct(F.lit(c).alias("field"), F.col(c).alias("value")) for c in _SEARCHED])
+    rows = golden.select("unified_id", F.explode(fields).alias("f")).select("unified_id", "f.*")
+    lists = rows.select("field", F.explode(_grams(F.lower("value"))).alias("gram"), "unified_id", "value")
+    return lists.repartitionByRange("field", "gram", "unified_id").sortWithinPartitions("field", "gram", "unified_id")
+
+
+def _contains(value: Column, text: str, any_case: bool) -> Column:
+    pattern = F.lit(f"%{text}%")
+    if any_case:
+        value, pattern = F.lower(value), F.lower(pattern)
+    return F.like(value, pattern, F.lit("\x01"))
+
+
+def asked_grams(text: str) -> list[str]:
+    """The runs that every match has: those of the parts between wildcards, in lower case.
+
+    A letter whose lower case depends on its neighbours or has another length makes no run.
+    """
+    runs = []
+    for part in re.split("[%_]", text):
+        lowered = [c.lower() if len(c.lower()) == 1 and c not in "\u03a3\u03c3\u03c2" else None for c in part]
+        runs += [lowered[i : i + GRAM] for i in range(len(lowered) - GRAM + 1)]
+    return sorted({"".join(r) for r in runs if None not in r})
+
+
+def found_by_index(index: DataFrame, text: str) -> DataFrame | None:
+    """``unified_id`` of the customers that match, from the lists of ``text`` alone; None if it has no run to look up.
+
+    A customer has to be in every list of one field; its text there is verified.
+    """
+    grams = asked_grams(text)
+    if not grams:
+        return None
+    lists = index.where(F.col("field").isin(*_SEARCHED) & F.col("gram").isin(*grams))
+    named = (
+        lists.groupBy("field", "unified_id")
+        .agg(F.count(F.lit(1)).alias("n"), F.first("value").alias("value"))
+        .where(F.col("n") == len(grams))
+    )
+    matched = F.lit(False)
+    for field in _SEARCHED:
+        matched = matched | ((F.col("field") == field) & _contains(F.col("value"), text, field != "unified_id"))
+    return named.where(matched).select("unified_id").distinct()
+
+
 def search_customers(
-    golden: DataFrame, scores: DataFrame, predictions: DataFrame, text: str, limit: int = 50
+    golden: DataFrame, scores: DataFrame, predictions: DataFrame, text: str, limit: int = 50, index: DataFrame | None = None
 ) -> DataFrame:
     """Customers whose name or email contains ``text`` in any case, or whose id contains it as is.
 
     ``%`` and ``_`` in the text are wildcards, a backslash is itself. The first ``limit`` by id, which
-    are picked before the joins.
+    are picked before the joins. With ``index``, a written :func:`search_index`, only the lists
+    of the text are read to pick them; texts without a run of three characters scan.
     """
-    pattern, plain_backslash = F.lit(f"%{text}%"), F.lit("\x01")
-    hit = (
-        F.like(F.lower("name"), F.lower(pattern), plain_backslash)
-        | F.like(F.lower("email"), F.lower(pattern), plain_backslash)
-        | F.like(F.col("unified_id"), pattern, plain_backslash)
-    )
-    found = golden.where(hit).orderBy("unified_id").limit(limit)
-    return _joined(found, scores, predictions, "left", []).orderBy("unified_id")
+    ids = found_by_index(index, text) if index is not None else None
+    if ids is None:
+        hit = [_contains(F.col(c), text, c != "unified_id") for c in _SEARCHED]
+        ids = golden.where(hit[0] | hit[1] | hit[2]).select("unified_id")
+    picked = [r[0] for r in ids.orderBy("unified_id").limit(limit).collect()]  # at most ``limit`` ids
+    own = F.col("unified_id").isin(picked)
+    found = golden.where(own)
+    return _joined(
+        found, scores.where(F.col("customer_id").isin(picked)), predictions.where(F.col("customer_id").isin(picked)), "left", []
+    ).orderBy("unified_id")
 
 
 def customer_profile(

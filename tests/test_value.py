@@ -108,6 +108,53 @@ def test_buying_model_recovers_its_parameters(spark):
     model = probabilistic.fit_buying(df, penalty=0.0)
     assert model.r == pytest.approx(0.9, rel=0.15) and model.alpha == pytest.approx(20.0, rel=0.2)
     assert model.a / (model.a + model.b) == pytest.approx(0.8 / 3.3, rel=0.15)
+    assert model.fit.gradient < 1e-5 and not model.fit.at_boundary
+    row = probabilistic.certified(df, model, penalty=0.0).first()
+    assert (row.customers, row.converged, row.better_neighbours) == (6000, True, 0)
+    off = probabilistic.BuyingModel(model.r * 1.3, model.alpha, model.a, model.b)
+    row = probabilistic.certified(df, off, penalty=0.0).first()
+    assert not row.converged and row.better_neighbours > 0
+
+
+def test_a_parameter_that_runs_away_is_flagged(spark):
+    """Nobody ever stops buying: the dropout parameters have no finite best value."""
+    rng = np.random.default_rng(2)
+    rows = []
+    for i in range(800):
+        times = np.cumsum(rng.exponential(1 / rng.gamma(2.0, 1 / 20.0), 400))
+        times = times[times <= 300.0]
+        if len(times):
+            rows.append((f"C{i}", len(times), float(times[-1]), 300.0))
+    df = spark.createDataFrame(rows, "customer_id string, frequency long, recency double, T double")
+    model = probabilistic.fit_buying(df)
+    assert model.fit.at_boundary and model.a < 1e-3
+    assert {r.at_boundary for r in model.frame(spark).collect()} == {True}
+
+
+def numeric_slopes(of, parameters, rows):
+    out = []
+    for i in range(len(parameters)):
+        step = 1e-5 * parameters[i]
+        up, down = (np.array(parameters, float) for _ in range(2))
+        up[i], down[i] = up[i] + step, down[i] - step
+        out.append((of(up, rows)[0] - of(down, rows)[0]) / (2 * step))
+    return out
+
+
+def test_derivatives_equal_differences():
+    rng = np.random.default_rng(1)
+    x = np.array([0, 0, 1, 2, 7, 40], float)
+    t = np.array([0, 0, 3, 9, 20, 30], float)
+    rows = {"frequency": x, "recency": t, "T": t + rng.uniform(0.1, 9, 6), "monetary_value": rng.uniform(0.1, 4, 6)}
+    for parameters in ([0.8, 2.0, 0.7, 2.5], [3.0, 0.4, 1.6, 0.9]):
+        _, slopes = probabilistic.buying_likelihood(np.array(parameters), rows)
+        for a, b in zip(slopes, numeric_slopes(probabilistic.buying_likelihood, parameters, rows)):
+            assert np.allclose(a, b, rtol=1e-5, atol=1e-7)
+    rows = {k: v[2:] for k, v in rows.items()}
+    for parameters in ([2.0, 3.0, 1.5], [6.0, 1.2, 0.3]):
+        _, slopes = probabilistic.spend_likelihood(np.array(parameters), rows)
+        for a, b in zip(slopes, numeric_slopes(probabilistic.spend_likelihood, parameters, rows)):
+            assert np.allclose(a, b, rtol=1e-5, atol=1e-7)
 
 
 def test_spend_model_recovers_its_parameters(spark):
@@ -195,6 +242,63 @@ def test_optimal_k_and_clusters(spark, blobs):
     assert len(spots) == 120 and spots.pca_x.var() > spots.pca_y.var() and abs(spots.pca_x.mean()) < 1e-9
 
 
+def test_a_fit_is_at_rest(spark, blobs):
+    row = clustering.fit_certificate(clustering.fit_clusters(blobs, k=4, starts=3)).first()
+    assert (row.points, row.off_nearest, row.clusters) == (120, 0, 4)
+    wrong = clustering.fit_clusters(blobs, k=3, starts=2).withColumn(
+        "cluster", F.when(F.col("customer_id") == "C000", (F.col("cluster") + 1) % 3).otherwise(F.col("cluster"))
+    )
+    assert clustering.fit_certificate(written(wrong, "wrong")).first().off_nearest == 1
+
+
+def test_figures_of_given_labels_equal_brute_force(spark, blobs):
+    frame = clustering.scale(blobs).toPandas().sort_values("customer_id")
+    x = frame[["a", "b", "c", "d"]].to_numpy()
+    apart = ((x[:, None] - x[None]) ** 2).sum(axis=2)
+    number = np.arange(120)
+    labels = {3: number % 3, 5: np.minimum(number % 7, 3), 2: np.where(number == 5, 1, 0)}  # of five one is empty
+    column = F.substring("customer_id", 2, 3).cast("int")
+    expressions = {3: column % 3, 5: F.least(column % 7, F.lit(3)), 2: (column == 5).cast("int")}
+    choice = clustering.choice_for(clustering.scale(blobs), expressions)
+    for k, own in labels.items():
+        inertia = sum(((x[own == c] - x[own == c].mean(axis=0)) ** 2).sum() for c in np.unique(own))
+        values = []
+        for i in range(120):
+            mates = own == own[i]
+            inside = apart[i][mates].sum() / max(mates.sum() - 1, 1)
+            outside = min(apart[i][own == c].mean() for c in np.unique(own) if c != own[i])
+            values.append(0.0 if mates.sum() == 1 else (outside - inside) / max(inside, outside))
+        assert choice.inertias[k] == pytest.approx(inertia) and choice.silhouettes[k] == pytest.approx(np.mean(values))
+
+
+def test_one_cluster_alone_has_the_least_silhouette(spark, blobs):
+    assert clustering.choice_for(clustering.scale(blobs), {2: F.lit(0)}).silhouettes[2] == -1.0
+
+
+def test_all_fits_share_the_passes(spark, blobs):
+    choice = clustering.find_optimal_k(clustering.scale(blobs), max_clusters=6, starts=4)
+    assert choice.passes < 60  # 20 fits
+    inertias = [choice.inertias[k] for k in sorted(choice.inertias)]
+    assert inertias == sorted(inertias, reverse=True)
+
+
+def test_equal_points_and_more_clusters_than_places(spark):
+    rows = written(spark.createDataFrame([(f"C{i}", float(i % 2), 1.0) for i in range(30)], "customer_id string, a double, b double"), "two-places")
+    clustered = clustering.fit_clusters(rows, k=4, starts=2)
+    assert {r.n for r in clustered.groupBy("a").agg(F.countDistinct("cluster").alias("n")).collect()} == {1}
+    assert clustering.find_optimal_k(clustering.scale(rows), max_clusters=4, starts=2).k >= 2
+
+
+def test_components_equal_the_eigenvectors(spark, blobs):
+    scaled = clustering.scale(blobs.drop("d").withColumn("e", F.col("a") * F.col("b")))
+    x = scaled.toPandas()[["a", "b", "c", "e"]].to_numpy()
+    values, basis = np.linalg.eigh(np.cov(x.T))
+    found = clustering.principal_components(scaled.repartition(7))
+    assert np.allclose(found.variances, values[::-1][:2]) and found.total_variance == pytest.approx(np.trace(np.cov(x.T)))
+    for own, want in zip(found.loadings.T, basis.T[::-1][:2]):
+        assert np.allclose(own, want * np.sign(want[np.abs(want).argmax()]))
+
+
 def test_too_few_points_give_two(spark, blobs):
     assert clustering.find_optimal_k(blobs.limit(2)) == clustering.KChoice(2, {}, {})
 
@@ -216,6 +320,83 @@ def test_boosted_fit(spark):
     fit = boosted.fit_boosted(df, F.col("x") * 3, folds=2, trees=8, depth=3)
     assert fit.r2 > 0.7 and fit.cv_r2 > 0.7 and fit.mae < 4
     assert fit.importance[0][0] == "x" and math.isclose(sum(w for _, w in fit.importance), 1.0, rel_tol=1e-6)
+    again = fit.model.transform(df).select("customer_id", "prediction").toPandas().set_index("customer_id").prediction
+    listed = fit.predictions.toPandas().set_index("customer_id")
+    assert np.allclose(again.sort_index(), listed.prediction.sort_index())
+    held = listed[listed.held_out]
+    assert fit.mae == pytest.approx((held.label - held.prediction).abs().mean())
+    assert fit.r2 == pytest.approx(1 - ((held.label - held.prediction) ** 2).sum() / ((held.label - held.label.mean()) ** 2).sum())
+    assert fit.passes == 8  # the sample holds all rows
+
+
+def plain_boost(codes, y, trees, depth, rate):
+    """Level-wise greedy boosting of one model, node by node over all rows."""
+    pred, out = np.full(len(y), y.mean()), []
+    for _ in range(trees):
+        residual, nodes = y - pred, {0: np.arange(len(y))}
+        splits, values = {}, {}
+        for node in range(2 ** (depth + 1) - 1):
+            rows = nodes.get(node)
+            if rows is None:
+                continue
+            values[node] = residual[rows].mean()
+            best = (1e-9 * (1 + residual[rows].sum() ** 2 / len(rows)), None)
+            if node < 2**depth - 1 and len(rows) > 1:
+                for f in range(codes.shape[1]):
+                    for b in np.unique(codes[rows, f])[:-1]:
+                        left = codes[rows, f] <= b
+                        l, r = residual[rows[left]], residual[rows[~left]]
+                        gain = l.sum() ** 2 / len(l) + r.sum() ** 2 / len(r) - residual[rows].sum() ** 2 / len(rows)
+                        if gain > best[0] * (1 + 1e-9):
+                            best = (gain, (f, int(b)))
+            if best[1]:
+                splits[node] = best[1]
+                left = codes[rows, best[1][0]] <= best[1][1]
+                nodes[2 * node + 1], nodes[2 * node + 2] = rows[left], rows[~left]
+            else:
+                pred[rows] += rate * values[node]
+        out.append(splits)
+    return pred, out
+
+
+@pytest.mark.parametrize("sample", [20_000, 40])
+def test_trees_are_those_of_greedy_growth_whatever_the_sample(spark, monkeypatch, sample):
+    monkeypatch.setattr(boosted, "SAMPLE_ROWS", sample)
+    monkeypatch.setattr(boosted, "KEEP_TREES", 3)
+    rng = np.random.default_rng(sample)
+    x = np.round(rng.uniform(0, 30, (300, 3)))
+    df = spark.createDataFrame([(f"C{i}", *map(float, r)) for i, r in enumerate(x)], "customer_id string, a double, b double, c double")
+    features = written(df, "greedy")
+    fit = boosted.fit_boosted(features, F.expr("2 * a + IF(b > 12, 25, 0) + c * c / 50"), folds=None, trees=5, depth=3)
+    listed = fit.predictions.toPandas().sort_values("customer_id")
+    rows = df.toPandas().sort_values("customer_id")
+    codes = boosted.codes_of(rows[["a", "b", "c"]].to_numpy(), fit.model.edges)
+    train = ~listed.held_out.to_numpy()
+    pred, splits = plain_boost(codes[train], listed.label.to_numpy()[train], 5, 3, 0.1)
+    assert np.allclose(listed.prediction.to_numpy()[train], pred)
+    for tree, want in zip(fit.model.trees, splits):
+        assert {int(n): (int(tree.feature[n]), int(tree.bin[n])) for n in np.flatnonzero(tree.feature >= 0)} == want
+    assert fit.passes == 5 if sample > 300 else fit.passes > 5
+
+
+def test_folds_are_predicted_by_models_that_have_not_seen_them(spark):
+    """Labels that nothing explains: a model that had seen its rows would fit them."""
+    rng = np.random.default_rng(9)
+    rows = [(f"C{i}", float(a), float(b)) for i, (a, b) in enumerate(rng.normal(0, 1, (300, 2)))]
+    df = written(spark.createDataFrame(rows, "customer_id string, x double, y double"), "noise")
+    fit = boosted.fit_boosted(df.select("customer_id", "x"), F.sin(F.hash("customer_id")), folds=4, trees=20, depth=4)
+    listed = fit.predictions.toPandas()
+    seen, unseen = np.corrcoef(listed.label, listed.prediction)[0, 1], np.corrcoef(listed.label, listed.fold_prediction)[0, 1]
+    assert seen > 0.5 and abs(unseen) < 0.25 and fit.cv_r2 < 0.1
+    per = [1 - ((p.label - p.fold_prediction) ** 2).sum() / ((p.label - p.label.mean()) ** 2).sum() for _, p in listed.groupby("fold")]
+    assert fit.cv_r2 == pytest.approx(np.mean(per)) and len(per) == 4
+
+
+def test_missing_and_constant_features(spark):
+    rows = [(f"C{i}", None if i % 5 == 0 else float(i % 7), 3.0) for i in range(200)]
+    df = spark.createDataFrame(rows, "customer_id string, x double, same double")
+    fit = boosted.fit_boosted(df, F.coalesce(F.col("x") * 2, F.lit(40.0)), folds=2, trees=60, depth=3, rate=0.2)
+    assert fit.r2 > 0.99 and dict(fit.importance)["same"] == 0.0
 
 
 def test_repeat_customers_without_spend_are_an_error(spark):
@@ -231,7 +412,7 @@ def test_a_search_that_runs_out_of_steps_is_an_error():
         """Descends for ever."""
 
         def at(self, points):
-            return np.array([-float(np.sum(p)) for p in points])
+            return np.array([-float(np.sum(p)) for p in points]), -np.ones((len(points), 2))
 
     with pytest.raises(ArithmeticError, match="no convergence"):
         minimise(Falling(), [1.0, 1.0], max_steps=5)
