@@ -15,8 +15,8 @@ binary search in the sorted sets. A query with ``L >= T`` could miss partners
 that share long lists only. Such classes ("laden") are joined among themselves
 once more over the exact order of rising list length: their lists are now those
 of their rarest shingles, and where one is still long, its members are near
-copies of one another in the main. There each is probed against ``HUBS``
-members first; what then is of one component needs no more probing, and pairs
+copies of one another in the main. There each is probed against at most ``HUBS``
+first members of its lists first; what then is of one component needs no more probing, and pairs
 of different components in one list are all probed. No link is lost.
 
 Null and empty texts have empty sets, are in no class and link with nothing: each
@@ -27,7 +27,7 @@ id, which is null if a class has no other than null ids.
 from __future__ import annotations
 
 import heapq
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -37,7 +37,7 @@ from pyspark.sql import types as T
 
 from patronage.llm.textbatch import LOWER, blocks, gather, hashes, lists, mix, words
 from patronage.operators.linkage.components import connected_components
-from patronage.session import written
+from patronage.session import remove, written, written_at
 
 WORDS = 5
 PERCENT = 80
@@ -329,31 +329,18 @@ def laden_posts(sets: DataFrame, laden: DataFrame) -> DataFrame:
     )
 
 
-def _along_lists(posts: DataFrame, columns: list[str], step: Callable) -> DataFrame:
-    """Pairs that ``step`` names while it sees the lists member by member, each pair once."""
+def _to_hubs(posts: DataFrame) -> DataFrame:
+    """Pairs ``a, b`` of a member and at most ``HUBS`` hubs: the first members of its lists.
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        out, state = [], {}
-        for row in _grouped(batches):
-            out.extend(step(state, *row))
-            if len(out) > 20_000:
-                yield _pairs_batch(sorted(set(out)))
-                out = []
-        if out:
-            yield _pairs_batch(sorted(set(out)))
-
-    rows = posts.select(*columns).repartition("token").sortWithinPartitions("token", *columns[1:])
-    return rows.mapInArrow(run, "a long, b long").distinct()
-
-
-def _to_hubs(state: dict, token: int, i: int, n: int) -> list[tuple[int, int]]:
-    """Pair a member with the first ones of its list."""
-    if state.get("token") != token:
-        state.update(token=token, hubs=[])
-    near = [(h, i) for h, m in state["hubs"] if 100 * min(n, m) >= PERCENT * max(n, m)]
-    if len(state["hubs"]) < HUBS:
-        state["hubs"].append((i, n))
-    return near
+    A list's hub comes from partial aggregates, so no list meets in one task, and a member names its
+    hubs once over all its lists.
+    """
+    first = written(posts.groupBy("token").agg(F.min(F.struct("id", "n")).alias("hub")), "near-laden-hubs")
+    near = PERCENT * F.greatest("n", "hub.n") <= 100 * F.least("n", "hub.n")
+    named = posts.join(first, "token").where((F.col("hub.id") != F.col("id")) & near)
+    chosen = named.groupBy("id").agg(F.slice(F.array_sort(F.collect_set("hub.id")), 1, HUBS).alias("hubs"))
+    pairs = chosen.select("id", F.explode("hubs").alias("hub"))
+    return pairs.select(F.least("id", "hub").alias("a"), F.greatest("id", "hub").alias("b")).distinct()
 
 
 def _across(lists_: DataFrame, nearest: int | None) -> DataFrame:
@@ -436,7 +423,7 @@ def class_components(docs: DataFrame, classes: DataFrame, doc_id: str, text: str
     if laden.isEmpty():
         return _parts(links)
     heavy = written(laden_posts(sets, laden), "near-laden-posts")
-    starred = written(probed(_along_lists(heavy, ["token", "id", "n"], _to_hubs), sets), "near-laden-links")
+    starred = written(probed(_to_hubs(heavy), sets), "near-laden-links")
     links = links.union(starred)
     signed = written(heavy.join(sets.select(F.col("k1").alias("id"), "signature"), "id"), "near-laden-signed")
     parts, nearest, lists_ = _parts(links), NEAREST, None
@@ -463,13 +450,15 @@ def _parts(links: DataFrame) -> DataFrame:
 
 def components(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
     """``doc_id, n_shingles, component_id`` and the columns ``keep`` of every row of ``docs``."""
-    rows = written(sketches(docs, doc_id, text, keep), "near-sketches")
+    posted, path = written_at(sketches(docs, doc_id, text, keep), "near-posted")
     classes = written(
-        rows.where("n > 0").groupBy("k1", "k2").agg(
+        posted.where("n > 0").groupBy("k1", "k2").agg(
             F.min("doc").alias("least"), F.min("n").alias("n"), F.first("posted").alias("posted")
         ),
         "near-classes",
     )
+    rows = written(posted.drop("posted"), "near-sketches")
+    remove(docs.sparkSession, path)
     labels = class_components(docs, classes, doc_id, text)
     linked = classes.select("k1", "k2", "least").join(labels.withColumnRenamed("rec_id", "k1"), "k1", "left")
     group = F.coalesce("component_id", "k1")
@@ -477,7 +466,7 @@ def components(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", keep
     least = written(named.groupBy("part").agg(F.min("least").alias("component")), "near-names")
     result = written(named.join(least, "part").select("k1", "k2", "component"), "near-result")
     own = F.when(F.col("n") == 0, F.col("doc")).otherwise(F.col("component"))
-    return rows.drop("posted").join(result, ["k1", "k2"], "left").select(
+    return rows.join(result, ["k1", "k2"], "left").select(
         F.col("doc").alias(doc_id), F.col("n").alias("n_shingles"), own.alias("component_id"),
         *[F.col(f"keep.{c}").alias(c) for c in keep],
     )
