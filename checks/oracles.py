@@ -510,6 +510,18 @@ def oracle_sql() -> dict[str, str]:
             ),
             "labelled",
         ),
+        "e20_five_bins": _with(
+            _bins(
+                [
+                    ("(-0.001, 0.2]", "score <= 0.2::DOUBLE"),
+                    ("(0.2, 0.4]", "score > 0.2::DOUBLE AND score <= 0.4::DOUBLE"),
+                    ("(0.4, 0.6]", "score > 0.4::DOUBLE AND score <= 0.6::DOUBLE"),
+                    ("(0.6, 0.8]", "score > 0.6::DOUBLE AND score <= 0.8::DOUBLE"),
+                    ("(0.8, 1.0]", "score > 0.8::DOUBLE"),
+                ]
+            ),
+            "labelled",
+        ),
         "e21_review_rows": _with(_REVIEW, "kept", "crm_customers"),
         "e22_crosswalk": _with("SELECT * FROM walk", "walk"),
         "e22_split_source_ids": _with("SELECT customer_id, unified_id FROM walk", "walk"),

@@ -44,7 +44,7 @@ def similarity_ceiling(left: Column, right: Column) -> Column:
 _CELLS = 1 << 21
 
 
-def _jaro_winkler(left: pd.Series, right: pd.Series) -> pd.Series:
+def similarity(left: pd.Series, right: pd.Series) -> pd.Series:
     """Jaro-Winkler similarity of a batch of text pairs; 0 when either is empty."""
     a, b = left.to_numpy(dtype=object), right.to_numpy(dtype=object)
     len_a = np.fromiter(map(len, a), dtype=np.int64, count=len(a))
@@ -111,4 +111,4 @@ def _in_order(chars: np.ndarray, hit: np.ndarray) -> np.ndarray:
 
 # Declared non-deterministic, so that a filter on the score is not pushed below the
 # projection: the similarity would be computed once for the filter and once more after it.
-jaro_winkler = F.pandas_udf(_jaro_winkler, T.DoubleType()).asNondeterministic()
+jaro_winkler = F.pandas_udf(similarity, T.DoubleType()).asNondeterministic()

@@ -15,13 +15,16 @@ many other pairs a block has is known from its size alone (:func:`pair_counts`).
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from functools import reduce
 from itertools import combinations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from patronage.functions.text import jaro_winkler, similarity_ceiling
+from patronage.functions.text import jaro_winkler, similarity, similarity_ceiling
 from patronage.operators.linkage.normalise import block_columns, forms_of, members, profiles
 from patronage.operators.linkage.rules import MatchRules
 from patronage.session import written
@@ -278,6 +281,96 @@ def score_histogram(records: DataFrame, rules: MatchRules = MatchRules()) -> Dat
     return counts.select(F.inline(F.array(*[F.struct(F.lit(x).alias("bin"), n.alias("pairs")) for x, n in rows])))
 
 
+# Upper edges of the five score bins and the labels they are known by.
+SCORE_BINS = {0.2: "(-0.001, 0.2]", 0.4: "(0.2, 0.4]", 0.6: "(0.4, 0.6]", 0.8: "(0.6, 0.8]", 1.0: "(0.8, 1.0]"}
+
+
+def full_histogram(records: DataFrame, rules: MatchRules = MatchRules(), tile_rows: int = 1024) -> DataFrame:
+    """``(bin, pairs)`` in five bins of the score over all pairs of all blocks.
+
+    The inner edges lie where most pairs score, and no bound from lengths or letters tells
+    on which side of them a pair is, so every two profiles of a block are compared: the work
+    grows with the square of a block's distinct profiles, unlike :func:`score_histogram`. No pair becomes a row:
+    profiles are copied to cells of two tiles each, a task holds one cell, and gives back five counts.
+    """
+    distinct = written(profiles(forms_of(records, rules.blocking)), "profiles")
+    own, before = [], {}
+    for column in block_columns(rules.blocking):
+        own.append(_cell_counts(distinct, column, list(before), rules, tile_rows))
+        before[column] = True
+    score = copy_scores(distinct, rules)
+    bins = F.lit(len(SCORE_BINS) - 1)
+    for i, edge in reversed(list(enumerate(SCORE_BINS))[:-1]):
+        bins = F.when(F.col("score") <= edge, i).otherwise(bins)
+    own.append(score.select(bins.cast("int").alias("i"), F.col("weight").alias("pairs")))
+    found = reduce(DataFrame.unionByName, own).groupBy("i").agg(F.sum("pairs").alias("pairs"))
+    names = distinct.sparkSession.createDataFrame(list(enumerate(SCORE_BINS.values())), "i int, bin string")
+    return names.join(found, "i", "left").select("bin", F.coalesce("pairs", F.lit(0)).cast("long").alias("pairs"))
+
+
+def _cell_counts(distinct: DataFrame, block: str, before: list[str], rules: MatchRules, tile_rows: int) -> DataFrame:
+    """``(i, pairs)``: weighted pairs of different profiles per bin, of those that agree on ``block`` and on none of ``before``."""
+    rows = distinct.where(F.col(block).isNotNull())
+    sizes = written(rows.groupBy(block).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1"), "sizes")
+    tiled = rows.join(sizes, block).withColumn("_t", F.ceil(F.col("_n") / F.lit(float(tile_rows))).cast("int"))
+    tiled = tiled.withColumn("_a", F.pmod(F.xxhash64("profile_id"), F.col("_t")).cast("int"))
+    cells = tiled.withColumn("_o", F.explode(F.sequence(F.lit(0), F.col("_t") - 1)))
+    texts = ["name_lower", "email_normalized", "phone_normalized"]
+    placed = cells.select(
+        F.col(block).alias("_block"), F.least("_a", "_o").alias("_i"), F.greatest("_a", "_o").alias("_j"),
+        (F.col("_a") > F.col("_o")).alias("_right"), "copies", *texts,
+        F.array(*[F.col(c).cast("string") for c in before]).alias("_before"),
+    )
+    tiles = F.ceil(F.col("_n") / F.lit(float(tile_rows)))
+    more = sizes.where(F.col("_n") > tile_rows).agg(F.sum(tiles * (tiles + 1) / 2 - 1).alias("n")).first()["n"]
+    parts = min(int(distinct.sparkSession.conf.get("spark.sql.shuffle.partitions")) + int(more or 0), MOST_TASKS)
+    edges = np.array(list(SCORE_BINS)[:-1])
+
+    def counted(cell: pd.DataFrame, same: bool) -> np.ndarray:
+        left = cell if same else cell[~cell["_right"]]
+        right = cell if same else cell[cell["_right"]]
+        total = np.zeros(len(SCORE_BINS), object)
+        step = max(1, 65_536 // max(1, len(right)))
+        for at in range(0, len(left), step):
+            a, b = (x.ravel() for x in np.meshgrid(np.arange(at, min(at + step, len(left))), np.arange(len(right)), indexing="ij"))
+            keep = a < b if same else np.ones(len(a), bool)
+            for k in range(len(before)):
+                x, y = (side["_before"].str[k].to_numpy(object) for side in (left, right))
+                keep &= ~((x[a] == y[b]) & (x[a] != None))  # noqa: E711 - elementwise
+            a, b = a[keep], b[keep]
+            x, y = left.iloc[a], right.iloc[b]
+            name = similarity(x["name_lower"], y["name_lower"]).to_numpy()
+            phone = similarity(x["phone_normalized"], y["phone_normalized"]).to_numpy()
+            mail = x["email_normalized"].to_numpy(object) == y["email_normalized"].to_numpy(object)
+            if not rules.blank_emails_agree:
+                mail &= x["email_normalized"].to_numpy(object) != ""
+            score = name * rules.name_weight + mail.astype(float) * rules.email_weight + phone * rules.phone_weight
+            number = np.searchsorted(edges, score, side="left")
+            weight = x["copies"].to_numpy() * y["copies"].to_numpy()
+            for i in range(len(total)):
+                total[i] += int(weight[number == i].sum())
+        return total
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        place, held = None, []
+
+        def closed() -> Iterator[pd.DataFrame]:
+            if held:
+                total = counted(pd.concat(held, ignore_index=True), place[1] == place[2])
+                yield pd.DataFrame({"i": range(len(total)), "pairs": total.astype("int64")})
+
+        for batch in batches:
+            for here, part in batch.groupby(["_block", "_i", "_j"], sort=False):
+                if here != place:
+                    yield from closed()
+                    place, held = here, []
+                held.append(part)
+        yield from closed()
+
+    dealt = placed.repartition(parts, "_block", "_i", "_j").sortWithinPartitions("_block", "_i", "_j")
+    return dealt.mapInPandas(run, "i int, pairs long")
+
+
 def review_candidates(pairs: DataFrame) -> DataFrame:
     """Uncertain pairs with their score and the compared fields as a map."""
     details = F.create_map(*[x for c in FEATURES for x in (F.lit(c), F.col(c))])

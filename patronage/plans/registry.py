@@ -312,6 +312,10 @@ def e20_score_histogram(ws: Workspace) -> DataFrame:
     return pairs.score_histogram(ws.customers)
 
 
+def e20_five_bins(ws: Workspace) -> DataFrame:
+    return pairs.full_histogram(ws.customers)
+
+
 def e21_review_rows(ws: Workspace) -> DataFrame:
     rows = report.review_rows(ws.pairs(), ws.customers)
     return rows.select("left_id", "right_id", "left_name", "right_name", *_r("score", *pairs.FEATURES))
@@ -721,7 +725,7 @@ _QUERIES: dict[str, Callable[[Workspace], DataFrame]] = {
         s1_load_tables, s2_get_table, s3_table_exists, s4_review_export, s5_segment_export, s6_profile_json,
         q1_row_counts, q2_orphan_rate, q3_missing_email_rate, q4_duplicate_rate, q5_quality_report,
         e5_block_sizes, e5_pairs_at_floor, e5_two_blocks_at_floor, e5_two_blocks_counts, e10_labels_at_floor, e11_review_queue, e12_match_run_at_floor, e12_pair_counts,
-        e13_components, e13_match_clusters, e18_merge_all, e19_match_report, e20_score_histogram,
+        e13_components, e13_match_clusters, e18_merge_all, e19_match_report, e20_score_histogram, e20_five_bins,
         e21_review_rows, e22_crosswalk, e22_split_source_ids,
         r1_rfm_metrics, r6_segments, r7_rule_segments, r8_segment_summary, r9_segment_overview,
         g1_web_features, g2_support_features, g3_segmentation_features, g4_scaled_features, g5_inertia_sweep,

@@ -117,6 +117,24 @@ def test_histogram_covers_every_pair_of_every_block(messy, rules):
     }
 
 
+@pytest.mark.parametrize("tile_rows", [3, 1024])
+@pytest.mark.parametrize("rules", [MatchRules(), MatchRules(blank_emails_agree=True)])
+def test_five_bins_equal_brute_force(messy, rules, tile_rows):
+    want = [p[3] for p in brute(messy, rules)]
+    found = {r.bin: r.pairs for r in pairs.full_histogram(messy, rules, tile_rows).collect()}
+    edges = [-1.0, 0.2 + 1e-9, 0.4 + 1e-9, 0.6 - 1e-9, 0.8 + 1e-9, 2.0]  # 0.4 + 0.2 is above 0.6 in doubles
+    assert [found[b] for b in pairs.SCORE_BINS.values()] == [sum(a < x <= b for x in want) for a, b in zip(edges, edges[1:])]
+
+
+def test_five_bins_of_several_blocks(messy):
+    zips = messy.withColumn("zip_code", F.when(F.col("rec_id") % 3 > 0, (F.col("rec_id") % 5).cast("string")))
+    rules = MatchRules(blocking=("zip_code", "first_letter"))
+    found = {r.bin: r.pairs for r in pairs.full_histogram(zips, rules, 20).collect()}
+    counts = {r.label: r.pairs for r in pairs.pair_counts(zips, rules).collect()}
+    assert sum(found.values()) == sum(counts.values())
+    assert found["(0.6, 0.8]"] + found["(0.8, 1.0]"] == counts["match"] + counts["uncertain"]
+
+
 def test_a_floor_that_would_list_whole_blocks_is_an_error(messy):
     with pytest.raises(ValueError, match="counted"):
         pairs.record_pairs(messy, floor=0.3)

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from patronage.functions import text
-from patronage.functions.text import _jaro_winkler
+from patronage.functions.text import similarity
 
 
 def random_words(n, alphabet="abcde ", longest=14, seed=3):
@@ -14,9 +14,9 @@ def random_words(n, alphabet="abcde ", longest=14, seed=3):
     return ["".join(rng.choice(alphabet) for _ in range(rng.randint(0, longest))) for _ in range(n)]
 
 
-def test_jaro_winkler_agrees_with_duckdb():
+def testsimilarity_agrees_with_duckdb():
     a, b = random_words(20_000, seed=1), random_words(20_000, seed=2)
-    got = _jaro_winkler(pd.Series(a), pd.Series(b))
+    got = similarity(pd.Series(a), pd.Series(b))
     frame = pd.DataFrame({"i": range(len(a)), "a": a, "b": b})
     want = duckdb.sql("SELECT i, jaro_winkler_similarity(a, b) AS s FROM frame ORDER BY i").df()["s"]
     filled = (frame.a != "") & (frame.b != "")
@@ -28,18 +28,18 @@ def test_jaro_winkler_agrees_with_duckdb():
     "a,b,score",
     [("martha", "marhta", 0.961111), ("dixon", "dicksonx", 0.813333), ("same", "same", 1.0), ("", "", 0.0), ("ab", "", 0.0)],
 )
-def test_jaro_winkler_known_values(a, b, score):
-    assert _jaro_winkler(pd.Series([a]), pd.Series([b]))[0] == pytest.approx(score, abs=1e-6)
+def testsimilarity_known_values(a, b, score):
+    assert similarity(pd.Series([a]), pd.Series([b]))[0] == pytest.approx(score, abs=1e-6)
 
 
-def test_jaro_winkler_of_long_and_short_texts_in_one_batch():
+def testsimilarity_of_long_and_short_texts_in_one_batch():
     long = "abcdefghij" * 400
-    got = _jaro_winkler(pd.Series(["abc", long, long]), pd.Series(["abd", long + "x", "abc"]))
+    got = similarity(pd.Series(["abc", long, long]), pd.Series(["abd", long + "x", "abc"]))
     assert got[0] == pytest.approx(0.8222222) and got[1] > 0.99 and 0 < got[2] < 1
 
 
-def test_jaro_winkler_of_other_scripts():
-    got = _jaro_winkler(pd.Series(["Ödön Kovács", "李小龙"]), pd.Series(["Odon Kovacs", "李小虎"]))
+def testsimilarity_of_other_scripts():
+    got = similarity(pd.Series(["Ödön Kovács", "李小龙"]), pd.Series(["Odon Kovacs", "李小虎"]))
     assert 0.5 < got[0] < 1 and got[1] == pytest.approx((2 / 3 + 2 / 3 + 1) / 3 + 0.2 * (1 - (2 / 3 + 2 / 3 + 1) / 3))
 
 
