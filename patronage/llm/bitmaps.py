@@ -20,10 +20,10 @@ def bitmap(hashes: DataFrame, column: str, bits: int = BITS) -> Broadcast:
         hashes.select(slot.alias("slot"))
         .groupBy(F.shiftright("slot", 6).alias("word"))
         .agg(F.bit_or(F.expr("shiftleft(1L, CAST(slot & 63 AS INT))")).alias("set"))
-        .toPandas()
+        .toArrow()
     )
     words = np.zeros(bits // 64, np.int64)
-    words[packed["word"].to_numpy(np.int64)] = packed["set"].to_numpy(np.int64)
+    words[packed.column("word").to_numpy()] = packed.column("set").to_numpy()
     return hashes.sparkSession.sparkContext.broadcast(words.tobytes())
 
 

@@ -40,7 +40,7 @@ from pyspark.sql import functions as F
 
 from patronage.llm.bitmaps import bitmap, held
 from patronage.llm.textbatch import blocks, gather, hashes, lists, mix, powers, words
-from patronage.session import written
+from patronage.session import remove, written, written_at
 
 WINDOW = 20
 PERIOD = 7
@@ -147,21 +147,22 @@ def _posts(sketch: DataFrame) -> DataFrame:
     return found.groupBy("hash", "k1", "k2", "pos").agg(least).select("hash", "k1", "k2", "pos", "d.none", "d.doc")
 
 
-def _hits(posts: DataFrame) -> DataFrame:
-    """Per class its anchors that occur elsewhere too, with their earliest occurrence."""
+def _hits(posts: DataFrame) -> tuple[DataFrame, str]:
+    """Per class its anchors that occur elsewhere too, with their earliest occurrence; and a table to remove."""
     spot = F.struct("k1", "k2", "pos")
-    firsts = written(
+    firsts, path = written_at(
         posts.groupBy("hash")
         .agg(F.min(F.struct("none", "doc", "k1", "k2", "pos")).alias("f"), F.min(spot).alias("x"), F.max(spot).alias("y"))
         .where("x <> y")
         .select("hash", F.col("f.k1").alias("f1"), F.col("f.k2").alias("f2"), F.col("f.pos").alias("fp")),
         "repeats-firsts",
     )
-    return (
+    hits = (
         posts.join(firsts, "hash")
         .groupBy("k1", "k2", "none", "doc")
         .agg(F.collect_list(F.struct("pos", "f1", "f2", "fp")).alias("hits"))  # of one document, of its own length
     )
+    return hits, path
 
 
 def _bodies(docs: DataFrame, hits: DataFrame, text: str) -> DataFrame:
@@ -264,22 +265,23 @@ def _windows(suspects: DataFrame) -> DataFrame:
     return rows.mapInArrow(run, schema)
 
 
-def _later(windows: DataFrame) -> DataFrame:
-    """``k1, k2, starts``: the open windows of every class that have an earlier equal one."""
-    firsts = written(
+def _later(windows: DataFrame) -> tuple[DataFrame, str]:
+    """``k1, k2, starts``: the open windows of every class that have an earlier equal one; and a table to remove."""
+    firsts, path = written_at(
         windows.groupBy("h1", "h2")
         .agg(F.min(F.struct("none", "doc", "k1", "k2", "pos")).alias("f"), F.max("open").alias("any"), F.count(F.lit(1)).alias("times"))
         .where("any AND times > 1")
         .select("h1", "h2", F.struct("f.k1", "f.k2", "f.pos").alias("f")),
         "repeats-sources",
     )
-    return (
+    later = (
         windows.where("open")
         .join(firsts, ["h1", "h2"])
         .where(F.struct("k1", "k2", "pos") != F.col("f"))
         .groupBy("k1", "k2")
         .agg(F.collect_list("pos").alias("starts"))
     )
+    return later, path
 
 
 def _cut(suspects: DataFrame, later: DataFrame, texts: bool) -> DataFrame:
@@ -338,14 +340,28 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     ``removed`` lists the removed spans of words as ``(start, end)``; the kept words
     are joined by one space. Writes and runs jobs when called.
     """
-    sketch = written(
-        sketches(docs, doc_id, text, texts).withColumn("row", F.monotonically_increasing_id()), "repeats-sketches"
+    spark = docs.sparkSession
+    # Tables are removed as soon as what is made from them is written.
+    anchored, anchors_path = written_at(
+        sketches(docs, doc_id, text, texts).withColumn("row", F.monotonically_increasing_id()), "repeats-anchors"
     )
-    posts = written(_posts(sketch), "repeats-posts")
-    hits = written(_hits(posts), "repeats-hits")
-    suspects = written(_bodies(docs, hits, text).join(hits, ["k1", "k2"]), "repeats-suspects")
-    windows = written(_windows(suspects), "repeats-windows")
-    cut = written(_cut(suspects, _later(windows), texts), "repeats-cut")
+    posts, posts_path = written_at(_posts(anchored), "repeats-posts")
+    sketch = written(anchored.drop("anchors"), "repeats-sketches")
+    remove(spark, anchors_path)
+    found, firsts_path = _hits(posts)
+    hits, hits_path = written_at(found, "repeats-hits")
+    for path in (posts_path, firsts_path):
+        remove(spark, path)
+    suspects, suspects_path = written_at(_bodies(docs, hits, text).join(hits, ["k1", "k2"]), "repeats-suspects")
+    remove(spark, hits_path)
+    windows, windows_path = written_at(_windows(suspects), "repeats-windows")
+    later, sources_path = _later(windows)
+    starts, starts_path = written_at(later, "repeats-later")
+    for path in (windows_path, sources_path):
+        remove(spark, path)
+    cut = written(_cut(suspects, starts, texts), "repeats-cut")
+    for path in (suspects_path, starts_path):
+        remove(spark, path)
     classes = (
         sketch.where("k1 IS NOT NULL")
         .groupBy("k1", "k2")
