@@ -763,5 +763,6 @@ def oracle_sql() -> dict[str, str]:
         t[key] = _with(f"SELECT left_id, right_id, {_rounded(column)} FROM kept", "kept")
     for key, column in (("r2_r_score", "r_score"), ("r3_f_score", "f_score"), ("r4_m_score", "m_score")):
         t[key] = _with(f"SELECT customer_id, {column} FROM scored", "scored")
+    t["d2_profile_of_bucket"], t["d12_members_of_buckets"] = t["d2_customer_profile"], t["d12_segment_members"]
     t["r5_rfm_score"] = _with("SELECT customer_id, rfm_score FROM segmented", "segmented")
     return t

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from patronage.functions.numeric import half_even
-from patronage.operators.sweep import cluster_number, labelled_figures, sweep
+from patronage.operators.sweep import Fits, cluster_number, labelled_figures, sweep
 from patronage.session import partitions_for, written
 
 ID = "customer_id"
@@ -103,9 +103,7 @@ def find_optimal_k(
         if not ks:
             return KChoice(2, {}, {})
         found = sweep(rows, ID, ks, seed, starts, max_iter, parts=parts)
-        x = [F.col("x")[i] for i in range(found.centres[ks[0]].shape[1])]
-        labels = F.array(*[cluster_number(x, found.centres[k]) for k in ks])
-        _, silhouettes = labelled_figures(rows.withColumn("labels", labels), "labels", ks, parts)
+        _, silhouettes = labelled_figures(rows, Fits([found.centres[k] for k in ks]), ks, parts)
         by_k = dict(zip(ks, silhouettes))
         k = choose_k(found.inertias, by_k)
         return KChoice(k, found.inertias, by_k, found.centres[k], found.passes)

@@ -174,44 +174,52 @@ def sweep(
 
 def cluster_number(x: Sequence[Column], centres: np.ndarray) -> Column:
     """The number of the nearest centre as an expression; of equally near ones the first."""
-    distances = [
-        sum(((value - F.lit(float(c))) * (value - F.lit(float(c))) for value, c in zip(x, centre)), F.lit(0.0))
-        for centre in centres
-    ]
-    if len(distances) == 1:
-        return F.lit(0)
-    least, number = F.least(*distances), F.lit(len(distances) - 1)
-    for i in range(len(distances) - 2, -1, -1):
-        number = F.when(distances[i] == least, i).otherwise(number)
-    return number.cast("int")
+    found = F.array_min(
+        F.array(
+            *[
+                F.struct(
+                    sum(((value - F.lit(float(c))) * (value - F.lit(float(c))) for value, c in zip(x, centre)), F.lit(0.0)).alias("d"),
+                    F.lit(number).alias("number"),
+                )
+                for number, centre in enumerate(centres)
+            ]
+        )
+    )
+    return found["number"].cast("int")
 
 
 def labelled_figures(
-    points: DataFrame, labels: str, sizes: Sequence[int], parts: int | None = None
+    points: DataFrame, labels: str | Fits, sizes: Sequence[int], parts: int | None = None
 ) -> tuple[list[float], list[float]]:
     """Inertia and silhouette of several labellings at once, in two passes.
 
     ``labels`` is an array column with a label from 0 to ``sizes[j] - 1`` for each
-    labelling j. The silhouette uses squared Euclidean distances; the mean one to a
+    labelling j, or fits, whose nearest centres are the labels. The silhouette uses squared Euclidean distances; the mean one to a
     cluster follows from its count, sum and sum of squares. A point alone in its cluster has silhouette 0, and
     one cluster alone gives -1.
     """
     begin = np.cumsum([0, *sizes])
     width = int(begin[-1])
 
+    columns = ["x"] if isinstance(labels, Fits) else ["x", labels]
+
+    def labelled(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+        x = matrix(batch.column(0))
+        return x, labels.nearest(x)[0] - labels.borders[:-1] if isinstance(labels, Fits) else matrix(batch.column(1))
+
     def moments(batch: pa.RecordBatch) -> np.ndarray:
-        x, numbers = matrix(batch.column(0)), matrix(batch.column(1))
+        x, numbers = labelled(batch)
         chosen = np.zeros((len(x), width))
         chosen[np.arange(len(x))[:, None], numbers + begin[:-1]] = 1.0
         return np.concatenate([(chosen.T @ x).ravel(), chosen.T @ (x * x).sum(axis=1), chosen.sum(axis=0)])
 
-    found = total(points, moments, ["x", labels], parts)
+    found = total(points, moments, columns, parts)
     sums, squares, counts = found[: -2 * width].reshape(width, -1), found[-2 * width : -width], found[-width:]
     around = np.maximum(counts, 1.0)
     inertia = squares - (sums * sums).sum(axis=1) / around
 
     def apart(batch: pa.RecordBatch) -> np.ndarray:
-        x, numbers = matrix(batch.column(0)), matrix(batch.column(1))
+        x, numbers = labelled(batch)
         norms = (x * x).sum(axis=1)[:, None]
         mean = norms + squares / around - 2.0 * (x @ (sums / around[:, None]).T)
         out = []
@@ -228,4 +236,4 @@ def labelled_figures(
         return np.array(out)
 
     n = counts[: sizes[0]].sum()
-    return [float(inertia[a:b].sum()) for a, b in zip(begin, begin[1:])], (total(points, apart, ["x", labels], parts) / n).tolist()
+    return [float(inertia[a:b].sum()) for a, b in zip(begin, begin[1:])], (total(points, apart, columns, parts) / n).tolist()

@@ -19,6 +19,7 @@ from patronage.operators.value.summary import heuristic_value, summary_of_days
 from patronage.operators.value.tiers import value_tiers
 from patronage.plans.serving import search_index
 from patronage.session import written
+from patronage.sources.tables import get_table, load_tables
 
 
 def unified_days(transactions: DataFrame, walk: DataFrame) -> DataFrame:
@@ -127,6 +128,23 @@ class CustomerView:
         self.clusters, self.golden_records, self.crosswalk = other.clusters, other.golden_records, other.crosswalk
         self.days = other.days
 
+    def load(self, prefix: str, root: str, buckets: int = 32) -> dict[str, DataFrame]:
+        """Save the tables that are looked up under ``prefix`` in the session catalog, and return them by name.
+
+        All are bucketed alike by the unified id (the crosswalk by the customer id): a look-up
+        of one id reads one bucket of each table, and they join without an exchange.
+        """
+        frames = {**self.tables(), "lineage": self.lineage}
+        frames.pop("cohort_retention")
+        keys = {"golden_records": "unified_id", "lineage": "unified_id"}
+        load_tables(
+            {prefix + name: df for name, df in frames.items()},
+            root,
+            {prefix + name: (buckets, keys.get(name, "customer_id")) for name in frames},
+        )
+        spark = self.customers.sparkSession
+        return {name: get_table(spark, prefix + name) for name in frames}
+
     def tables(self) -> dict[str, DataFrame]:
         """All the tables the look-ups read, by name."""
         names = ("golden_records", "crosswalk", "rfm_scores", "clv_predictions", "cohort_retention")

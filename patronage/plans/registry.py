@@ -30,6 +30,9 @@ MATRIX_AGES = list(range(-40, 90))
 # Numbers of ranges for which the choice of k is checked.
 GIVEN_KS = range(2, 8)
 
+# Buckets of the tables that are looked up.
+SERVED_BUCKETS = 8
+
 SEARCH_TEXT = "Red"
 PROFILE_ID = "GOLD_000005"
 MEMBER_SEGMENT = "Loyal Customers"
@@ -109,6 +112,15 @@ class Workspace:
             "view", lambda: customer_view.CustomerView(self.tables(), AS_OF, value_model="heuristic")
         )
 
+    def served(self) -> dict[str, DataFrame]:
+        """The look-up tables of the view in the session catalog, in buckets."""
+
+        def make() -> dict[str, DataFrame]:
+            run = uuid.uuid4().hex
+            return self.view().load(f"served_{run}_", f"{shared_folder(self.spark)}/served-{run}", SERVED_BUCKETS)
+
+        return self._once("served", make)
+
     def fitted_view(self) -> customer_view.CustomerView:
         """The view with the fitted value models, over the clusters and purchases of :meth:`view`."""
 
@@ -664,6 +676,18 @@ def d2_customer_profile(ws: Workspace) -> DataFrame:
     return serving.customer_profile(v.golden_records, v.rfm_scores, v.clv_predictions, PROFILE_ID, v.lineage)
 
 
+def d2_profile_of_bucket(ws: Workspace) -> DataFrame:
+    """The same profile from the bucketed tables, of which one bucket each is read."""
+    t = ws.served()
+    return serving.customer_profile(t["golden_records"], t["rfm_scores"], t["clv_predictions"], PROFILE_ID, t["lineage"])
+
+
+def d12_members_of_buckets(ws: Workspace) -> DataFrame:
+    """The same members from the bucketed tables, joined without an exchange."""
+    t = ws.served()
+    return serving.segment_members(t["golden_records"], t["rfm_scores"], t["clv_predictions"], MEMBER_SEGMENT)
+
+
 def d3_recent_transactions(ws: Workspace) -> DataFrame:
     return serving.recent_transactions(ws.transactions, ws.view().crosswalk)
 
@@ -739,10 +763,10 @@ _QUERIES: dict[str, Callable[[Workspace], DataFrame]] = {
         c14_cross_validation, c14_folds, c15_feature_importance, c15_gain_accounts, c16_value_tiers,
         h1_cohorts, h2_cohort_age, h3_active_customers, h4_retention, h5_retention_matrix, h6_heatmap,
         h7_cohort_metrics, h8_average_retention,
-        d1_customer_search, d2_customer_profile, d3_recent_transactions, d4_recent_sessions, d5_recent_tickets,
+        d1_customer_search, d2_customer_profile, d2_profile_of_bucket, d3_recent_transactions, d4_recent_sessions, d5_recent_tickets,
         d6_segment_overview, d7_tier_histogram, d7_fitted_histogram, d8_tier_totals, d8_fitted_tier_sizes,
         d9_tier_describe, d9_fitted_describe, d10_resolution_statistics,
-        d11_segments, d12_segment_members,
+        d11_segments, d12_segment_members, d12_members_of_buckets,
     )
 }
 _QUERIES |= {
