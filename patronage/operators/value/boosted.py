@@ -32,7 +32,7 @@ from patronage.session import partitions_for, written
 ID = "customer_id"
 
 BINS = 128
-SAMPLE_ROWS = 20_000
+SAMPLE_ROWS = 40_000
 KEEP_TREES = 8
 BLOCK_ROWS = 8_192
 
@@ -102,7 +102,9 @@ def _split(sums: np.ndarray, proposed: tuple[int, int] | None):
     # Less than rounding of the sums can make up is no gain.
     if not top > 1e-9 * (1.0 + total_sum**2 / total_n):
         return -1, 0, 0.0
-    if proposed is not None and proposed[0] >= 0 and gain[proposed] >= top * (1 - 1e-9):
+    # Gains this close are equal but for the order in which residuals were added up.
+    near = 1e-6 * top + 1e-12 * float(np.max(np.where(np.isfinite(gain), gain, 0.0) + total_sum**2 / total_n))
+    if proposed is not None and proposed[0] >= 0 and gain[proposed] >= top - near:
         return *proposed, float(gain[proposed])
     return *divmod(best, gain.shape[1]), float(top)
 

@@ -359,7 +359,7 @@ def plain_boost(codes, y, trees, depth, rate):
     return pred, out
 
 
-@pytest.mark.parametrize("sample", [20_000, 40])
+@pytest.mark.parametrize("sample", [40_000, 40])
 def test_trees_are_those_of_greedy_growth_whatever_the_sample(spark, monkeypatch, sample):
     monkeypatch.setattr(boosted, "SAMPLE_ROWS", sample)
     monkeypatch.setattr(boosted, "KEEP_TREES", 3)
