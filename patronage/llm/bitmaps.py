@@ -10,6 +10,8 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from patronage.session import shuffles_removed
+
 BITS = 1 << 26
 
 
@@ -20,8 +22,9 @@ def bitmap(hashes: DataFrame, column: str, bits: int = BITS) -> Broadcast:
         hashes.select(slot.alias("slot"))
         .groupBy(F.shiftright("slot", 6).alias("word"))
         .agg(F.bit_or(F.expr("shiftleft(1L, CAST(slot & 63 AS INT))")).alias("set"))
-        .toArrow()
     )
+    with shuffles_removed(hashes.sparkSession):
+        packed = packed.toArrow()
     words = np.zeros(bits // 64, np.int64)
     words[packed.column("word").to_numpy()] = packed.column("set").to_numpy()
     return hashes.sparkSession.sparkContext.broadcast(words.tobytes())
