@@ -6,7 +6,9 @@ digests. Each digest falls into one cell of each of three subtables, and a cell
 keeps a count, the XOR of its digests and the XOR of a second hash of them.
 Subtracting two sketches cell by cell leaves what the versions don't share.
 Peeling takes the cells that hold one digest, removes it from its other cells,
-and goes on until nothing is left. Pairs whose cells don't empty are tried
+and goes on until nothing is left. How many cells a pair starts with follows
+from an estimate of its difference: of the ``STRATUM`` lowest digests of both texts,
+how many do they share? Pairs whose cells don't empty are tried
 again with four times as many cells, until all are recovered.
 
 Null text counts as empty; two empty texts are equal (likeness 1). Likeness is
@@ -23,12 +25,14 @@ import uuid
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from patronage.session import shared_folder, written
+from patronage.session import run_folder, shuffles_removed, written
 
 PARAGRAPH_CHARS = 128
 BASE_CELLS = 24
 SUBTABLES = 3
 GROWTH = 4
+STRATUM = 16
+CELLS_EACH = 2.5
 _CHECK_SEED = 77
 
 
@@ -88,6 +92,16 @@ def fingerprints(sets: DataFrame, key: str, column: str, cells: int = BASE_CELLS
     )
 
 
+def first_try(left: Column, right: Column, cells: int) -> Column:
+    """How often ``cells`` have to grow to hold the estimated difference of two sorted digest sets."""
+    low, high = F.slice(left, 1, STRATUM), F.slice(right, 1, STRATUM)
+    least = F.abs(F.size(left) - F.size(right))
+    alike = F.size(F.array_intersect(low, high)) / F.greatest(F.least(F.size(low), F.size(high)), F.lit(1))
+    expected = (F.size(left) + F.size(right)) * (1 - alike) / (1 + alike)
+    wanted = F.greatest(least, expected) * CELLS_EACH / cells
+    return F.greatest(F.ceil(F.log(float(GROWTH), F.greatest(wanted, F.lit(1.0)))), F.lit(0)).cast("int")
+
+
 def differences(
     pairs: DataFrame, keys: list[str], left: str, right: str, cells: int = BASE_CELLS, listed: bool = True
 ) -> DataFrame:
@@ -96,22 +110,29 @@ def differences(
     Returns ``keys, gone, new``: digests of ``left`` only and of ``right`` only, or
     their numbers if not ``listed``. Pairs without a difference have no row.
     """
-    todo, found = pairs.select(*keys, left, right), None
+    pairs = pairs.select(*keys, left, right, first_try(F.col(left), F.col(right), cells).alias("start_fp"))
+    last = pairs.agg(F.max("start_fp")).first()[0] or 0
+    found, failed, tried = None, None, 0
     sides = [F.when((F.col("cell") < 0) & (F.col("n") == n), F.col("digest")) for n in (1, -1)]
     put = F.collect_list if listed else F.count
-    while True:
-        peeled = written(
-            _peel(_hopeful(_subtracted(todo, keys, left, right, cells), keys), keys, cells)
-            .groupBy(*keys)
-            .agg(F.max(F.col("cell") >= 0).alias("stuck"), put(sides[0]).alias("gone"), put(sides[1]).alias("new")),
-            "sketch-peeled",
-        )
-        part = peeled.where("NOT stuck").drop("stuck")
-        found = part if found is None else found.unionByName(part)
-        failed = peeled.where("stuck").select(*keys)
-        if failed.isEmpty():
-            return found
-        todo, cells = pairs.select(*keys, left, right).join(failed, keys, "left_semi"), cells * GROWTH
+    while tried <= last or failed is not None:
+        # Apart, as a union would lose how the rows of ``pairs`` lie.
+        todo = [pairs.where(F.col("start_fp") == tried)] if tried <= last else []
+        todo += [pairs.join(failed, keys, "left_semi")] if failed is not None else []
+        failed = None
+        for part in todo:
+            peeled = written(
+                _peel(_hopeful(_subtracted(part.drop("start_fp"), keys, left, right, cells), keys), keys, cells)
+                .groupBy(*keys)
+                .agg(F.max(F.col("cell") >= 0).alias("stuck"), put(sides[0]).alias("gone"), put(sides[1]).alias("new")),
+                "sketch-peeled",
+            )
+            done, stuck = peeled.where("NOT stuck").drop("stuck"), peeled.where("stuck").select(*keys)
+            found = done if found is None else found.unionByName(done)
+            if not stuck.isEmpty():
+                failed = stuck if failed is None else failed.unionByName(stuck)
+        cells, tried = cells * GROWTH, tried + 1
+    return found
 
 
 def _subtracted(pairs: DataFrame, keys: list[str], left: str, right: str, cells: int) -> DataFrame:
@@ -148,7 +169,7 @@ def _summed(cells: DataFrame, keys: list[str]) -> DataFrame:
     )
 
 
-def _peel(cells: DataFrame, keys: list[str], size: int, rounds: int = 12) -> DataFrame:
+def _peel(cells: DataFrame, keys: list[str], size: int, rounds: int = 9) -> DataFrame:
     """Peel for a number of rounds. Recovered digests stand in rows of cell -1, with their side in ``n``.
 
     A round looks at one subtable: a digest has one cell there, so it is taken
@@ -208,8 +229,9 @@ def bucketed(df: DataFrame, key: str) -> DataFrame:
     spark = df.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     name = f"fingerprints_{uuid.uuid4().hex}"
-    path = f"{shared_folder(spark)}/patronage/{name}"
-    df.write.bucketBy(parts, key).option("path", path).saveAsTable(name)
+    path = f"{run_folder(spark)}/{name}"
+    with shuffles_removed(spark):
+        df.write.bucketBy(parts, key).option("path", path).saveAsTable(name)
     return spark.table(name)
 
 
