@@ -118,7 +118,7 @@ def differences(
     while tried <= last or failed is not None:
         # Apart, as a union would lose how the rows of ``pairs`` lie.
         todo = [pairs.where(F.col("start_fp") == tried)] if tried <= last else []
-        todo += [pairs.join(failed, keys, "left_semi")] if failed is not None else []
+        todo += [_again(pairs, failed, keys)] if failed is not None else []
         failed = None
         for part in todo:
             peeled = written(
@@ -135,6 +135,15 @@ def differences(
     return found
 
 
+def _again(pairs: DataFrame, failed: DataFrame, keys: list[str]) -> DataFrame:
+    """The failed pairs. The join is on the first key alone, by which ``pairs`` may lie already, so only ``failed`` moves."""
+    first, *rest = keys
+    if not rest:
+        return pairs.join(failed, first, "left_semi")
+    again = failed.groupBy(first).agg(F.collect_set(F.struct(*rest)).alias("again_fp"))
+    return pairs.join(again, first).where(F.array_contains("again_fp", F.struct(*rest))).drop("again_fp")
+
+
 def _subtracted(pairs: DataFrame, keys: list[str], left: str, right: str, cells: int) -> DataFrame:
     """Cells of the left sketch minus those of the right one; empty cells are left out."""
     sides = F.array(F.struct(F.lit(1).cast("long").alias("n"), F.col(left).alias("digests")),
