@@ -1,17 +1,19 @@
 """Boosted regression of customer value on features: the final model and all folds in one set of passes.
 
-Features are cut once into at most ``BINS`` bins, a byte each. A pass over the
-rows gives, for every model, node and feature, sums and counts of residuals per bin; from those
-the driver picks splits. All models (one on the training rows, one per fold)
-share every pass.
-
-A pass covers all levels of a tree at once: a sample of ``SAMPLE_ROWS`` rows on the
-driver proposes the tree, the pass tells for each node, from the top, whether
+Features are cut once into at most ``BINS`` bins, a byte each. Rows are kept in blocks: the codes
+feature by feature, and the residual of every model. A pass over the blocks gives, for every model, node and
+feature, sums and counts of residuals per bin. The tasks' sums of a model are added up in one task, which picks the
+splits; the driver gets the nodes of the trees and no sums. All models (one on the training
+rows, one per fold) share every pass.
+
+A pass covers several levels of a tree at once: a sample of ``SAMPLE_ROWS`` rows on the
+driver proposes them, the pass tells for each node, from the top, whether
 the proposed split is the best one over all rows. Where it is not, the node gets
 the best one, the sample proposes anew what hangs below it, and the next pass
-goes on from there. So the trees are those of level-wise growth over all rows, in
+goes on from there, over the levels that are open. It looks one level further than the last one could settle. So
+the trees are those of level-wise growth over all rows, in
 one to ``depth`` passes each; a sample that holds all rows always needs one.
-Residuals follow from predictions written every ``KEEP_TREES`` trees, and the trees since.
+The residuals after a tree are kept in memory, and written every ``KEEP_TREES`` trees.
 """
 
 from __future__ import annotations
@@ -26,7 +28,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from patronage.operators.sweep import total
 from patronage.session import partitions_for, written
 
 ID = "customer_id"
@@ -34,7 +35,7 @@ ID = "customer_id"
 BINS = 128
 SAMPLE_ROWS = 40_000
 KEEP_TREES = 8
-BLOCK_ROWS = 8_192
+ROWS_EACH = 200_000
 
 
 def bucket(buckets: int, salt: int) -> Column:
@@ -57,32 +58,45 @@ class Tree:
         nodes = 2 ** (depth + 1) - 1
         return cls(np.full(nodes, -1), np.zeros(nodes, int), np.zeros(nodes), np.zeros(nodes))
 
-    def below(self, codes: np.ndarray, at: np.ndarray) -> np.ndarray:
-        """The nodes of rows one level further down; rows in leaves stay."""
-        f = self.feature[at]
-        right = codes[np.arange(len(codes)), np.maximum(f, 0)] > self.bin[at]
-        return np.where(f >= 0, 2 * at + 1 + right, at)
+    def below(self, codes: np.ndarray, at: np.ndarray, level: int) -> np.ndarray:
+        """The nodes of rows (the columns of ``codes``) one level below ``level``; rows in leaves stay."""
+        down = at.copy()
+        for node in range(2**level - 1, 2 ** (level + 1) - 1):
+            if self.feature[node] >= 0:
+                step = (codes[self.feature[node]] > self.bin[node]).astype(at.dtype) + at.dtype.type(node + 1)
+                down += (at == node) * step
+        return down
 
     def predict(self, codes: np.ndarray) -> np.ndarray:
-        at = np.zeros(len(codes), int)
-        for _ in range(int(np.log2(len(self.value) + 1)) - 1):
-            at = self.below(codes, at)
+        """The values of rows, which are the columns of ``codes``."""
+        at = np.zeros(codes.shape[1], np.int16)
+        for level in range(int(np.log2(len(self.value) + 1)) - 1):
+            at = self.below(codes, at, level)
         return self.value[at]
 
 
-def level_sums(tree: Tree, depth: int, codes: np.ndarray, residual: np.ndarray) -> np.ndarray:
-    """``(node, feature, bin, (sum, count))`` for the root and the left children of every level, one after another."""
-    n, width = codes.shape
-    out, at = [], np.zeros(n, int)
-    for level in range(depth):
-        place = at - (2**level - 1)
-        slots = max(1, 2**level // 2)
-        here = (place >= 0) & (place < 2**level) & ((place % 2 == 0) | (level == 0))
-        key = ((place[here] // 2)[:, None] * width + np.arange(width)) * BINS + codes[here]
-        size = slots * width * BINS
-        sums = np.bincount(key.ravel(), weights=np.repeat(residual[here], width), minlength=size)
-        out.append(np.stack([sums, np.bincount(key.ravel(), minlength=size)], axis=-1).reshape(slots, width, BINS, 2))
-        at = tree.below(codes, at)
+def level_sums(tree: Tree, fixed: int, end: int, codes: np.ndarray, residual: np.ndarray) -> np.ndarray:
+    """``(node, feature, bin, (sum, count))`` for all nodes of level ``fixed``, then the left children of each level before ``end``."""
+    width, n = codes.shape
+    out, at = [], np.zeros(n, np.int16)
+    for level in range(end):
+        if level >= fixed:
+            place = at - (2**level - 1)
+            here = place >= 0
+            slots = 2**level
+            if level > fixed:
+                here &= place % 2 == 0
+                place, slots = place // 2, slots // 2
+            rows = np.flatnonzero(here)
+            first, weight = place[rows].astype(np.intp) * BINS, residual[rows]
+            sums = np.empty((slots, width, BINS, 2))
+            for f in range(width):
+                key = first + codes[f][rows]
+                sums[:, f, :, 0] = np.bincount(key, weight, slots * BINS).reshape(slots, BINS)
+                sums[:, f, :, 1] = np.bincount(key, minlength=slots * BINS).reshape(slots, BINS)
+            out.append(sums)
+        if level + 1 < end:
+            at = tree.below(codes, at, level)
     return np.concatenate(out)
 
 
@@ -109,16 +123,17 @@ def _split(sums: np.ndarray, proposed: tuple[int, int] | None):
     return *divmod(best, gain.shape[1]), float(top)
 
 
-def confirm(tree: Tree, depth: int, sums: np.ndarray, proposal: Tree, fixed: int) -> int:
-    """Settle the nodes of ``tree`` from the top with the sums of a pass over ``proposal``.
+def confirm(tree: Tree, fixed: int, end: int, sums: np.ndarray, proposal: Tree) -> int:
+    """Settle the levels of ``tree`` from ``fixed`` on with the sums of a pass over ``proposal`` up to ``end``.
 
     Returns the number of levels that are settled; below the first split that differs from
-    the proposed one nothing is known yet. ``fixed`` levels are settled already.
+    the proposed one nothing is known yet.
     """
-    offsets = np.cumsum([0, *[max(1, 2**level // 2) for level in range(depth)]])
-    known: dict[int, np.ndarray] = {0: sums[0]}
-    settled = depth
-    for level in range(depth):
+    first = 2**fixed - 1
+    # Nodes below leaves have no rows.
+    known = {n: sums[n - first] for n in range(first, 2 * first + 1) if not n or tree.feature[(n - 1) // 2] >= 0}
+    settled, offset = end, 2**fixed
+    for level in range(fixed, end):
         first = 2**level - 1
         for node in range(first, 2 * first + 1):
             if node not in known:
@@ -127,8 +142,7 @@ def confirm(tree: Tree, depth: int, sums: np.ndarray, proposal: Tree, fixed: int
             g, n = own[0].sum(axis=0)
             tree.value[node] = g / n if n else 0.0
             guess = int(proposal.feature[node]), int(proposal.bin[node])
-            if level >= fixed:
-                tree.feature[node], tree.bin[node], tree.gain[node] = _split(own, guess)
+            tree.feature[node], tree.bin[node], tree.gain[node] = _split(own, guess)
             if tree.feature[node] < 0:
                 continue
             f, b = int(tree.feature[node]), int(tree.bin[node])
@@ -137,43 +151,24 @@ def confirm(tree: Tree, depth: int, sums: np.ndarray, proposal: Tree, fixed: int
                 tree.value[child] = s / c if c else 0.0
             if (f, b) != guess:
                 settled = min(settled, level + 1)
-            elif level + 1 < depth:
-                place = offsets[level + 1] + node - first
+            elif level + 1 < end:
+                place = offset + node - first
                 known[2 * node + 1] = sums[place]
                 known[2 * node + 2] = own - sums[place]
+        offset += 2**level
+    open_from = 2**settled - 1
+    tree.feature[open_from:], tree.gain[open_from:] = -1, 0.0
     return settled
 
 
-def propose(tree: Tree, depth: int, fixed: int, codes: np.ndarray, residual: np.ndarray) -> Tree:
-    """The tree that the sample would grow, with the first ``fixed`` levels as they are."""
+def propose(tree: Tree, fixed: int, end: int, codes: np.ndarray, residual: np.ndarray) -> Tree:
+    """The tree that the sample would grow up to level ``end``, with the first ``fixed`` levels as they are."""
     made = Tree(tree.feature.copy(), tree.bin.copy(), tree.value.copy(), tree.gain.copy())
-    at = np.zeros(len(codes), int)
-    width = codes.shape[1]
-    known: dict[int, np.ndarray] = {}
-    for level in range(depth):
-        first = 2**level - 1
-        if level >= fixed:
-            place = at - first
-            inside = (place >= 0) & (place < 2**level)
-            # The sums of right children are what their left siblings leave of the parent's, if these are known.
-            half = level > 0 and (first - 1) // 2 in known
-            here = inside & (place % 2 == 0) if half else inside
-            key = (place[here][:, None] * width + np.arange(width)) * BINS + codes[here]
-            size = 2**level * width * BINS
-            found = np.bincount(key.ravel(), weights=np.repeat(residual[here], width), minlength=size)
-            counts = np.bincount(key.ravel(), minlength=size)
-            sums = np.stack([found, counts], axis=-1).reshape(2**level, width, BINS, 2)
-            now = {}
-            for j in range(2**level):
-                node = first + j
-                if half and j % 2:
-                    parent = (node - 1) // 2
-                    sums[j] = known[parent] - sums[j - 1] if made.feature[parent] >= 0 else 0.0
-                now[node] = sums[j]
-                made.feature[node], made.bin[node], made.gain[node] = _split(sums[j], None)
-            known = now
-        at = made.below(codes, at)
-    made.feature[2**depth - 1 :] = -1
+    for level in range(fixed, end):
+        sums = level_sums(made, level, level + 1, codes, residual)
+        for place, own in enumerate(sums):
+            node = 2**level - 1 + place
+            made.feature[node], made.bin[node], made.gain[node] = _split(own, None)
     return made
 
 
@@ -188,7 +183,8 @@ class BoostedTrees:
     trees: list[Tree] = field(repr=False)
 
     def values(self, codes: np.ndarray) -> np.ndarray:
-        return self.start + self.rate * sum((t.predict(codes) for t in self.trees), np.zeros(len(codes)))
+        turned = np.ascontiguousarray(codes.T)
+        return self.start + self.rate * sum((t.predict(turned) for t in self.trees), np.zeros(len(codes)))
 
     def transform(self, features: DataFrame) -> DataFrame:
         """``features`` with a column ``prediction``."""
@@ -267,79 +263,90 @@ def errors(predicted: DataFrame, prediction: str = "prediction") -> tuple[float,
 
 
 class Booster:
-    """Boosting of several models over the same binned rows, ``codes, y, models, preds``; bit m of ``models``: trains model m."""
+    """Boosting of several models over the same blocks ``codes, models, residuals``; bit m of ``models``: trains model m."""
 
-    def __init__(self, rows: DataFrame, parts: int, sample, n_models: int, depth: int, rate: float):
-        self.state, self.parts, self.depth, self.rate, self.m = rows, parts, depth, rate, n_models
-        self.sample_codes, self.sample_y, self.sample_in, self.sample_preds = sample
-        self.recent: list[list[Tree]] = [[] for _ in range(n_models)]
+    def __init__(self, blocks: DataFrame, sample, n_models: int, depth: int, rate: float):
+        self.state, self.depth, self.rate, self.m = blocks, depth, rate, n_models
+        self.sample_codes, self.sample_in, self.sample_residuals = sample
+        self.ahead = [depth] * n_models
         self.passes = 0
 
-    def _measure(self, proposals: list[Tree]) -> np.ndarray:
-        m, depth, rate, recent = self.m, self.depth, self.rate, self.recent
-
-        def figures(batch: pa.RecordBatch) -> np.ndarray:
-            codes, y, models, preds = _rows_of(batch, m)
-            out = []
-            for j in range(m):
-                own = (models >> j) & 1 == 1
-                c = codes[own]
-                now = preds[own, j] + rate * sum((t.predict(c) for t in recent[j]), np.zeros(len(c)))
-                out.append(level_sums(proposals[j], depth, c, y[own] - now))
-            return np.stack(out).ravel()
-
+    def _measure(self, trees: list[Tree], settled: list[int], proposals: dict[int, tuple[Tree, int]]) -> None:
+        """One pass: settles what it can of ``trees``, whose open levels ``proposals`` has up to a level each."""
+        m = self.m
+
+        def added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            sums: dict[int, np.ndarray] = {}
+            for codes, models, residuals in _blocks_of(batches, m):
+                for j, (proposal, end) in proposals.items():
+                    own = (models >> j) & 1 == 1
+                    c, r = (codes, residuals[j]) if own.all() else (codes[:, own], residuals[j, own])
+                    found = level_sums(proposal, settled[j], end, c, r)
+                    sums[j] = sums[j] + found if j in sums else found
+            for j, found in sums.items():
+                yield pa.RecordBatch.from_arrays([pa.array([j], pa.int32()), pa.array([found.tobytes()], pa.binary())], names=["model", "sums"])
+
+        def picked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            sums: dict[int, np.ndarray] = {}
+            for batch in batches:
+                for j, raw in zip(batch.column(0).to_pylist(), batch.column(1)):
+                    found = np.frombuffer(raw.as_buffer(), float)
+                    sums[j] = sums[j] + found if j in sums else found
+            for j, found in sums.items():
+                proposal, end = proposals[j]
+                tree = trees[j]
+                done = confirm(tree, settled[j], end, found.reshape(-1, width, BINS, 2), proposal)
+                arrays = [pa.array([v.tolist()], pa.list_(k)) for v, k in zip((tree.feature, tree.bin, tree.value, tree.gain), kinds)]
+                yield pa.RecordBatch.from_arrays([pa.array([j], pa.int32()), pa.array([done], pa.int32()), *arrays], names=names)
+
+        width = len(self.sample_codes)
+        names = ["model", "settled", "feature", "bin", "value", "gain"]
+        kinds = [pa.int64(), pa.int64(), pa.float64(), pa.float64()]
         self.passes += 1
-        sums = total(self.state, figures, ["codes", "y", "models", "preds"], self.parts)
-        return sums.reshape(m, 2 ** (depth - 1), -1, BINS, 2)
+        sent = self.state.mapInArrow(added, "model int, sums binary").repartition(min(m, len(proposals)), "model")
+        rows = sent.mapInArrow(picked, "model int, settled int, feature array<long>, bin array<long>, value array<double>, gain array<double>")
+        for row in rows.toArrow().to_pylist():
+            j = row["model"]
+            trees[j] = Tree(np.array(row["feature"]), np.array(row["bin"]), np.array(row["value"]), np.array(row["gain"]))
+            self.ahead[j] = row["settled"] - settled[j] + 1
+            settled[j] = row["settled"]
 
     def add_tree(self) -> list[Tree]:
-        """The next tree of every model."""
+        """The next tree of every model, whose values the residuals then lack."""
         trees = [Tree.empty(self.depth) for _ in range(self.m)]
         settled = [0] * self.m
-        residual = self.sample_y[:, None] - self.sample_preds
         while min(settled) < self.depth:
-            proposals = []
-            for j in range(self.m):
-                own = self.sample_in[:, j]
-                if settled[j] == self.depth:
-                    proposals.append(trees[j])
-                else:
-                    proposals.append(propose(trees[j], self.depth, settled[j], self.sample_codes[own], residual[own, j]))
-            sums = self._measure(proposals)
+            proposals = {}
             for j in range(self.m):
                 if settled[j] < self.depth:
-                    settled[j] = confirm(trees[j], self.depth, sums[j], proposals[j], settled[j])
-        for j, tree in enumerate(trees):
-            self.recent[j].append(tree)
-            self.sample_preds[:, j] += self.rate * tree.predict(self.sample_codes)
-        return trees
-
-    def keep(self, label: str) -> None:
-        """Write the predictions with the trees since the last time, and count on from there."""
-        m, rate, recent = self.m, self.rate, self.recent
+                    own, end = self.sample_in[:, j], min(self.depth, settled[j] + self.ahead[j])
+                    made = propose(trees[j], settled[j], end, self.sample_codes[:, own], self.sample_residuals[j, own])
+                    proposals[j] = made, end
+            self._measure(trees, settled, proposals)
+        m, rate = self.m, self.rate
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                codes, _, _, preds = _rows_of(batch, m)
-                now = np.stack([preds[:, j] + rate * sum((t.predict(codes) for t in recent[j]), np.zeros(len(codes))) for j in range(m)], axis=1)
-                lists = pa.ListArray.from_arrays(pa.array(np.arange(len(codes) + 1) * m, pa.int32()), pa.array(now.ravel()))
-                yield pa.RecordBatch.from_arrays([*batch.columns[:-1], lists], names=batch.schema.names)
-
-        before = self.state
-        rows = before.select(*[c for c in before.columns if c != "preds"], "preds")
-        self.state = written(rows.mapInArrow(run, rows.schema), label)
-        self.state = self.state.coalesce(self.parts).persist(StorageLevel.MEMORY_AND_DISK)
-        before.unpersist()
-        self.recent = [[] for _ in range(m)]
+                left = [
+                    (residuals - rate * np.stack([t.predict(codes) for t in trees])).tobytes()
+                    for codes, _, residuals in _blocks_of([batch], m)
+                ]
+                yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(left, pa.binary())], names=batch.schema.names)
+
+        self.state = self.state.mapInArrow(run, self.state.schema)
+        self.sample_residuals -= rate * np.stack([t.predict(self.sample_codes) for t in trees])
+        return trees
 
 
-def _rows_of(batch: pa.RecordBatch, m: int):
-    names = batch.schema.names
-    column = {n: batch.column(i) for i, n in enumerate(names)}
-    raw = b"".join(column["codes"].to_pylist())
-    codes = np.frombuffer(raw, np.uint8).reshape(batch.num_rows, -1)
-    y, models = column["y"].to_numpy(zero_copy_only=False), column["models"].to_numpy(zero_copy_only=False)
-    return codes, y, models, column["preds"].flatten().to_numpy(zero_copy_only=False).reshape(-1, m)
+def _blocks_of(batches, m: int):
+    """Codes (a row per feature), models and residuals (a row per model) of every block."""
+    for batch in batches:
+        for codes, models, residuals in zip(*[batch.column(i) for i in range(3)]):
+            own = np.frombuffer(models.as_buffer(), np.int64)
+            yield (
+                np.frombuffer(codes.as_buffer(), np.uint8).reshape(-1, len(own)), own,
+                np.frombuffer(residuals.as_buffer(), float).reshape(m, -1),
+            )
 
 
 def fit_boosted(
@@ -366,10 +373,9 @@ def fit_boosted(
     rows = base.count()
     folds = 0 if folds is None else min(folds, rows)
     m = 1 + folds
-    # A few tasks also for few rows: a pass is short, and waits for its longest task.
-    parts = max(min(4, -(-rows // 2_000)), partitions_for(rows))
-    drawn = base.orderBy(F.xxhash64(F.lit(seed), ID), ID).limit(SAMPLE_ROWS).select("x")
-    edges = bin_edges(_matrix(drawn.toArrow().column("x").combine_chunks()))
+    # A few tasks also for few rows, and full rounds of all cores for many: a pass waits for its longest task.
+    cores = features.sparkSession.sparkContext.defaultParallelism
+    parts = max(min(cores, -(-rows // 2_000)), -(-partitions_for(rows, ROWS_EACH) // cores) * cores if rows > ROWS_EACH else 1)
     fold = bucket(folds, seed + 1) if folds else F.lit(None).cast("int")
     trains = (F.col("part") > 0).cast("int")
     for j in range(folds):
@@ -382,41 +388,65 @@ def fit_boosted(
         raise ValueError("a model has no training row")
     starts = np.array([float(v) for v in sizes])
 
+    drawn = marked.orderBy(F.xxhash64(F.lit(seed), ID), ID).limit(SAMPLE_ROWS).select("x", "y", "models").toArrow()
+    drawn = drawn.combine_chunks().to_batches()[0]
+    seen, models = _matrix(drawn.column(0)), drawn.column(2).to_numpy(zero_copy_only=False)
+    edges = bin_edges(seen)
+    sample = (
+        np.ascontiguousarray(codes_of(seen, edges).T), np.stack([(models >> j) & 1 == 1 for j in range(m)], axis=1),
+        drawn.column(1).to_numpy(zero_copy_only=False) - starts[:, None],
+    )
+
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            codes = codes_of(_matrix(batch.column(1)), edges)
-            preds = pa.ListArray.from_arrays(
-                pa.array(np.arange(batch.num_rows + 1) * m, pa.int32()), pa.array(np.tile(starts, batch.num_rows))
-            )
-            coded = pa.array([c.tobytes() for c in codes], pa.binary())
+            if batch.num_rows:
+                codes = codes_of(_matrix(batch.column(0)), edges).T.tobytes()
+                y, models = (batch.column(i).to_numpy(zero_copy_only=False) for i in (1, 2))
+                block = codes, models.astype(np.int64).tobytes(), (y - starts[:, None]).tobytes()
+                yield pa.RecordBatch.from_arrays([pa.array([v], pa.binary()) for v in block], names=["codes", "models", "residuals"])
+
+    dealt = marked.select(ID, "x", "y", "models").repartition(parts, ID).select("x", "y", "models")
+    blocks = written(dealt.mapInArrow(encode, "codes binary, models binary, residuals binary"), "boosted-blocks")
+    booster = Booster(blocks.coalesce(parts).persist(StorageLevel.MEMORY_AND_DISK), sample, m, depth, rate)
+    grown: list[list[Tree]] = [[] for _ in range(m)]
+    before: DataFrame | None = None
+    for t in range(trees):
+        kept = booster.state
+        for own, tree in zip(grown, booster.add_tree()):
+            own.append(tree)
+        # The passes have read what is kept; what it was made from is not needed any more.
+        if before is not None:
+            before.unpersist()
+        before = kept
+        if (t + 1) % KEEP_TREES == 0 and t + 1 < trees:
+            booster.state = written(booster.state, "boosted-state").coalesce(parts)
+        booster.state = booster.state.persist(StorageLevel.MEMORY_AND_DISK)
+    booster.state.unpersist()
+    if before is not None:
+        before.unpersist()
+
+    def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            codes = np.ascontiguousarray(codes_of(_matrix(batch.column(1)), edges).T)
+            fold = np.array(batch.column(4).fill_null(-1).to_numpy(zero_copy_only=False), int)
+            value = starts[0] + rate * sum((t.predict(codes) for t in grown[0]), np.zeros(len(fold)))
+            other = np.zeros(len(fold))
+            for j in np.unique(fold[fold >= 0]):
+                own = fold == j
+                other[own] = starts[j + 1] + rate * sum((t.predict(codes[:, own]) for t in grown[j + 1]), np.zeros(own.sum()))
+            own_fold = pa.array(other, mask=fold < 0)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), *batch.columns[2:], coded, preds], names=[ID, "y", "part", "fold", "models", "codes", "preds"]
+                [batch.column(0), batch.column(2), pa.array(value), batch.column(3), batch.column(4), own_fold], names=shown
             )
 
+    shown = [ID, "label", "prediction", "held_out", "fold", "fold_prediction"]
     kind = base.schema[ID].dataType.simpleString()
-    coded = marked.select(ID, "x", "y", "part", "fold", "models").mapInArrow(
-        encode, f"{ID} {kind}, y double, part int, fold int, models long, codes binary, preds array<double>"
-    )
-    state = written(coded, "boosted-rows").coalesce(parts).persist(StorageLevel.MEMORY_AND_DISK)
-    seen = state.orderBy(F.xxhash64(F.lit(seed), ID), ID).limit(SAMPLE_ROWS).select("codes", "y", "models", "preds").toArrow()
-    codes, y, models, preds = _rows_of(seen.combine_chunks().to_batches()[0], m)
-    sample = codes, y, np.stack([(models >> j) & 1 == 1 for j in range(m)], axis=1), preds.copy()
-    booster = Booster(state, parts, sample, m, depth, rate)
-    grown: list[list[Tree]] = [[] for _ in range(m)]
-    for t in range(trees):
-        for kept, tree in zip(grown, booster.add_tree()):
-            kept.append(tree)
-        if (t + 1) % KEEP_TREES == 0 or t + 1 == trees:
-            booster.keep("boosted-state")
-    own = F.when(F.col("fold").isNotNull(), F.element_at("preds", F.col("fold") + 2))
     predictions = written(
-        booster.state.select(
-            ID, F.col("y").alias("label"), F.col("preds")[0].alias("prediction"), (F.col("part") == 0).alias("held_out"),
-            "fold", own.alias("fold_prediction"),
+        marked.select(ID, "x", "y", (F.col("part") == 0).alias("held_out"), "fold").mapInArrow(
+            predict, f"{ID} {kind}, label double, prediction double, held_out boolean, fold int, fold_prediction double"
         ),
         "boosted-predictions",
-    )
-    booster.state.unpersist()
+    )
     mae, r2 = errors(predictions.where("held_out"))
     cv = None
     if folds:

@@ -379,6 +379,24 @@ def test_trees_are_those_of_greedy_growth_whatever_the_sample(spark, monkeypatch
     assert fit.passes == 5 if sample > 300 else fit.passes > 5
 
 
+def test_the_driver_gets_splits_and_no_sums(spark, monkeypatch):
+    kind, fetched = type(spark.range(1)), []
+    real = kind.toArrow
+
+    def noted(self):
+        table = real(self)
+        fetched.append(table.nbytes)
+        return table
+
+    monkeypatch.setattr(kind, "toArrow", noted)
+    rng = np.random.default_rng(12)
+    rows = [(f"C{i}", *map(float, r)) for i, r in enumerate(rng.uniform(0, 9, (300, 4)))]
+    df = written(spark.createDataFrame(rows, "customer_id string, a double, b double, c double, d double"), "few-bytes")
+    fit = boosted.fit_boosted(df, F.expr("a * b + c"), folds=2, trees=3, depth=4)
+    # 3 models, 31 nodes; the sample has 300 rows of a few dozen bytes. The sums of one pass are 196,608 bytes.
+    assert fit.passes == 3 and len(fetched) >= 4 and sum(fetched) < 60_000
+
+
 def test_folds_are_predicted_by_models_that_have_not_seen_them(spark):
     """Labels that nothing explains: a model that had seen its rows would fit them."""
     rng = np.random.default_rng(9)
