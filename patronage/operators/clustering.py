@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from patronage.functions.numeric import half_even
 from patronage.operators.sweep import Fits, cluster_number, labelled_figures, sweep
-from patronage.session import partitions_for, written
+from patronage.session import full_rounds, written
 
 ID = "customer_id"
 
@@ -55,10 +55,10 @@ def scale(features: DataFrame) -> DataFrame:
 def points(scaled: DataFrame) -> tuple[DataFrame, int, int]:
     """``(customer_id, x)``, kept for many passes, with the numbers of rows and of tasks."""
     x = F.array(*[F.col(c).cast("double") for c in feature_columns(scaled)])
-    rows = written(scaled.select(ID, x.alias("x")), "points")
-    n = rows.count()
-    # A few tasks also for few rows: a pass is short, and waits for its longest task.
-    parts = max(min(4, -(-n // 2_000)), partitions_for(n))
+    n = scaled.count()
+    parts = full_rounds(scaled.sparkSession, n)
+    # As it comes, few files may hold most of the rows, and a pass waits for its longest task.
+    rows = written(scaled.select(ID, x.alias("x")).repartition(parts, ID), "points")
     return rows.coalesce(parts).persist(StorageLevel.MEMORY_AND_DISK), n, parts
 
 

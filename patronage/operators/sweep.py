@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 SAMPLE_ROWS = 2_000
-BLOCK_ROWS = 4_096
+BLOCK_ROWS = 2_048
 DIRECT = 16
 
 # A block of rows -> numbers to be added over all blocks.
@@ -77,21 +77,47 @@ class Fits:
         self.borders = np.cumsum([0, *[len(c) for c in centres]])
         self.stacked = np.concatenate(centres)
 
+    def _groups(self) -> list[tuple[int, int, int]]:
+        """Runs of fits with equally many centres: first centre, fits, centres of each."""
+        found = []
+        for first, k in zip(self.borders, np.diff(self.borders)):
+            if found and found[-1][2] == k:
+                found[-1][1] += 1
+            else:
+                found.append([int(first), 1, int(k)])
+        return [tuple(f) for f in found]
+
+    def _measured(self, x: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        """Per group its centres a fit, and by fit and point the number of the nearest centre (of equally near ones the first) and the squared distance."""
+        c = self.stacked
+        # Points run along the last axis, so that all that follows works on long rows.
+        distance = (c @ x.T) * -2.0
+        distance += (c * c).sum(axis=1)[:, None]
+        norms = (x * x).sum(axis=1)
+        for centre, fits, k in self._groups():
+            own = distance[centre : centre + fits * k].reshape(fits, k, len(x))
+            least = own.min(axis=1)
+            number = np.full(least.shape, k - 1, np.int16)
+            for i in range(k - 2, -1, -1):
+                np.copyto(number, np.int16(i), where=own[:, i] == least)
+            yield k, number, np.maximum(least + norms, 0.0)
+
     def nearest(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Per point and fit the number of the nearest centre in the stack, and the squared distance to it."""
-        c = self.stacked
-        distance = (c * c).sum(axis=1) - 2.0 * (x @ c.T)
-        at = [distance[:, a:b].argmin(axis=1) + a for a, b in zip(self.borders, self.borders[1:])]
-        number = np.stack(at, axis=1)
-        least = np.take_along_axis(distance, number, axis=1) + (x * x).sum(axis=1)[:, None]
-        return number, np.maximum(least, 0.0)
+        measured = [(number, least) for _, number, least in self._measured(x)]
+        number = np.concatenate([n for n, _ in measured]).T + self.borders[:-1]
+        return number, np.concatenate([least for _, least in measured]).T
 
     def figures(self, x: np.ndarray) -> np.ndarray:
         """Sums and counts per centre, then the squared distances per fit."""
-        number, least = self.nearest(x)
-        chosen = np.zeros((len(x), len(self.stacked)))
-        chosen[np.arange(len(x))[:, None], number] = 1.0
-        return np.concatenate([(chosen.T @ x).ravel(), chosen.sum(axis=0), least.sum(axis=0)])
+        padded = np.concatenate([x, np.ones((len(x), 1))], axis=1)
+        sums, inertia = [], []
+        for k, number, least in self._measured(x):
+            chosen = (number[:, None, :] == np.arange(k, dtype=np.int16)[:, None]).astype(float)
+            sums.append(chosen.reshape(-1, len(x)) @ padded)
+            inertia.extend(least.sum(axis=1))
+        added = np.concatenate(sums)
+        return np.concatenate([added[:, :-1].ravel(), added[:, -1], inertia])
 
     def step(self, added: np.ndarray) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
         """The next centres, how far each fit's have moved (squared), and its inertia before the move.

@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from patronage.session import partitions_for, written
+from patronage.session import full_rounds, written
 
 ID = "customer_id"
 
@@ -373,9 +373,7 @@ def fit_boosted(
     rows = base.count()
     folds = 0 if folds is None else min(folds, rows)
     m = 1 + folds
-    # A few tasks also for few rows, and full rounds of all cores for many: a pass waits for its longest task.
-    cores = features.sparkSession.sparkContext.defaultParallelism
-    parts = max(min(cores, -(-rows // 2_000)), -(-partitions_for(rows, ROWS_EACH) // cores) * cores if rows > ROWS_EACH else 1)
+    parts = full_rounds(features.sparkSession, rows, ROWS_EACH)
     fold = bucket(folds, seed + 1) if folds else F.lit(None).cast("int")
     trains = (F.col("part") > 0).cast("int")
     for j in range(folds):

@@ -140,3 +140,14 @@ def partitions_for(rows: int, rows_each: int = 100_000) -> int:
     schedules all of them.
     """
     return max(1, -(-rows // rows_each))
+
+
+def full_rounds(spark: SparkSession, rows: int, rows_each: int = 200_000) -> int:
+    """As :func:`partitions_for`, but a few also for few rows, and a multiple of the cores for many.
+
+    A pass waits for its longest task, so no round of tasks leaves cores idle.
+    """
+    cores = spark.sparkContext.defaultParallelism
+    if rows <= rows_each:
+        return max(1, min(cores, -(-rows // 2_000)))
+    return -(-partitions_for(rows, rows_each) // cores) * cores

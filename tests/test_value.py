@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from patronage.operators import clustering
+from patronage.operators.sweep import Fits
 from patronage.operators.value import boosted, probabilistic, summary, tiers
 from patronage.session import written
 
@@ -299,6 +300,32 @@ def test_components_equal_the_eigenvectors(spark, blobs):
         assert np.allclose(own, want * np.sign(want[np.abs(want).argmax()]))
 
 
+def test_all_centres_of_a_pass_equal_brute_force():
+    rng = np.random.default_rng(3)
+    x = np.round(rng.normal(0, 2, (500, 4)))  # with equally near centres
+    centres = [np.round(rng.normal(0, 2, (k, 4))) for k in (2, 2, 5, 3, 3)]
+    fits = Fits(centres)
+    number, least = fits.nearest(x)
+    added, at = fits.figures(x), 0
+    for j, c in enumerate(centres):
+        apart = ((x[:, None] - c[None]) ** 2).sum(axis=2)
+        assert (number[:, j] - fits.borders[j] == apart.argmin(axis=1)).all() and np.allclose(least[:, j], apart.min(axis=1))
+        for i in range(len(c)):
+            own = x[apart.argmin(axis=1) == i]
+            assert np.allclose(added[at * 4 : at * 4 + 4], own.sum(axis=0)) and added[15 * 4 + at] == len(own)
+            at += 1
+        assert added[15 * 5 + j] == pytest.approx(apart.min(axis=1).sum())
+
+
+def test_points_spread_evenly_over_tasks(spark):
+    """Rows that come in one file, of which a pass would be one task."""
+    rows = written(spark.range(40_000).selectExpr("concat('C', id) AS customer_id", "double(id % 7) AS a").coalesce(1), "one-file")
+    kept, n, parts = clustering.points(rows)
+    sizes = [r["count"] for r in kept.groupBy(F.spark_partition_id()).count().collect()]
+    kept.unpersist()
+    assert n == 40_000 and parts == 8 and len(sizes) == 8 and max(sizes) < 2 * n / 8
+
+
 def test_too_few_points_give_two(spark, blobs):
     assert clustering.find_optimal_k(blobs.limit(2)) == clustering.KChoice(2, {}, {})
 
