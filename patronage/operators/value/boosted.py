@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from patronage.session import full_rounds, written
+from patronage.session import full_rounds, shuffles_removed, written
 
 ID = "customer_id"
 
@@ -303,9 +303,12 @@ class Booster:
         names = ["model", "settled", "feature", "bin", "value", "gain"]
         kinds = [pa.int64(), pa.int64(), pa.float64(), pa.float64()]
         self.passes += 1
-        sent = self.state.mapInArrow(added, "model int, sums binary").repartition(min(m, len(proposals)), "model")
-        rows = sent.mapInArrow(picked, "model int, settled int, feature array<long>, bin array<long>, value array<double>, gain array<double>")
-        for row in rows.toArrow().to_pylist():
+        # The sums of a pass go once it has ended: on disk they would add up over all passes.
+        with shuffles_removed(self.state.sparkSession):
+            sent = self.state.mapInArrow(added, "model int, sums binary").repartition(min(m, len(proposals)), "model")
+            rows = sent.mapInArrow(picked, "model int, settled int, feature array<long>, bin array<long>, value array<double>, gain array<double>")
+            found = rows.toArrow().to_pylist()
+        for row in found:
             j = row["model"]
             trees[j] = Tree(np.array(row["feature"]), np.array(row["bin"]), np.array(row["value"]), np.array(row["gain"]))
             self.ahead[j] = row["settled"] - settled[j] + 1

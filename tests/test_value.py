@@ -1,5 +1,6 @@
 import math
 import random
+from pathlib import Path
 
 import numpy as np
 import pandas as pd
@@ -424,6 +425,26 @@ def test_the_driver_gets_splits_and_no_sums(spark, monkeypatch):
     assert fit.passes == 3 and len(fetched) >= 4 and sum(fetched) < 60_000
 
 
+def test_a_pass_leaves_no_shuffle_files(spark, monkeypatch):
+    folders = spark.sparkContext._jsc.sc().env().blockManager().diskBlockManager().localDirsString()
+
+    def files():
+        return {f for folder in folders for f in Path(folder).rglob("shuffle_*.data")}
+
+    def noted(self, *args):
+        before = files()
+        real(self, *args)
+        left.append(len(files() - before))
+
+    real, left = boosted.Booster._measure, []
+    monkeypatch.setattr(boosted.Booster, "_measure", noted)
+    rng = np.random.default_rng(12)
+    rows = [(f"C{i}", *map(float, r)) for i, r in enumerate(rng.uniform(0, 9, (300, 2)))]
+    df = written(spark.createDataFrame(rows, "customer_id string, a double, b double"), "few-files")
+    boosted.fit_boosted(df, F.expr("a * b"), folds=2, trees=3, depth=4)
+    assert left == [0, 0, 0]
+
+
 def test_folds_are_predicted_by_models_that_have_not_seen_them(spark):
     """Labels that nothing explains: a model that had seen its rows would fit them."""
     rng = np.random.default_rng(9)
