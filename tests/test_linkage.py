@@ -1,6 +1,7 @@
 import random
 
 import duckdb
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -126,6 +127,24 @@ def test_five_bins_equal_brute_force(messy, rules, tile_rows):
     assert [found[b] for b in pairs.SCORE_BINS.values()] == [sum(a < x <= b for x in want) for a, b in zip(edges, edges[1:])]
 
 
+def test_a_cell_compares_each_distinct_name_once(monkeypatch):
+    rows = pd.DataFrame({"name_lower": ["ann", "bob", "ann", "ann"] * 200, "email_normalized": "", "copies": 1})
+    rows["phone_normalized"] = [str(k) for k in range(800)]
+    rows.loc[::50, "copies"] = 3
+    compared = []
+    with_all = pairs.Compared.with_all
+
+    def noted(self, left):
+        compared.append(len(left) * len(self.texts))
+        return with_all(self, left)
+
+    monkeypatch.setattr(pairs.Compared, "with_all", noted)
+    total = pairs._bin_weights(rows, rows, True, 0, MatchRules())
+    assert sum(compared) <= 800 * 800 + 4 * 2 * 2
+    weight = int(rows["copies"].sum())
+    assert sum(total) == (weight**2 - int((rows["copies"] ** 2).sum())) // 2
+
+
 def test_five_bins_of_several_blocks(messy):
     zips = messy.withColumn("zip_code", F.when(F.col("rec_id") % 3 > 0, (F.col("rec_id") % 5).cast("string")))
     rules = MatchRules(blocking=("zip_code", "first_letter"))

@@ -1,6 +1,8 @@
 import random
+import time
 
 import duckdb
+import numpy as np
 import pandas as pd
 import pytest
 from pyspark.sql import functions as F
@@ -43,6 +45,33 @@ def testsimilarity_of_other_scripts():
     assert 0.5 < got[0] < 1 and got[1] == pytest.approx((2 / 3 + 2 / 3 + 1) / 3 + 0.2 * (1 - (2 / 3 + 2 / 3 + 1) / 3))
 
 
+@pytest.mark.parametrize(
+    "alphabet,longest", [("ab", 16), ("abcde ", 40), ("abcdefghijklmnopqrstuvwxyz ", 90), ("李小龙虎Öab", 20), ("0123456789", 10)]
+)
+def test_all_with_all_equals_pair_by_pair(alphabet, longest):
+    sides = [random_words(150, alphabet, longest, seed) + ["", "martha", "marhta", "x" * 70] for seed in (7, 8)]
+    left, right = (np.array(side, dtype=object) for side in sides)
+    got = text.Compared(right).with_all(left)
+    for i, one in enumerate(left):
+        assert got[i].tolist() == similarity(pd.Series([one] * len(right)), pd.Series(right)).tolist()
+
+
+def test_all_with_all_costs_a_small_part_of_pair_by_pair():
+    left, right = (np.array([str(10**9 + k * step) for k in range(1000)], dtype=object) for step in (7919, 7907))
+
+    def seconds(run):
+        times = []
+        for _ in range(3):
+            start = time.perf_counter()
+            run()
+            times.append(time.perf_counter() - start)
+        return min(times)
+
+    pairs = [pd.Series(np.repeat(left[:20], 1000)), pd.Series(np.tile(right, 20))]
+    # Fifty times the pairs in less than ten times the time.
+    assert seconds(lambda: text.Compared(right).with_all(left)) < 10 * seconds(lambda: similarity(*pairs))
+
+
 def test_ceiling_is_never_below_the_similarity(spark):
     rows = list(zip(random_words(3000, seed=5), random_words(3000, seed=6)))
     df = spark.createDataFrame(rows, "a string, b string")
