@@ -88,6 +88,7 @@ def minimise(
     x = np.log(np.asarray(start, dtype=float))
     d = len(x)
     lengths = np.array([1.0, 3.0, 0.5, 0.2, 0.05, 0.01, 0.001])
+    shorter = np.array([0.3, 0.1, 1e-2, 1e-3, 1e-4, 1e-5, 1e-6])
     values, gradients = objective.at([x])
     f, g = values[0], gradients[0]
     if not np.isfinite(f):
@@ -101,6 +102,7 @@ def minimise(
         longest = np.max(np.abs(way))
         if longest > reach:
             way *= reach / longest
+        lengths_now = lengths
         values, gradients = objective.at([x + t * way for t in lengths])
         best = int(np.argmin(values))
         if not values[best] < f:
@@ -108,10 +110,16 @@ def minimise(
                 if np.max(np.abs(g)) < 100 * tolerance:  # as far as doubles go
                     theta = np.exp(x)
                     return theta, Certificate(float(np.max(np.abs(g))), step, bool(((theta < LEAST) | (theta > LARGEST)).any()))
-                raise ArithmeticError(f"no step gains, but the gradient is {np.max(np.abs(g)):.2g}")
-            inverse, fresh = np.eye(d), True
-            continue
-        moved, turned = lengths[best] * way, gradients[best] - g
+                # Where the objective bends much, all of these lengths lie beyond the valley.
+                lengths_now = lengths[-1] * shorter
+                values, gradients = objective.at([x + t * way for t in lengths_now])
+                best = int(np.argmin(values))
+                if not values[best] < f:
+                    raise ArithmeticError(f"no step gains, but the gradient is {np.max(np.abs(g)):.2g}")
+            else:
+                inverse, fresh = np.eye(d), True
+                continue
+        moved, turned = lengths_now[best] * way, gradients[best] - g
         x, f, g = x + moved, values[best], gradients[best]
         bend = float(moved @ turned)
         if bend > 1e-14:

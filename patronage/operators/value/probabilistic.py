@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from patronage.functions.numeric import digamma, log_gamma
 from patronage.operators.value.fitting import Certificate, Objective, better_neighbours, minimise
-from patronage.session import partitions_for, written
+from patronage.session import full_rounds, written
 
 DAYS_PER_MONTH = 30
 
@@ -58,23 +58,35 @@ def _parameters(spark: SparkSession, model: BuyingModel | SpendModel, names: tup
     return spark.createDataFrame(rows, "parameter string, value double, gradient double, steps int, at_boundary boolean")
 
 
+def _counts(rows: dict[str, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct frequencies of a batch, and which of them each row has; found once for all parameters tried."""
+    if "counts" not in rows:
+        rows["counts"] = np.unique(rows["frequency"], return_inverse=True)
+    return rows["counts"]
+
+
 def buying_likelihood(parameters: np.ndarray, rows: dict[str, np.ndarray]) -> tuple[np.ndarray, list[np.ndarray]]:
     """Log likelihood of ``(frequency, recency, T)`` under ``(r, alpha, a, b)``, and its derivatives."""
     r, alpha, a, b = parameters
     x, t_x, age = rows["frequency"], rows["recency"], rows["T"]
-    counts = log_gamma(r + x) - log_gamma(r) + r * np.log(alpha)
-    drops = log_gamma(a + b) + log_gamma(b + x) - log_gamma(b) - log_gamma(a + b + x)
-    alive = -(r + x) * np.log(alpha + age)
-    last = b + np.maximum(x, 1.0) - 1.0
-    gone = np.log(a) - np.log(last) - (r + x) * np.log(alpha + t_x)
+    # What depends on the frequency alone, for each frequency once.
+    k, at = _counts(rows)
+    k_last = b + np.maximum(k, 1.0) - 1.0
+    counts = (log_gamma(r + k) - log_gamma(r) + r * np.log(alpha))[at]
+    drops = (log_gamma(a + b) + log_gamma(b + k) - log_gamma(b) - log_gamma(a + b + k))[at]
+    both = digamma(a + b) - digamma(a + b + k)
+    rise = (digamma(r + k) - digamma(r) + np.log(alpha))[at]
+    log_last, last = np.log(k_last)[at], k_last[at]
+    log_age, log_last_buy = np.log(alpha + age), np.log(alpha + t_x)
+    alive = -(r + x) * log_age
+    gone = np.log(a) - log_last - (r + x) * log_last_buy
     either = np.where(x > 0, np.logaddexp(alive, gone), alive)
     left = np.where(x > 0, np.exp(gone - either), 0.0)  # chance of having dropped out
-    both = digamma(a + b) - digamma(a + b + x)
     slopes = [
-        digamma(r + x) - digamma(r) + np.log(alpha) - (1 - left) * np.log(alpha + age) - left * np.log(alpha + t_x),
+        rise - (1 - left) * log_age - left * log_last_buy,
         r / alpha - (r + x) * ((1 - left) / (alpha + age) + left / (alpha + t_x)),
-        both + left / a,
-        both + digamma(b + x) - digamma(b) - left / last,
+        both[at] + left / a,
+        (both + digamma(b + k) - digamma(b))[at] - left / last,
     ]
     return counts + drops + either, slopes
 
@@ -83,20 +95,15 @@ def spend_likelihood(parameters: np.ndarray, rows: dict[str, np.ndarray]) -> tup
     """Log likelihood of a mean ``monetary_value`` over ``frequency`` purchases under ``(p, q, v)``, and its derivatives."""
     p, q, v = parameters
     x, m = rows["frequency"], rows["monetary_value"]
-    pooled = np.log(x * m + v)
-    value = (
-        log_gamma(p * x + q)
-        - log_gamma(p * x)
-        - log_gamma(q)
-        + q * np.log(v)
-        + (p * x - 1.0) * np.log(m)
-        + p * x * np.log(x)
-        - (p * x + q) * pooled
-    )
-    both = digamma(p * x + q)
+    pooled, log_m = np.log(x * m + v), np.log(m)
+    # What depends on the frequency alone, for each frequency once.
+    k, at = _counts(rows)
+    fixed = (log_gamma(p * k + q) - log_gamma(p * k) - log_gamma(q) + q * np.log(v))[at]
+    value = fixed + (p * x - 1.0) * log_m + (p * k * np.log(k))[at] - (p * x + q) * pooled
+    both, log_k = digamma(p * k + q), np.log(k)
     slopes = [
-        x * (both - digamma(p * x) + np.log(m) + np.log(x) - pooled),
-        both - digamma(q) + np.log(v) - pooled,
+        x * ((both - digamma(p * k))[at] + log_m + log_k[at] - pooled),
+        (both - digamma(q) + np.log(v))[at] - pooled,
         q / v - (p * x + q) / (x * m + v),
     ]
     return value, slopes
@@ -108,7 +115,9 @@ def _counted(summary: DataFrame, columns: list[str]) -> DataFrame:
         summary.groupBy(*[F.col(c).cast("double").alias(c) for c in columns]).agg(F.count(F.lit(1)).alias("n")),
         "observations",
     )
-    return distinct.coalesce(partitions_for(distinct.count())).persist(StorageLevel.MEMORY_AND_DISK)
+    # Dealt evenly over all cores, whatever files they came in: a pass waits for its longest task.
+    parts = full_rounds(summary.sparkSession, distinct.count())
+    return distinct.repartition(parts, *columns).persist(StorageLevel.MEMORY_AND_DISK)
 
 
 @contextmanager

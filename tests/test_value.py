@@ -484,6 +484,49 @@ def test_a_search_that_runs_out_of_steps_is_an_error():
         minimise(Falling(), [1.0, 1.0], max_steps=5)
 
 
+def test_a_search_finds_the_bottom_of_a_steep_valley():
+    from patronage.operators.value.fitting import minimise
+
+    class Steep:
+        """Bends so much that a thousandth of the gradient leads far up the other side."""
+
+        def at(self, points):
+            off = np.array([p - [0.3, -0.2] for p in points])
+            return 1e4 * (off**2).sum(axis=1), 2e4 * off
+
+    theta, fit = minimise(Steep(), np.exp([0.3 + 1e-7, -0.2]))
+    assert fit.gradient < 1e-6 and np.log(theta) == pytest.approx([0.3, -0.2], abs=1e-9)
+
+
+@pytest.mark.parametrize("of,parameters", [("buying_likelihood", (0.8, 5.0, 0.6, 2.0)), ("spend_likelihood", (2.0, 4.0, 1.5))])
+def test_gamma_functions_are_worked_out_once_per_frequency(monkeypatch, of, parameters):
+    rng = np.random.default_rng(1)
+    rows = {"frequency": rng.integers(1, 6, 4000).astype(float), "recency": rng.uniform(1, 50, 4000)}
+    rows |= {"T": rows["recency"] + rng.uniform(0, 50, 4000), "monetary_value": rng.uniform(1, 90, 4000)}
+    value, slopes = getattr(probabilistic, of)(np.array(parameters), rows)
+    for i in range(0, 4000, 400):  # a row alone is worth the same
+        one, one_slopes = getattr(probabilistic, of)(np.array(parameters), {c: rows[c][i : i + 1] for c in ("frequency", "recency", "T", "monetary_value")})
+        assert [one[0], *[x[0] for x in one_slopes]] == pytest.approx([value[i], *[x[i] for x in slopes]], rel=1e-12, abs=1e-12)
+
+    worked = []
+    for name in ("log_gamma", "digamma"):
+        function = getattr(probabilistic, name)
+        monkeypatch.setattr(probabilistic, name, lambda z, function=function: worked.append(np.size(z)) or function(z))
+    for _ in range(7):
+        getattr(probabilistic, of)(np.array(parameters), rows)
+    assert sum(worked) <= 7 * 11 * 5
+
+
+def test_observations_of_a_fit_are_dealt_evenly(spark):
+    few_files = spark.range(40_000).selectExpr("id % 50 AS frequency", "id AS T").coalesce(1)
+    counts = probabilistic._counted(few_files, ["frequency", "T"])
+    try:
+        sizes = [r["count"] for r in counts.groupBy(F.spark_partition_id().alias("p")).count().collect()]
+    finally:
+        counts.unpersist()
+    assert len(sizes) == spark.sparkContext.defaultParallelism and max(sizes) < 1.2 * 40_000 / len(sizes)
+
+
 def test_a_series_that_does_not_settle_is_an_error():
     with pytest.raises(ArithmeticError, match="settle"):
         probabilistic._hyp2f1(2.0, 2.0, np.array([1.0]), np.array([1.0]))
