@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 SAMPLE_ROWS = 2_000
-BLOCK_ROWS = 2_048
+BLOCK_ROWS = 1_024
 DIRECT = 16
 
 # A block of rows -> numbers to be added over all blocks.
@@ -87,35 +87,41 @@ class Fits:
                 found.append([int(first), 1, int(k)])
         return [tuple(f) for f in found]
 
-    def _measured(self, x: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-        """Per group its centres a fit, and by fit and point the number of the nearest centre (of equally near ones the first) and the squared distance."""
-        c = self.stacked
+    def _measured(self, x: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Per group the squared distances less the point's own square, by fit, centre and point, and the least by fit and point.
+
+        One group at a time, so that its distances stay in the core's cache while they are used.
+        """
         # Points run along the last axis, so that all that follows works on long rows.
-        distance = (c @ x.T) * -2.0
-        distance += (c * c).sum(axis=1)[:, None]
-        norms = (x * x).sum(axis=1)
+        across = np.ascontiguousarray(x.T)
+        norms = (self.stacked * self.stacked).sum(axis=1)[:, None]
         for centre, fits, k in self._groups():
-            own = distance[centre : centre + fits * k].reshape(fits, k, len(x))
-            least = own.min(axis=1)
-            number = np.full(least.shape, k - 1, np.int16)
-            for i in range(k - 2, -1, -1):
-                np.copyto(number, np.int16(i), where=own[:, i] == least)
-            yield k, number, np.maximum(least + norms, 0.0)
+            some = slice(centre, centre + fits * k)
+            distance = self.stacked[some] @ across
+            distance *= -2.0
+            distance += norms[some]
+            own = distance.reshape(fits, k, len(x))
+            yield own, own.min(axis=1)
 
     def nearest(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Per point and fit the number of the nearest centre in the stack, and the squared distance to it."""
-        measured = [(number, least) for _, number, least in self._measured(x)]
+        """Per point and fit the number of the nearest centre in the stack (of equally near ones the first), and the squared distance to it."""
+        norms = (x * x).sum(axis=1)
+        measured = [(own.argmin(axis=1), np.maximum(least + norms, 0.0)) for own, least in self._measured(x)]
         number = np.concatenate([n for n, _ in measured]).T + self.borders[:-1]
         return number, np.concatenate([least for _, least in measured]).T
 
     def figures(self, x: np.ndarray) -> np.ndarray:
         """Sums and counts per centre, then the squared distances per fit."""
         padded = np.concatenate([x, np.ones((len(x), 1))], axis=1)
+        norms = (x * x).sum(axis=1)
         sums, inertia = [], []
-        for k, number, least in self._measured(x):
-            chosen = (number[:, None, :] == np.arange(k, dtype=np.int16)[:, None]).astype(float)
-            sums.append(chosen.reshape(-1, len(x)) @ padded)
-            inertia.extend(least.sum(axis=1))
+        for own, least in self._measured(x):
+            near = own == least[:, None, :]
+            if np.count_nonzero(near) != least.size:  # of equally near centres the first
+                near &= np.cumsum(near, axis=1) == 1
+            np.copyto(own, near)
+            sums.append(own.reshape(-1, len(x)) @ padded)
+            inertia.extend(np.maximum(least + norms, 0.0).sum(axis=1))
         added = np.concatenate(sums)
         return np.concatenate([added[:, :-1].ravel(), added[:, -1], inertia])
 

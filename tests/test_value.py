@@ -1,5 +1,6 @@
 import math
 import random
+import tracemalloc
 from pathlib import Path
 
 import numpy as np
@@ -318,6 +319,17 @@ def test_all_centres_of_a_pass_equal_brute_force():
         assert added[15 * 5 + j] == pytest.approx(apart.min(axis=1).sum())
 
 
+def test_a_block_holds_the_distances_of_one_group_at_a_time():
+    rng = np.random.default_rng(3)
+    x = rng.normal(0, 1, (2048, 10))
+    fits = Fits([rng.normal(0, 1, (k, 10)) for k in range(2, 11) for _ in range(10)])
+    tracemalloc.start()
+    fits.figures(x)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < len(fits.stacked) * len(x) * 8 / 2
+
+
 def test_points_spread_evenly_over_tasks(spark):
     """Rows that come in one file, of which a pass would be one task."""
     rows = written(spark.range(40_000).selectExpr("concat('C', id) AS customer_id", "double(id % 7) AS a").coalesce(1), "one-file")
