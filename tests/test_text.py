@@ -56,6 +56,16 @@ def test_all_with_all_equals_pair_by_pair(alphabet, longest):
         assert got[i].tolist() == similarity(pd.Series([one] * len(right)), pd.Series(right)).tolist()
 
 
+def test_all_with_all_hands_long_texts_to_the_comparison_by_pairs(monkeypatch):
+    lengths = []
+    compare_all = text._compare_all
+    monkeypatch.setattr(text, "_compare_all", lambda codes, a, b, places: lengths.append((a, b)) or compare_all(codes, a, b, places))
+    left = np.array(["ab" * 100, "ann"], dtype=object)
+    got = text.Compared(left[::-1]).with_all(left)
+    assert max(max(pair) for pair in lengths) <= 64  # the table of a step grows with the length
+    assert got[0, 1] == got[1, 0] == 1.0 and got[0, 0] == got[1, 1] == similarity(pd.Series(left[:1]), pd.Series(left[1:]))[0]
+
+
 def test_all_with_all_costs_a_small_part_of_pair_by_pair():
     left, right = (np.array([str(10**9 + k * step) for k in range(1000)], dtype=object) for step in (7919, 7907))
 
