@@ -145,6 +145,41 @@ def test_a_cell_compares_each_distinct_name_once(monkeypatch):
     assert sum(total) == (weight**2 - int((rows["copies"] ** 2).sum())) // 2
 
 
+@pytest.mark.parametrize("rules", [MatchRules(), MatchRules(blank_emails_agree=True), MatchRules(0.3, 0.2, 0.5)])
+@pytest.mark.parametrize("before", [0, 1])
+def test_large_cells_count_as_tables_do(rules, before, monkeypatch):
+    rng = random.Random(before)
+    monkeypatch.setattr(pairs, "CHUNK_ROWS", 100)
+    monkeypatch.setattr(pairs, "STRIP_ROWS", 70)
+
+    def side(n):
+        phones = ["".join(rng.choice("0123456789"[: rng.choice([3, 10])]) for _ in range(rng.choice([0, 2, 7, 10, 10, 11, 12, 14, 18]))) for _ in range(n)]
+        return pd.DataFrame(
+            {
+                "name_lower": [rng.choice(["", "ann lee", "ann li", "al", "abe leeds", f"ann {rng.randrange(99)}"]) for _ in range(n)],
+                "email_normalized": [rng.choice(["", "a@x", f"a{rng.randrange(n)}@x"]) for _ in range(n)],
+                "phone_normalized": [rng.choice([p, phones[0]]) if rng.random() < 0.1 else p for p in phones],
+                "copies": [rng.choice([1, 1, 1, 2, 5]) for _ in range(n)],
+                "_before": [[rng.choice([None, "a", "b"])] for _ in range(n)],
+            }
+        )
+
+    left, right = side(230), side(170)
+    for pair, same in (((left, right), False), ((left, left), True)):
+        assert list(pairs._large_weights(*pair, same, before, rules)) == list(pairs._bin_weights(*pair, same, before, rules))
+
+
+def test_large_cells_leave_the_order_of_characters_to_doubtful_pairs(monkeypatch):
+    rng = random.Random(3)
+    rows = pd.DataFrame({"name_lower": [f"red {rng.choice(['bolt', 'gear'])} {k % 50:03d}" for k in range(1000)], "email_normalized": "", "copies": 1})
+    rows["phone_normalized"] = [str(rng.randrange(10**9, 10**10)) for _ in range(1000)]
+    looked_at, settled = [], pairs.out_of_order
+    monkeypatch.setattr(pairs, "out_of_order", lambda a, b: looked_at.append(len(a)) or settled(a, b))
+    monkeypatch.setattr(pairs, "LARGE_ROWS", 500)
+    assert sum(pairs._cell_weights(rows, rows, True, 0, MatchRules())) == 1000 * 999 // 2
+    assert 0 < sum(looked_at) < 1000 * 999 // 2 // 2
+
+
 def test_five_bins_of_several_blocks(messy):
     zips = messy.withColumn("zip_code", F.when(F.col("rec_id") % 3 > 0, (F.col("rec_id") % 5).cast("string")))
     rules = MatchRules(blocking=("zip_code", "first_letter"))
